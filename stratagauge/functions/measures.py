@@ -11,6 +11,11 @@ def number(value: Column) -> Column:
     return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
 
 
+def units(value: Column, digits: int) -> Column:
+    """The number as a whole count of 10^-digits, for exact sums."""
+    return F.rint(value * F.lit(float(10**digits))).cast("long")
+
+
 def rounded(value: Column, digits: int = 1) -> Column:
     """HALF_UP rounding without negative zero."""
     return F.round(value, digits) + F.lit(0.0)

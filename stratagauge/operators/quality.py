@@ -13,7 +13,6 @@ from stratagauge.functions import measures
 from stratagauge.operators.joins import left_lookup
 
 _COPIES = "_copies"
-REASONS = "_reasons"
 REASON_TEXT = "motivo_quarentena"
 
 Ranges = Mapping[str, tuple[float, float]]
@@ -68,9 +67,10 @@ def score(
     wording: Wording = DEFAULT_WORDING,
     extra: Iterable[Column] = (),
 ) -> DataFrame:
-    """Add the array of reasons in rule order: NULL keys, repeated key, ranges, then `extra`.
+    """Add `motivo_quarentena`: all reasons in rule order joined by "; ", empty for a good row.
 
-    Bounds are inclusive and a NULL value is in range.
+    The order is NULL keys, repeated key, ranges, then `extra`. Bounds are inclusive and a NULL
+    value is in range.
     """
     keys = [key for key in keys if key in df.columns]
     null_keys, in_range = _row_checks(df, keys, ranges or {}, wording)
@@ -79,20 +79,15 @@ def score(
         df = duplicate_count(df, keys, _COPIES)
         checks.append(F.when(F.col(_COPIES) > 1, F.lit(wording.duplicate_key)))
     checks += [*in_range, *extra]
-    reasons = F.array_compact(F.array(*checks).cast("array<string>"))
-    return df.withColumn(REASONS, reasons).drop(_COPIES)
+    return df.withColumn(REASON_TEXT, F.concat_ws("; ", *checks)).drop(_COPIES)
 
 
 def approved(scored: DataFrame) -> DataFrame:
-    return scored.filter(F.size(REASONS) == 0).drop(REASONS)
+    return scored.filter(F.col(REASON_TEXT) == "").drop(REASON_TEXT)
 
 
 def quarantined(scored: DataFrame) -> DataFrame:
-    return (
-        scored.filter(F.size(REASONS) > 0)
-        .withColumn(REASON_TEXT, F.concat_ws("; ", F.col(REASONS)))
-        .drop(REASONS)
-    )
+    return scored.filter(F.col(REASON_TEXT) != "")
 
 
 def evaluate(

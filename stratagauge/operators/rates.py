@@ -1,7 +1,8 @@
 """Weighted rates from microdata.
 
-The sums are decimals, so the result does not depend on the order of the rows, and they can be
-merged: a table can be summed by a fine key first, joined small, and merged to a coarser key.
+Weights are summed as whole units of 10^-digits, so the result is exact, does not depend on the
+order of the rows and is several times faster than decimal sums. The sums can be merged: a table
+can be summed by a fine key first, joined small, and merged to a coarser key.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from stratagauge.config import PROFICIENCY_CUTOFF
 from stratagauge.functions import measures
 
 _HIT, _WEIGHT, _ROWS = "_hit", "_weight", "_rows"
+WEIGHT_DIGITS = 6
 
 
 def partial_sums(
@@ -23,21 +25,22 @@ def partial_sums(
     cutoff: float = PROFICIENCY_CUTOFF,
     score: str = "proficiencia",
     weight: str = "peso_aluno",
-    weight_type: str = "decimal(18,6)",
+    digits: int = WEIGHT_DIGITS,
     extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """Weight at or above the cutoff, total weight and row count of each key.
+    """Weight at or above the cutoff, total weight (both in units) and row count of each key.
 
-    Rows without a score are left out and a missing weight counts 1.
+    Rows without a score are left out and a missing weight counts 1. A sum holds 9.2e18 units: with
+    6 digits and a mean weight of 100, 9e10 rows of one key. Beyond that Spark raises an error.
     """
     value = measures.number(F.col(score))
-    exact = F.coalesce(measures.number(F.col(weight)), F.lit(1.0)).cast(weight_type)
+    units = measures.units(F.coalesce(measures.number(F.col(weight)), F.lit(1.0)), digits)
     return (
         students.filter(value.isNotNull())
         .groupBy(*keys)
         .agg(
-            F.sum(F.when(value >= F.lit(cutoff), exact).otherwise(F.lit(0))).alias(_HIT),
-            F.sum(exact).alias(_WEIGHT),
+            F.sum(F.when(value >= F.lit(cutoff), units).otherwise(F.lit(0))).alias(_HIT),
+            F.sum(units).alias(_WEIGHT),
             F.count(F.lit(1)).alias(_ROWS),
             *extra,
         )
@@ -45,9 +48,11 @@ def partial_sums(
 
 
 def merge_sums(partials: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
-    """Add partial sums up to coarser keys."""
+    """Add partial sums up to coarser keys, as decimals that have room for any number of them."""
     names = [_HIT, _WEIGHT, _ROWS, *extra]
-    return partials.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in names])
+    return partials.groupBy(*keys).agg(
+        *[F.sum(F.col(name).cast("decimal(19,0)")).alias(name) for name in names]
+    )
 
 
 def rates_from_sums(
@@ -56,12 +61,14 @@ def rates_from_sums(
     rate: str = "taxa_alfabetizacao_calc",
     total: str = "peso_total",
     rows: str = "qtd_alunos",
+    digits: int = WEIGHT_DIGITS,
 ) -> DataFrame:
+    weight = F.col(_WEIGHT).cast("double") / F.lit(float(10**digits))
     return partials.select(
         *keys,
         measures.percent(F.col(_HIT), F.col(_WEIGHT)).alias(rate),
-        F.round(F.col(_WEIGHT), 1).cast("double").alias(total),
-        F.col(_ROWS).alias(rows),
+        F.round(weight, 1).alias(total),
+        F.col(_ROWS).cast("long").alias(rows),
     )
 
 
@@ -69,7 +76,7 @@ def weighted_rate(
     students: DataFrame,
     keys: Sequence[str] = ("id_municipio", "ano", "rede"),
     cutoff: float = PROFICIENCY_CUTOFF,
-    **columns: str,
+    digits: int = WEIGHT_DIGITS,
 ) -> DataFrame:
     """Share of the weight whose score reaches the cutoff, with the total weight and row count."""
-    return rates_from_sums(partial_sums(students, keys, cutoff, **columns), keys)
+    return rates_from_sums(partial_sums(students, keys, cutoff, digits=digits), keys, digits=digits)

@@ -12,13 +12,12 @@ from stratagauge.config import Layers
 from stratagauge.functions import keys, measures
 from stratagauge.operators import alerts, clean, joins, latest, lookup, profile, quality, rates, targets, trend
 from stratagauge.plans import gold, star
+from stratagauge.plans.star import Star
 from stratagauge.session import scratch_dir, tune
 from stratagauge.sources import bronze, landing, tables, warehouse
 from stratagauge.streaming import bronze as stream
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 _NAMES = {"id_municipio": "territory_id", "ano": "yr", "rede": "network", "serie": "grade"}
 
@@ -41,8 +40,8 @@ STREAM_SCHEMA = T.StructType(
 )
 
 
-def _query(run: Query) -> Query:
-    QUERIES[run.__name__] = lambda spark, sf_dir: run(tune(spark), sf_dir)
+def _query(run: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
+    QUERIES[run.__name__] = lambda spark, sf_dir: run(Star(tune(spark), sf_dir))
     return run
 
 
@@ -54,8 +53,8 @@ def _territory(df: DataFrame) -> DataFrame:
 
 
 @_query
-def clean_keys(spark, sf_dir):
-    customers = star.table(spark, sf_dir, "customer").select(
+def clean_keys(data):
+    customers = data.table("customer").select(
         F.col("c_custkey").alias("id_municipio"),
         F.col("c_mktsegment").alias("sigla_uf"),
         F.col("c_nationkey").alias("ano"),
@@ -66,16 +65,16 @@ def clean_keys(spark, sf_dir):
 
 
 @_query
-def fill_category(spark, sf_dir):
-    documents = star.table(spark, sf_dir, "documents").select("doc_id")
-    labels = star.table(spark, sf_dir, "labels").select("doc_id", "quality")
+def fill_category(data):
+    documents = data.table("documents").select("doc_id")
+    labels = data.table("labels").select("doc_id", "quality")
     joined = joins.left_lookup(documents, labels, {"doc_id": "doc_id"})
     return clean.fill_category(joined, ["quality"], "Not informed")
 
 
 @_query
-def unpivot_targets(spark, sf_dir):
-    return star.long_targets(spark, sf_dir).select(
+def unpivot_targets(data):
+    return data.long_targets.select(
         F.col("id_municipio").alias("territory_id"),
         F.col("rede").alias("network"),
         F.col("ano").alias("edition"),
@@ -85,17 +84,17 @@ def unpivot_targets(spark, sf_dir):
 
 
 @_query
-def state_from_prefix(spark, sf_dir):
+def state_from_prefix(data):
     state = keys.by_prefix(F.col("id_municipio"), star.STATE_NAMES)
     return _territory(
-        star.realized(spark, sf_dir).select(*star.TERRITORY_KEYS, state.alias("state"))
+        data.realized.select(*star.TERRITORY_KEYS, state.alias("state"))
     )
 
 
 @_query
-def decode_network(spark, sf_dir):
-    results = star.realized(spark, sf_dir).drop("rede_desc")
-    decoded = lookup.decode(results, star.dictionary(spark), "rede", "lineitem")
+def decode_network(data):
+    results = data.realized.drop("rede_desc")
+    decoded = lookup.decode(results, star.dictionary(data.spark), "rede", "lineitem")
     filled = clean.fill_category(decoded, ["rede_desc"], "Not informed")
     return _territory(
         filled.withColumnsRenamed({"taxa_alfabetizacao": "rate", "rede_desc": "network_desc"})
@@ -106,8 +105,8 @@ def decode_network(spark, sf_dir):
 
 
 @_query
-def actual_with_trajectory(spark, sf_dir):
-    joined = targets.with_trajectory(star.realized(spark, sf_dir), star.long_targets(spark, sf_dir))
+def actual_with_trajectory(data):
+    joined = targets.with_trajectory(data.realized, data.long_targets)
     return _territory(joined.drop("rede_desc")).withColumnsRenamed(
         {
             "taxa_alfabetizacao": "rate",
@@ -117,29 +116,29 @@ def actual_with_trajectory(spark, sf_dir):
     )
 
 
-def _indicator(spark, sf_dir):
-    return gold.municipality_indicator(star.realized(spark, sf_dir), star.long_targets(spark, sf_dir))
+def _indicator(data):
+    return gold.municipality_indicator(data.realized, data.long_targets)
 
 
 @_query
-def target_vs_actual(spark, sf_dir):
-    return _territory(_indicator(spark, sf_dir).drop("rede_desc", "sigla_uf")).withColumnsRenamed(
+def target_vs_actual(data):
+    return _territory(_indicator(data).drop("rede_desc", "sigla_uf")).withColumnsRenamed(
         {"taxa_realizada": "rate", "meta_ano": "target_value", "atingiu_meta": "attained"}
     )
 
 
 @_query
-def latest_targets(spark, sf_dir):
+def latest_targets(data):
     kept = targets.latest_targets(
-        star.long_targets(spark, sf_dir), ["id_municipio", "rede", "ano_meta"]
+        data.long_targets, ["id_municipio", "rede", "ano_meta"]
     )
     return _territory(kept).withColumnsRenamed({"ano_meta": "target_year", "valor_meta": "target_value"})
 
 
 @_query
-def state_target_vs_actual(spark, sf_dir):
+def state_target_vs_actual(data):
     compared = gold.state_indicator(
-        star.state_results(spark, sf_dir), star.state_targets(spark, sf_dir, "A"), "A", "A"
+        data.state_results, data.state_targets("A"), "A", "A"
     )
     return compared.select(
         F.col("sigla_uf").alias("state"),
@@ -152,9 +151,9 @@ def state_target_vs_actual(spark, sf_dir):
 
 
 @_query
-def evolution(spark, sf_dir):
+def evolution(data):
     series = gold.municipality_evolution(
-        star.realized(spark, sf_dir), star.long_targets(spark, sf_dir)
+        data.realized, data.long_targets
     )
     kind = F.when(F.col("tipo") == "realizado", "actual").otherwise("target")
     return series.select(
@@ -167,15 +166,18 @@ def evolution(spark, sf_dir):
 
 
 @_query
-def weighted_rate(spark, sf_dir):
-    return _weighted_rate(spark, sf_dir)
+def weighted_rate(data):
+    return _weighted_rate(data)
 
 
-def _weighted_rate(spark, sf_dir, lineitem=None):
+def _weighted_rate(data, lineitem=None):
     by = ["id_municipio", "ano", "rede"]
-    sums = rates.merge_sums(star.territory_sums(spark, sf_dir, lineitem), by)
+    sums = data.territory_sums if lineitem is None else data.sums(lineitem)
+    sums = rates.merge_sums(sums, by)
     return _territory(
-        rates.rates_from_sums(sums, by, rate="rate", total="weight_total", rows="students")
+        rates.rates_from_sums(
+            sums, by, rate="rate", total="weight_total", rows="students", digits=star.DIGITS
+        )
     )
 
 
@@ -183,29 +185,29 @@ def _weighted_rate(spark, sf_dir, lineitem=None):
 
 
 @_query
-def stream_profile(spark, sf_dir):
-    events = star.table(spark, sf_dir, "events")
+def stream_profile(data):
+    events = data.table("events")
     return profile.mean_by(events, "event_type", "value", "events", "mean_value", "decimal(18,2)")
 
 
 @_query
-def attainment_count(spark, sf_dir):
-    return profile.attainment(_indicator(spark, sf_dir), 1998).withColumnsRenamed(
+def attainment_count(data):
+    return profile.attainment(_indicator(data), 1998).withColumnsRenamed(
         {"atingiu_meta": "attained", "qtd_municipios": "territories"}
     )
 
 
 @_query
-def null_key_audit(spark, sf_dir):
-    documents = star.table(spark, sf_dir, "documents").select("doc_id")
-    labels = star.table(spark, sf_dir, "labels").select("doc_id", "quality")
+def null_key_audit(data):
+    documents = data.table("documents").select("doc_id")
+    labels = data.table("labels").select("doc_id", "quality")
     joined = joins.left_lookup(documents, labels, {"doc_id": "doc_id"})
     return profile.null_audit(joined, ["doc_id", "quality"], "_null")
 
 
 @_query
-def top_gap(spark, sf_dir):
-    return profile.largest_gaps(_indicator(spark, sf_dir), 1998, 15).select(
+def top_gap(data):
+    return profile.largest_gaps(_indicator(data), 1998, 15).select(
         F.col("id_municipio").alias("territory_id"),
         F.col("rede_desc").alias("network"),
         F.col("serie").alias("grade"),
@@ -214,21 +216,21 @@ def top_gap(spark, sf_dir):
 
 
 @_query
-def ordered_sample(spark, sf_dir):
-    series = evolution(spark, sf_dir)
+def ordered_sample(data):
+    series = evolution(data)
     return profile.first_rows(series, ["territory_id", "kind", "ref_year", "network", "value"], 20)
 
 
 @_query
-def row_counts(spark, sf_dir):
+def row_counts(data):
     names = ("customer", "supplier", "orders", "lineitem", "events", "documents", "labels")
-    return profile.row_counts({name: star.table(spark, sf_dir, name) for name in names})
+    return profile.row_counts({name: data.table(name) for name in names})
 
 
 @_query
-def regional_inequality(spark, sf_dir):
-    nation = star.table(spark, sf_dir, "nation")
-    results = star.realized(spark, sf_dir)
+def regional_inequality(data):
+    nation = data.table("nation")
+    results = data.realized
     number = F.substring("id_municipio", 1, 2).cast("int")
     located = results.join(nation, number == nation["n_nationkey"]).withColumnRenamed(
         "n_regionkey", "region"
@@ -239,10 +241,10 @@ def regional_inequality(spark, sf_dir):
 
 
 @_query
-def trend_projection(spark, sf_dir):
+def trend_projection(data):
     by = ["id_municipio", "rede", "serie"]
     projected = trend.project(
-        star.realized(spark, sf_dir), by, at=2005, origin=1995, year="ano", value="taxa_alfabetizacao"
+        data.realized, by, at=2005, origin=1995, year="ano", value="taxa_alfabetizacao"
     )
     return _territory(projected).withColumnsRenamed({"anos": "years", "projecao": "projected_2005"})
 
@@ -250,37 +252,37 @@ def trend_projection(spark, sf_dir):
 # --- Quality --------------------------------------------------------------------------------
 
 
-def _lines(spark, sf_dir):
-    lines = star.table(spark, sf_dir, "lineitem").select(
+def _lines(data):
+    lines = data.table("lineitem").select(
         *LINE_KEYS, "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"
     )
     return lines.withColumn("year", F.year("l_shipdate")).drop("l_shipdate")
 
 
-def _scored_lines(spark, sf_dir, ranges):
-    return quality.score(_lines(spark, sf_dir), LINE_KEYS, ranges, WORDING)
+def _scored_lines(data, ranges):
+    return quality.score(_lines(data), LINE_KEYS, ranges, WORDING)
 
 
 @_query
-def duplicate_count(spark, sf_dir):
-    lines = star.table(spark, sf_dir, "lineitem").select(*LINE_KEYS, "l_partkey", "l_suppkey")
+def duplicate_count(data):
+    lines = data.table("lineitem").select(*LINE_KEYS, "l_partkey", "l_suppkey")
     return quality.duplicate_count(lines, LINE_KEYS)
 
 
 @_query
-def quarantine(spark, sf_dir):
-    failed = quality.quarantined(_scored_lines(spark, sf_dir, LINE_RANGES))
+def quarantine(data):
+    failed = quality.quarantined(_scored_lines(data, LINE_RANGES))
     return failed.withColumnRenamed(quality.REASON_TEXT, "reason").drop("year")
 
 
 @_query
-def approved(spark, sf_dir):
-    return quality.approved(_scored_lines(spark, sf_dir, LINE_RANGES))
+def approved(data):
+    return quality.approved(_scored_lines(data, LINE_RANGES))
 
 
 @_query
-def quality_summary(spark, sf_dir):
-    counts = quality.summary("lineitem", _lines(spark, sf_dir), LINE_KEYS, LINE_RANGES)
+def quality_summary(data):
+    counts = quality.summary("lineitem", _lines(data), LINE_KEYS, LINE_RANGES)
     return counts.withColumnsRenamed(
         {
             "tabela": "tbl",
@@ -292,28 +294,28 @@ def quality_summary(spark, sf_dir):
 
 
 @_query
-def reason_histogram(spark, sf_dir):
-    failed = quality.quarantined(_scored_lines(spark, sf_dir, QUANTITY_RANGE))
+def reason_histogram(data):
+    failed = quality.quarantined(_scored_lines(data, QUANTITY_RANGE))
     return quality.reason_histogram(failed).withColumnsRenamed(
         {quality.REASON_TEXT: "reason", "qtd": "qty"}
     )
 
 
 @_query
-def referential_violations(spark, sf_dir):
-    documents = star.table(spark, sf_dir, "documents").select("doc_id")
-    return joins.missing_in(documents, "doc_id", star.table(spark, sf_dir, "labels"))
+def referential_violations(data):
+    documents = data.table("documents").select("doc_id")
+    return joins.missing_in(documents, "doc_id", data.table("labels"))
 
 
 @_query
-def rate_of_approved(spark, sf_dir):
+def rate_of_approved(data):
     """Rates from the rows that pass the quality rules."""
-    lines = star.table(spark, sf_dir, "lineitem").select(
+    lines = data.table("lineitem").select(
         *LINE_KEYS, "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_returnflag", "l_linestatus", "l_shipdate", F.year("l_shipdate").alias("year"),
     )
     passed = quality.approved(quality.score(lines, LINE_KEYS, LINE_RANGES, WORDING))
-    return _weighted_rate(spark, sf_dir, passed)
+    return _weighted_rate(data, passed)
 
 
 # --- Sources and sinks ----------------------------------------------------------------------
@@ -324,18 +326,18 @@ def _layers(spark, purpose):
 
 
 @_query
-def limited_scan(spark, sf_dir):
+def limited_scan(data):
     return profile.row_counts(
-        {"orders": tables.scan(spark, f"{sf_dir}/orders.parquet", columns=["o_orderkey"], limit=1000)}
+        {"orders": tables.scan(data.spark, f"{data.sf_dir}/orders.parquet", columns=["o_orderkey"], limit=1000)}
     )
 
 
 @_query
-def bronze_ingest(spark, sf_dir):
+def bronze_ingest(data):
     """A load written to bronze and read back with its ingest columns."""
-    path = _layers(spark, "bronze-ingest").bronze("orders")
-    bronze.write_bronze(star.table(spark, sf_dir, "orders"), "orders", path)
-    return bronze.read_bronze(spark, path).select(
+    path = _layers(data.spark, "bronze-ingest").bronze("orders")
+    bronze.write_bronze(data.table("orders"), "orders", path)
+    return bronze.read_bronze(data.spark, path).select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
         F.col("fonte").alias("source"),
         F.col("tipo_ingestao").alias("ingest_type"),
@@ -343,49 +345,49 @@ def bronze_ingest(spark, sf_dir):
 
 
 @_query
-def ingest_report(spark, sf_dir):
+def ingest_report(data):
     """Several loads and the row counts observed while writing; line items with five columns only."""
     columns = {
         "lineitem": ["l_suppkey", "l_shipdate", "l_returnflag", "l_quantity", "l_extendedprice"]
     }
 
     def source(name):
-        return tables.scan(spark, f"{sf_dir}/{name}.parquet", columns=columns.get(name))
+        return tables.scan(data.spark, f"{data.sf_dir}/{name}.parquet", columns=columns.get(name))
 
     report = bronze.ingest(
-        spark, source, _layers(spark, "ingest-report"), ["customer", "supplier", "lineitem"]
+        data.spark, source, _layers(data.spark, "ingest-report"), ["customer", "supplier", "lineitem"]
     )
     return report.drop("destino")
 
 
 @_query
-def partitioned_layer(spark, sf_dir):
+def partitioned_layer(data):
     """A rate table written to silver by year; one year is read back from its partition."""
-    path = _layers(spark, "partitioned-layer").silver("taxa")
-    tables.write_table(weighted_rate(spark, sf_dir), path, partition="yr")
-    return tables.read_table(spark, path).filter(F.col("yr") == 1998)
+    path = _layers(data.spark, "partitioned-layer").silver("taxa")
+    tables.write_table(weighted_rate(data), path, partition="yr")
+    return tables.read_table(data.spark, path).filter(F.col("yr") == 1998)
 
 
 @_query
-def quarantine_sink(spark, sf_dir):
+def quarantine_sink(data):
     """Quarantined rows written unpartitioned, then counted by reason."""
-    path = _layers(spark, "quarantine-sink").quarantine("lineitem")
-    tables.write_table(quarantine(spark, sf_dir), path)
-    stored = tables.read_table(spark, path).withColumnRenamed("reason", quality.REASON_TEXT)
+    path = _layers(data.spark, "quarantine-sink").quarantine("lineitem")
+    tables.write_table(quarantine(data), path)
+    stored = tables.read_table(data.spark, path).withColumnRenamed("reason", quality.REASON_TEXT)
     return quality.reason_histogram(stored).withColumnsRenamed(
         {quality.REASON_TEXT: "reason", "qtd": "qty"}
     )
 
 
 @_query
-def published_tables(spark, sf_dir):
+def published_tables(data):
     """Result tables published without a hop over the driver, and the counts the writers saw."""
     results = {
-        "target_vs_actual": target_vs_actual(spark, sf_dir),
-        "evolution": evolution(spark, sf_dir),
+        "target_vs_actual": target_vs_actual(data),
+        "evolution": evolution(data),
     }
-    target = _layers(spark, "published").base + "/{}"
-    return warehouse.publish(spark, results, target).drop("destino")
+    target = _layers(data.spark, "published").base + "/{}"
+    return warehouse.publish(data.spark, results, target).drop("destino")
 
 
 # --- Streaming ------------------------------------------------------------------------------
@@ -409,9 +411,9 @@ def _streamed(spark, events, purpose):
 
 
 @_query
-def stream_bronze(spark, sf_dir):
-    events = star.table(spark, sf_dir, "events")
-    return _streamed(spark, events, "stream-bronze").select(
+def stream_bronze(data):
+    events = data.table("events")
+    return _streamed(data.spark, events, "stream-bronze").select(
         "event_id", "user_id", "ts", "event_type", "value",
         F.col("fonte").alias("source"),
         F.col("tipo_ingestao").alias("ingest_type"),
@@ -419,22 +421,22 @@ def stream_bronze(spark, sf_dir):
 
 
 @_query
-def stream_deduplicated(spark, sf_dir):
+def stream_deduplicated(data):
     """Every event landed twice, streamed and reduced to one row per id."""
-    events = star.table(spark, sf_dir, "events").drop("props")
-    streamed = _streamed(spark, events.unionByName(events), "stream-deduplicated")
+    events = data.table("events").drop("props")
+    streamed = _streamed(data.spark, events.unionByName(events), "stream-deduplicated")
     cleaned = clean.drop_ingest_columns(streamed).drop("props")
     return latest.deduplicate_events(cleaned, "event_id", "ts")
 
 
 @_query
-def latest_measurement(spark, sf_dir):
-    events = star.table(spark, sf_dir, "events").drop("props")
+def latest_measurement(data):
+    events = data.table("events").drop("props")
     return latest.latest_measurement(events, "user_id", "ts", "event_id")
 
 
 @_query
-def drop_alert(spark, sf_dir):
-    events = star.table(spark, sf_dir, "events")
+def drop_alert(data):
+    events = data.table("events")
     fallen = alerts.drops(events, 100, "user_id", "ts", "event_id", "value")
     return fallen.select("event_id", "user_id", F.col("queda").alias("drop_by"))

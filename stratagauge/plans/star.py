@@ -7,13 +7,17 @@ Targets are derived from the mean discount and come in two editions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratagauge.functions import measures
 from stratagauge.operators import rates
 from stratagauge.operators.reshape import unpivot_targets
 
 CUTOFF = 25
+DIGITS = 2  # of prices and discounts
 TARGET_YEARS = range(1996, 2002)
 EDITIONS = (1995, 1996)
 TARGET_COLUMNS = [f"target_{year}" for year in TARGET_YEARS]
@@ -24,10 +28,6 @@ _STUDENT_KEYS = ["l_suppkey", "ano", "rede", "serie"]
 _DISCOUNT = "_discount"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def students(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         "l_suppkey",
@@ -36,97 +36,103 @@ def students(lineitem: DataFrame) -> DataFrame:
         F.col("l_linestatus").alias("serie"),
         F.col("l_quantity").alias("proficiencia"),
         F.col("l_extendedprice").alias("peso_aluno"),
-        F.col("l_discount").cast("decimal(9,2)").alias("discount"),
-    )
-
-
-def territories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(l_suppkey, id_municipio, state)"""
-    nation = table(spark, sf_dir, "nation")
-    supplier = table(spark, sf_dir, "supplier")
-    number = F.lpad(F.col("s_nationkey").cast("string"), 2, "0")
-    suffix = F.lpad(F.col("s_suppkey").cast("string"), 5, "0")
-    return supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).select(
-        F.col("s_suppkey").alias("l_suppkey"),
-        F.concat(number, suffix).alias("id_municipio"),
-        F.col("n_name").alias("state"),
-    )
-
-
-def territory_sums(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
-    """Partial sums per supplier, year, network and grade, with the supplier's territory.
-
-    Line items are summed before the join, so the large table is shuffled once, already reduced,
-    and a supplier with very many line items is no hot key.
-    """
-    if lineitem is None:
-        lineitem = table(spark, sf_dir, "lineitem")
-    sums = rates.partial_sums(
-        students(lineitem),
-        _STUDENT_KEYS,
-        CUTOFF,
-        weight_type="decimal(18,2)",
-        extra=[F.sum("discount").alias(_DISCOUNT)],
+        measures.units(F.col("l_discount"), DIGITS).alias("discount"),
     )
-    return sums.join(territories(spark, sf_dir), "l_suppkey")
 
 
-def realized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A result table: rate per territory, year, network and grade; labels equal the codes."""
-    sums = rates.merge_sums(territory_sums(spark, sf_dir), TERRITORY_KEYS)
-    return (
-        rates.rates_from_sums(sums, TERRITORY_KEYS, rate="taxa_alfabetizacao")
-        .drop("peso_total", "qtd_alunos")
-        .withColumn("rede_desc", F.col("rede"))
-    )
-
-
-def _discount_target(year=None):
+def _discount_target(year: int | None = None) -> Column:
     """1000 * mean discount, of one year if given."""
     chosen = F.lit(True) if year is None else F.col("ano") == year
-    total = F.sum(F.when(chosen, F.col(_DISCOUNT))).cast("double")
+    total = F.sum(F.when(chosen, F.col(_DISCOUNT))) / F.lit(10.0**DIGITS)
     rows = F.sum(F.when(chosen, F.col("_rows")))
     return F.round(F.try_divide(F.lit(1000) * total, rows), 1)
 
 
-def wide_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A wide target table: one row per territory, network and edition."""
-    by_network = (
-        territory_sums(spark, sf_dir)
-        .groupBy("id_municipio", "rede")
-        .agg(*[_discount_target(year).alias(name) for year, name in zip(TARGET_YEARS, TARGET_COLUMNS)])
-    )
-    editions = by_network.withColumn("ano", F.explode(F.array(*[F.lit(e) for e in EDITIONS])))
-    shifted = {
-        name: F.round(F.col(name) + F.col("ano") - EDITIONS[0], 1) for name in TARGET_COLUMNS
-    }
-    ends_in_zero = F.substring("id_municipio", -1, 1) == "0"
-    shifted["target_1998"] = F.when(~ends_in_zero, shifted["target_1998"])
-    return editions.withColumns(shifted)
-
-
-def long_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unpivot_targets(wide_targets(spark, sf_dir), TARGET_COLUMNS)
-
-
-def state_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = ["sigla_uf", "ano", "rede"]
-    sums = territory_sums(spark, sf_dir).withColumnRenamed("state", "sigla_uf")
-    return (
-        rates.rates_from_sums(rates.merge_sums(sums, keys), keys, rate="taxa_alfabetizacao")
-        .drop("peso_total", "qtd_alunos")
-        .withColumn("rede_desc", F.col("rede"))
-    )
-
-
-def state_targets(spark: SparkSession, sf_dir: str, network: str) -> DataFrame:
-    """Targets per state and year, for one network."""
-    return (
-        territory_sums(spark, sf_dir)
-        .groupBy(F.col("state").alias("sigla_uf"), F.col("ano").alias("ano_meta"))
-        .agg(_discount_target().alias("valor_meta"))
-        .withColumns({"ano": F.lit(EDITIONS[0]), "rede": F.lit(network)})
-    )
+class Star:
+    """The tables of one folder; each is listed and opened once, however often a plan uses it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self._opened: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._opened[name]
+
+    @cached_property
+    def territories(self) -> DataFrame:
+        """(l_suppkey, id_municipio, state)"""
+        nation, supplier = self.table("nation"), self.table("supplier")
+        number = F.lpad(F.col("s_nationkey").cast("string"), 2, "0")
+        suffix = F.lpad(F.col("s_suppkey").cast("string"), 5, "0")
+        return supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).select(
+            F.col("s_suppkey").alias("l_suppkey"),
+            F.concat(number, suffix).alias("id_municipio"),
+            F.col("n_name").alias("state"),
+        )
+
+    def sums(self, lineitem: DataFrame) -> DataFrame:
+        """Partial sums per supplier, year, network and grade, with the supplier's territory.
+
+        Line items are summed before the join, so the large table is shuffled once, already
+        reduced, and a supplier with very many line items is no hot key.
+        """
+        sums = rates.partial_sums(
+            students(lineitem),
+            _STUDENT_KEYS,
+            CUTOFF,
+            digits=DIGITS,
+            extra=[F.sum("discount").alias(_DISCOUNT)],
+        )
+        return sums.join(self.territories, "l_suppkey")
+
+    @cached_property
+    def territory_sums(self) -> DataFrame:
+        return self.sums(self.table("lineitem"))
+
+    @cached_property
+    def realized(self) -> DataFrame:
+        """A result table: rate per territory, year, network and grade; labels equal the codes."""
+        return self._rates(TERRITORY_KEYS, self.territory_sums)
+
+    @cached_property
+    def state_results(self) -> DataFrame:
+        sums = self.territory_sums.withColumnRenamed("state", "sigla_uf")
+        return self._rates(["sigla_uf", "ano", "rede"], sums)
+
+    @staticmethod
+    def _rates(keys: list[str], sums: DataFrame) -> DataFrame:
+        merged = rates.merge_sums(sums, keys)
+        rated = rates.rates_from_sums(merged, keys, rate="taxa_alfabetizacao", digits=DIGITS)
+        return rated.select(*keys, F.col("rede").alias("rede_desc"), "taxa_alfabetizacao")
+
+    @cached_property
+    def wide_targets(self) -> DataFrame:
+        """A wide target table: one row per territory, network and edition."""
+        by_network = self.territory_sums.groupBy("id_municipio", "rede").agg(
+            *[_discount_target(year).alias(name) for year, name in zip(TARGET_YEARS, TARGET_COLUMNS)]
+        )
+        editions = by_network.withColumn("ano", F.explode(F.array(*[F.lit(e) for e in EDITIONS])))
+        shifted = {
+            name: F.round(F.col(name) + F.col("ano") - EDITIONS[0], 1) for name in TARGET_COLUMNS
+        }
+        ends_in_zero = F.substring("id_municipio", -1, 1) == "0"
+        shifted["target_1998"] = F.when(~ends_in_zero, shifted["target_1998"])
+        return editions.withColumns(shifted)
+
+    @cached_property
+    def long_targets(self) -> DataFrame:
+        return unpivot_targets(self.wide_targets, TARGET_COLUMNS)
+
+    def state_targets(self, network: str) -> DataFrame:
+        """Targets per state and year, for one network."""
+        return (
+            self.territory_sums.groupBy(F.col("state").alias("sigla_uf"), F.col("ano").alias("ano_meta"))
+            .agg(_discount_target().alias("valor_meta"))
+            .withColumns({"ano": F.lit(EDITIONS[0]), "rede": F.lit(network)})
+        )
 
 
 def dictionary(spark: SparkSession) -> DataFrame:

@@ -9,12 +9,14 @@ from pyspark.sql import SparkSession
 
 # Adaptive execution does the size-dependent work: it picks broadcast joins from measured sizes,
 # splits hot join partitions and resizes write partitions. `forceOptimizeSkewedJoin` lets it split
-# a hot key even when a later step then needs another shuffle.
+# a hot key even when a later step then needs another shuffle. The hash-join threshold applies to the
+# measured partitions of the build side and saves the sort of the large side.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
