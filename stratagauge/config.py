@@ -102,6 +102,10 @@ class Layers:
     def silver(self, table: str) -> str:
         return f"{self.base}/silver/{table}"
 
+    def checked(self, table: str) -> str:
+        """Silver rows with their quality result, partitioned by it."""
+        return f"{self.base}/silver_avaliada/{table}"
+
     def gold(self, table: str) -> str:
         return f"{self.base}/gold/{table}"
 
