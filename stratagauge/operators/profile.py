@@ -16,11 +16,14 @@ def mean_by(
     value: str = "taxa_alfabetizacao",
     count_name: str = "eventos",
     mean_name: str = "taxa_media",
-    value_type: str = "decimal(18,6)",
+    digits: int = 4,
 ) -> DataFrame:
-    """Row count and mean (1 decimal) per group, largest group first."""
-    exact = measures.number(F.col(value)).cast(value_type)
-    mean = F.try_divide(F.sum(exact).cast("double"), F.count(exact))
+    """Row count and mean (1 decimal) per group, largest group first.
+
+    Values are summed as whole units of 10^-digits, so the order of the rows does not matter.
+    """
+    units = measures.units(measures.number(F.col(value)), digits)
+    mean = F.try_divide(F.sum(units) / F.lit(float(10**digits)), F.count(units))
     return (
         df.groupBy(by)
         .agg(F.count(F.lit(1)).alias(count_name), F.round(mean, 1).alias(mean_name))

@@ -106,7 +106,7 @@ def decode_network(data):
 
 @_query
 def actual_with_trajectory(data):
-    joined = targets.with_trajectory(data.realized, data.long_targets)
+    joined = targets.with_trajectory(data.shared.realized, data.shared.long_targets)
     return _territory(joined.drop("rede_desc")).withColumnsRenamed(
         {
             "taxa_alfabetizacao": "rate",
@@ -117,7 +117,7 @@ def actual_with_trajectory(data):
 
 
 def _indicator(data):
-    return gold.municipality_indicator(data.realized, data.long_targets)
+    return gold.municipality_indicator(data.shared.realized, data.shared.long_targets)
 
 
 @_query
@@ -138,7 +138,7 @@ def latest_targets(data):
 @_query
 def state_target_vs_actual(data):
     compared = gold.state_indicator(
-        data.state_results, data.state_targets("A"), "A", "A"
+        data.shared.state_results, data.shared.state_targets("A"), "A", "A"
     )
     return compared.select(
         F.col("sigla_uf").alias("state"),
@@ -153,7 +153,7 @@ def state_target_vs_actual(data):
 @_query
 def evolution(data):
     series = gold.municipality_evolution(
-        data.realized, data.long_targets
+        data.shared.realized, data.shared.long_targets
     )
     kind = F.when(F.col("tipo") == "realizado", "actual").otherwise("target")
     return series.select(
@@ -187,7 +187,7 @@ def _weighted_rate(data, lineitem=None):
 @_query
 def stream_profile(data):
     events = data.table("events")
-    return profile.mean_by(events, "event_type", "value", "events", "mean_value", "decimal(18,2)")
+    return profile.mean_by(events, "event_type", "value", "events", "mean_value", digits=2)
 
 
 @_query
@@ -372,7 +372,7 @@ def partitioned_layer(data):
 def quarantine_sink(data):
     """Quarantined rows written unpartitioned, then counted by reason."""
     path = _layers(data.spark, "quarantine-sink").quarantine("lineitem")
-    tables.write_table(quarantine(data), path)
+    tables.write_table(quarantine(data), path, compact=True)
     stored = tables.read_table(data.spark, path).withColumnRenamed("reason", quality.REASON_TEXT)
     return quality.reason_histogram(stored).withColumnsRenamed(
         {quality.REASON_TEXT: "reason", "qtd": "qty"}

@@ -43,14 +43,11 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def write_bronze(df: DataFrame, origin: str, path: str, fmt: str = "parquet") -> int:
     """Write one load and return its row count, counted while writing.
 
-    A second load on the same day replaces the first; earlier days stay.
+    Each task writes what it scanned, without a shuffle. A second load on the same day replaces the
+    first; earlier days stay.
     """
     watched = Observation()
-    stamped = (
-        stamp(nan_to_null(df), origin)
-        .hint("rebalance")
-        .observe(watched, F.count(F.lit(1)).alias("rows"))
-    )
+    stamped = stamp(nan_to_null(df), origin).observe(watched, F.count(F.lit(1)).alias("rows"))
     (
         stamped.write.format(fmt)
         .mode("overwrite")
