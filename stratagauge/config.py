@@ -62,10 +62,15 @@ REGION_BY_PREFIX = {"1": "Norte", "2": "Nordeste", "3": "Sudeste", "4": "Sul", "
 
 @dataclass(frozen=True)
 class QualitySpec:
-    """What is checked on one silver table: its key and the closed range of each column."""
+    """What is checked on one silver table.
+
+    Its key, the closed range of each column, and optionally (column, silver table) where each value
+    of the column has to exist.
+    """
 
     keys: tuple[str, ...]
     ranges: Mapping[str, tuple[float, float]] = field(default_factory=dict)
+    reference: tuple[str, str] | None = None
 
 
 QUALITY_SPECS = {

@@ -14,6 +14,7 @@ from stratagauge.operators.joins import left_lookup
 
 _COPIES = "_copies"
 REASON_TEXT = "motivo_quarentena"
+REFERENCE = "_reference"
 
 Ranges = Mapping[str, tuple[float, float]]
 
@@ -101,12 +102,12 @@ def evaluate(
 def unknown_reference(
     df: DataFrame, key: str, directory: DataFrame, wording: Wording = DEFAULT_WORDING
 ) -> DataFrame:
-    """Add `_reference`: the reason text where the key is set but not in the directory."""
-    known = directory.select(F.col(key).alias("_known")).distinct().withColumn("_found", F.lit(True))
+    """Add REFERENCE: the reason text where the key is set but not in the directory."""
+    known = directory.groupBy(F.col(key).alias("_known")).agg(F.lit(True).alias("_found"))
     joined = left_lookup(df, known, {key: "_known"})
     lost = F.col(key).isNotNull() & F.col("_found").isNull()
     reason = F.when(lost, F.lit(wording.unknown_reference.format(key)))
-    return joined.withColumn("_reference", reason).drop("_found")
+    return joined.withColumn(REFERENCE, reason).drop("_found")
 
 
 def oversized_id(column: str, width: int = 7, wording: Wording = DEFAULT_WORDING) -> Column:

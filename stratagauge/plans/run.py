@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratagauge.config import QUALITY_SPECS, STREAM_ORIGIN, STREAM_TABLE, Layers, QualitySpec
-from stratagauge.operators import quality
+from stratagauge.config import (
+    BATCH_TABLES,
+    QUALITY_SPECS,
+    STREAM_ORIGIN,
+    STREAM_TABLE,
+    Layers,
+    QualitySpec,
+)
+from stratagauge.operators import clean, profile, quality
 from stratagauge.plans import gold, silver
 from stratagauge.sources import bronze
 from stratagauge.sources.tables import read_table, write_table
@@ -55,6 +62,13 @@ def _bronze_events(spark: SparkSession, layers: Layers) -> DataFrame:
     return spark.read.format(layers.fmt).load(layers.bronze(STREAM_TABLE))
 
 
+def oversized_ids(spark: SparkSession, layers: Layers, tables: Iterable[str] = BATCH_TABLES) -> DataFrame:
+    """Bronze rows per table whose municipality id would be cut when it is normalized."""
+    read = _bronze_reader(spark, layers)
+    with_id = {table: df for table in tables if "id_municipio" in (df := read(table)).columns}
+    return profile.row_counts({table: clean.oversized_ids(df) for table, df in with_id.items()})
+
+
 def write_silver(spark: SparkSession, layers: Layers) -> dict[str, int]:
     """All silver tables and the rejected events; returns the rows written per table.
 
@@ -90,11 +104,19 @@ def check_quality(
     The scored rows are stored by outcome, with the counts observed by the same write. The
     quarantine table, which is written even when it is empty, is copied from the failed rows.
     """
+
+    def silver_table(name: str) -> DataFrame:
+        return read_table(spark, layers.silver(name), layers.fmt)
+
     report = []
     for table, spec in specs.items():
-        scored = quality.score(
-            read_table(spark, layers.silver(table), layers.fmt), spec.keys, spec.ranges
-        ).withColumn(PASSED, F.col(quality.REASON_TEXT) == "")
+        rows, extra = silver_table(table), []
+        if spec.reference is not None:
+            column, directory = spec.reference
+            rows = quality.unknown_reference(rows, column, silver_table(directory))
+            extra = [F.col(quality.REFERENCE)]
+        scored = quality.score(rows, spec.keys, spec.ranges, extra=extra).drop(quality.REFERENCE)
+        scored = scored.withColumn(PASSED, F.col(quality.REASON_TEXT) == "")
         path = layers.checked(table)
         seen = write_table(
             scored, path, layers.fmt, partition=PASSED, metrics={"passed": F.count_if(F.col(PASSED))}

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from stratagauge.config import Layers
+from stratagauge.config import QUALITY_SPECS, Layers, QualitySpec
 from stratagauge.operators import profile, trend
 from stratagauge.plans import run
 from stratagauge.sources.landing import land_events
@@ -71,14 +71,28 @@ def test_gold_holds_approved_rows_only(spark, layers, rows):
     assert run.read_approved(spark, layers, "municipio").columns == read_table(spark, layers.silver("municipio")).columns
 
 
+def test_references_and_oversized_ids(spark, layers):
+    layers = layers[0]
+    spec = QualitySpec(("id_municipio", "ano", "rede", "serie"), reference=("id_municipio", "meta_municipio"))
+    report = run.check_quality(spark, layers, {"municipio": spec}).first()
+    assert (report.total, report.aprovados, report.quarentena) == (7, 4, 3)
+    bad = read_table(spark, layers.quarantine("municipio")).filter("id_municipio = '2304400'")
+    assert {r.motivo_quarentena for r in bad.collect()} == {
+        "id_municipio_sem_referencia", "chave_duplicada; id_municipio_sem_referencia",
+    }
+    counts = {r.tabela: r.linhas for r in run.oversized_ids(spark, layers).collect()}
+    assert counts == {"municipio": 0, "meta_alfabetizacao_municipio": 0, "alunos": 0}
+    run.check_quality(spark, layers, {"municipio": QUALITY_SPECS["municipio"]})
+
+
 def test_gold_in_one_lazy_plan_equals_the_unfiltered_stages(spark, layers, rows):
     layers = layers[0]
-    other = Layers(layers.base + "-unfiltered")
     lazy = run.build_gold(run._bronze_reader(spark, layers), lambda: run._bronze_events(spark, layers))
+    staged = run.write_gold(spark, layers, only_approved=False)
+    assert staged == {name: df.count() for name, df in lazy.items()}
     for name, df in lazy.items():
-        stage = {r for r in rows(df)}
-        assert stage, other
-    assert lazy["indicador_municipio"].count() == 7
+        assert rows(read_table(spark, layers.gold(name)), *df.columns) == rows(df)
+    run.write_gold(spark, layers)
 
 
 def test_reports_over_gold(spark, layers, rows):
