@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,16 +51,19 @@ def _with_previous(key: str, value: str):
     return run
 
 
-def previous_values(events: DataFrame, key: str, time: str, tie_break: str, value: str) -> DataFrame:
-    """Add `previous`: the value of the same key one event earlier.
+def previous_values(
+    events: DataFrame, key: str, time: str, tie_break: str, value: str, keep: Column | None = None
+) -> DataFrame:
+    """Add `previous`: the value of the same key one event earlier; only rows that meet `keep` stay.
 
     Rows are range-partitioned by (key, time, id), so the history of a hot key is cut into many
     partitions instead of being one window. Each partition looks back within itself; its first row
-    gets the value of the partition before from the edge rows, two per partition. The partitioned
-    rows are written once, because both steps must see the same cuts. An event without key has no
-    previous value.
+    gets the value of the partition before from the edge rows, two per partition. The rows to keep
+    and the edge rows are written once, because both steps must see the same cuts. An event without
+    key has no previous value.
     """
     order = [key, time, tie_break]
+    keep = F.lit(True) if keep is None else keep
     rows = events.select(*dict.fromkeys([*order, value]))
     schema = T.StructType(
         [
@@ -70,19 +73,20 @@ def previous_values(events: DataFrame, key: str, time: str, tie_break: str, valu
             T.StructField(_LAST, T.BooleanType()),
         ]
     )
-    path = scratch_dir(events.sparkSession, "previous-values")
+    spark, path = events.sparkSession, scratch_dir(events.sparkSession, "previous-values")
     (
         rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .mapInArrow(_with_previous(key, value), schema)
+        .filter(keep | F.col(_FIRST) | F.col(_LAST))
         .write.parquet(path)
     )
-    staged = events.sparkSession.read.schema(schema).parquet(path)
-    edges = staged.filter(F.col(_FIRST) | F.col(_LAST)).filter(F.col(key).isNotNull())
+    staged = spark.read.schema(schema).parquet(path)
+    edges = staged.filter((F.col(_FIRST) | F.col(_LAST)) & F.col(key).isNotNull())
     window = Window.partitionBy(key).orderBy(time, tie_break)
     stitched = edges.withColumn(_PREVIOUS, F.lag(value).over(window)).filter(_FIRST)
     inner = staged.filter(~F.col(_FIRST) | F.col(key).isNull())
-    return inner.unionByName(stitched).drop(_FIRST, _LAST)
+    return inner.unionByName(stitched).filter(keep).drop(_FIRST, _LAST)
 
 
 def drops(
@@ -95,8 +99,5 @@ def drops(
 ) -> DataFrame:
     """Events that fell by more than `threshold` below the event before, with the size of the fall."""
     fall = F.col(_PREVIOUS) - F.col(value)
-    return (
-        previous_values(events, key, time, tie_break, value)
-        .filter(fall > F.lit(threshold))
-        .select(tie_break, key, time, measures.rounded(fall, 2).alias("queda"))
-    )
+    fallen = previous_values(events, key, time, tie_break, value, keep=fall > F.lit(threshold))
+    return fallen.select(tie_break, key, time, measures.rounded(fall, 2).alias("queda"))

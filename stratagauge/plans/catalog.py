@@ -10,8 +10,20 @@ from pyspark.sql import types as T
 
 from stratagauge.config import Layers
 from stratagauge.functions import keys, measures
-from stratagauge.operators import alerts, clean, joins, latest, lookup, profile, quality, rates, targets, trend
-from stratagauge.plans import gold, star
+from stratagauge.operators import (
+    alerts,
+    clean,
+    joins,
+    latest,
+    lookup,
+    profile,
+    quality,
+    rates,
+    reshape,
+    targets,
+    trend,
+)
+from stratagauge.plans import gold, silver, star
 from stratagauge.plans.star import Star
 from stratagauge.session import scratch_dir, tune
 from stratagauge.sources import bronze, landing, tables, warehouse
@@ -22,7 +34,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _NAMES = {"id_municipio": "territory_id", "ano": "yr", "rede": "network", "serie": "grade"}
 
 WORDING = quality.Wording(
-    null_key="null_key:{}", duplicate_key="duplicate_key", out_of_range="{}_out_of_range"
+    null_key="null_key:{}",
+    duplicate_key="duplicate_key",
+    out_of_range="{}_out_of_range",
+    unknown_reference="{}_unknown",
 )
 LINE_KEYS = ("l_orderkey", "l_linenumber")
 QUANTITY_RANGE = {"l_quantity": (2, 49)}
@@ -101,6 +116,27 @@ def decode_network(data):
     )
 
 
+@_query
+def silver_results(data):
+    """A stamped result table through the whole silver cleaning."""
+    raw = bronze.stamp(data.realized.drop("rede_desc"), "lineitem")
+    padded = raw.withColumns({"rede": F.concat(F.lit(" "), "rede"), "ano": F.col("ano").cast("string")})
+    return _territory(silver.results(padded, star.dictionary(data.spark), "lineitem")).withColumnsRenamed(
+        {"taxa_alfabetizacao": "rate", "rede_desc": "network_desc", "serie_desc": "grade_desc"}
+    )
+
+
+@_query
+def national_targets(data):
+    long = reshape.unpivot_targets(clean.clean(data.national_targets), star.TARGET_COLUMNS)
+    return long.select(
+        F.col("rede").alias("network"),
+        F.col("ano").alias("edition"),
+        F.col("ano_meta").alias("target_year"),
+        F.col("valor_meta").alias("target_value"),
+    )
+
+
 # --- Results and targets --------------------------------------------------------------------
 
 
@@ -249,6 +285,21 @@ def trend_projection(data):
     return _territory(projected).withColumnsRenamed({"anos": "years", "projecao": "projected_2005"})
 
 
+@_query
+def target_risk(data):
+    """Trend of each territory and network, carried on to 2001 and compared with that target."""
+    series = gold.municipality_evolution(data.shared.realized, data.shared.long_targets)
+    return trend.target_risk(series, at=2001, origin=1995).select(
+        F.col("id_municipio").alias("territory_id"),
+        F.col("rede_desc").alias("network"),
+        F.col("anos").alias("years"),
+        F.col("projecao").alias("projected_2001"),
+        F.col("meta").alias("target_2001"),
+        "gap_pp",
+        F.col("em_risco").alias("at_risk"),
+    )
+
+
 # --- Quality --------------------------------------------------------------------------------
 
 
@@ -307,6 +358,26 @@ def referential_violations(data):
     return joins.missing_in(documents, "doc_id", data.table("labels"))
 
 
+@_query
+def null_key_quarantine(data):
+    """A key that is missing in most rows and repeated in all of them."""
+    documents = data.table("documents").select("doc_id")
+    labels = data.table("labels").select("doc_id", "quality")
+    joined = joins.left_lookup(documents, labels, {"doc_id": "doc_id"})
+    failed = quality.quarantined(quality.score(joined, ["quality"], wording=WORDING))
+    return failed.withColumnRenamed(quality.REASON_TEXT, "reason")
+
+
+@_query
+def reference_quarantine(data):
+    """Documents whose id is not among the labels, with the reason."""
+    documents = data.table("documents").select("doc_id")
+    checked = quality.unknown_reference(documents, "doc_id", data.table("labels"), WORDING)
+    scored = quality.score(checked, ["doc_id"], extra=[F.col(quality.REFERENCE)], wording=WORDING)
+    failed = quality.quarantined(scored.drop(quality.REFERENCE))
+    return failed.withColumnRenamed(quality.REASON_TEXT, "reason")
+
+
 @_query
 def rate_of_approved(data):
     """Rates from the rows that pass the quality rules."""

@@ -77,6 +77,16 @@ from realized r left join nation n on cast(substring(r.territory_id,1,2) as int)
 select r.territory_id, r.yr, r.network, r.grade, r.rate, coalesce(d.label,'Not informed') as network_desc
 from realized r left join (select trim(code) as code, min(label) as label from dict
   where column_name='network' and table_id='lineitem' group by trim(code)) d on r.network = d.code
+""",
+    "silver_results": """
+select territory_id, yr, network, grade, rate,
+       case network when 'A' then 'State' when 'N' then 'Municipal' else 'Não informado' end as network_desc,
+       case grade when 'F' then 'First' else 'Não informado' end as grade_desc
+from realized
+""",
+    "national_targets": """
+select network, 1995 as edition, yr as target_year, round(1000*cast(sum(disc) as double)/count(*),1) as target_value
+from micro where yr between 1996 and 2001 group by network, yr
 """,
     "actual_with_trajectory": """
 select r.territory_id, r.yr, r.network, r.grade, r.rate, l.target_year, l.target_value
@@ -124,6 +134,22 @@ from realized r join nation n on cast(substring(r.territory_id,1,2) as int)=n.n_
 select territory_id, network, grade, n as years,
        round((round(10*sy)*(sxx-10*sx) + round(10*sxy)*(10*n-sx)) / (10e0*(n*sxx-sx*sx)), 1) + 0.0e0 as projected_2005
 from m where n*sxx-sx*sx <> 0
+""",
+    "target_risk": f"""
+, e as ({_EVOLUTION}),
+  m as (select territory_id, network,
+        count(case when kind='actual' then value end) as n,
+        cast(sum(case when kind='actual' and value is not null then ref_year-1995 end) as bigint) as sx,
+        cast(sum(case when kind='actual' and value is not null then (ref_year-1995)*(ref_year-1995) end) as bigint) as sxx,
+        cast(sum(case when kind='actual' then cast(value as decimal(9,1)) end) as double) as sy,
+        cast(sum(case when kind='actual' then (ref_year-1995)*cast(value as decimal(9,1)) end) as double) as sxy,
+        max(case when kind='target' and ref_year=2001 then value end) as target_2001
+        from e group by territory_id, network),
+  p as (select *, case when n*sxx-sx*sx <> 0 then
+        round((round(10*sy)*(sxx-6*sx) + round(10*sxy)*(6*n-sx)) / (10e0*(n*sxx-sx*sx)), 1) + 0.0e0 end as projected_2001 from m)
+select territory_id, network, n as years, projected_2001, target_2001,
+       round(target_2001 - projected_2001, 1) + 0.0e0 as gap_pp, projected_2001 < target_2001 as at_risk
+from p
 """,
     "published_tables": """
 select 'target_vs_actual' as tabela, count(*) as linhas from realized
@@ -180,6 +206,17 @@ select reason, count(*) as qty from (select {_REASON} as reason from {_COUNTED}
 """,
     "referential_violations": """
 select d.doc_id from documents d where not exists (select 1 from labels l where l.doc_id=d.doc_id)
+""",
+    "null_key_quarantine": """
+select doc_id, quality, concat_ws('; ', case when quality is null then 'null_key:quality' end,
+       case when n > 1 then 'duplicate_key' end) as reason
+from (select d.doc_id, l.quality, count(1) over (partition by l.quality) as n
+      from documents d left join labels l on d.doc_id=l.doc_id) x
+where quality is null or n > 1
+""",
+    "reference_quarantine": """
+select d.doc_id, 'doc_id_unknown' as reason from documents d
+where not exists (select 1 from labels l where l.doc_id=d.doc_id)
 """,
     "rate_of_approved": f"""
 with passed as (select * from {_COUNTED} x where not ({_BAD})),

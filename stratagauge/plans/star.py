@@ -124,12 +124,20 @@ class Star:
         rated = rates.rates_from_sums(merged, keys, rate="taxa_alfabetizacao", digits=DIGITS)
         return rated.select(*keys, F.col("rede").alias("rede_desc"), "taxa_alfabetizacao")
 
+    def _targets_by(self, *keys: str) -> DataFrame:
+        return self.territory_sums.groupBy(*keys).agg(
+            *[_discount_target(year).alias(name) for year, name in zip(TARGET_YEARS, TARGET_COLUMNS)]
+        )
+
+    @cached_property
+    def national_targets(self) -> DataFrame:
+        """A wide target table of one edition: one row per network."""
+        return self._targets_by("rede").withColumn("ano", F.lit(EDITIONS[0]))
+
     @cached_property
     def wide_targets(self) -> DataFrame:
         """A wide target table: one row per territory, network and edition."""
-        by_network = self.territory_sums.groupBy("id_municipio", "rede").agg(
-            *[_discount_target(year).alias(name) for year, name in zip(TARGET_YEARS, TARGET_COLUMNS)]
-        )
+        by_network = self._targets_by("id_municipio", "rede")
         editions = by_network.withColumn("ano", F.explode(F.array(*[F.lit(e) for e in EDITIONS])))
         shifted = {
             name: F.round(F.col(name) + F.col("ano") - EDITIONS[0], 1) for name in TARGET_COLUMNS
@@ -157,5 +165,6 @@ def dictionary(spark: SparkSession) -> DataFrame:
         ("lineitem", "rede", "A", "State"),
         ("lineitem", "rede", " N ", "Municipal"),
         ("other", "rede", "A", "Private"),
+        ("lineitem", "serie", "F", "First"),
     ]
     return spark.createDataFrame(rows, "id_tabela string, nome_coluna string, chave string, valor string")
