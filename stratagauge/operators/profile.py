@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratagauge.functions import measures
 
+# The names of the audit report.
+AUDITED_KEYS = {
+    "id_municipio": "id_municipio_nulo",
+    "ano": "ano_nulo",
+    "sigla_uf": "sigla_uf_nula",
+}
+
 
 def mean_by(
     df: DataFrame,
@@ -31,9 +38,9 @@ def mean_by(
     )
 
 
-def null_audit(df: DataFrame, columns: Sequence[str], suffix: str = "_nulo") -> DataFrame:
-    """One row with the number of NULLs of each column."""
-    return df.agg(*[F.count_if(F.col(name).isNull()).alias(name + suffix) for name in columns])
+def null_audit(df: DataFrame, columns: Mapping[str, str] = AUDITED_KEYS) -> DataFrame:
+    """One row with the number of NULLs of each column; `columns` maps it to its result name."""
+    return df.agg(*[F.count_if(F.col(name).isNull()).alias(result) for name, result in columns.items()])
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

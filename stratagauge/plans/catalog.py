@@ -238,7 +238,7 @@ def null_key_audit(data):
     documents = data.table("documents").select("doc_id")
     labels = data.table("labels").select("doc_id", "quality")
     joined = joins.left_lookup(documents, labels, {"doc_id": "doc_id"})
-    return profile.null_audit(joined, ["doc_id", "quality"], "_null")
+    return profile.null_audit(joined, {"doc_id": "doc_id_null", "quality": "quality_null"})
 
 
 @_query

@@ -160,11 +160,14 @@ class Star:
 
 
 def dictionary(spark: SparkSession) -> DataFrame:
-    """Network labels: a padded code, a code of another table, and none for R."""
-    rows = [
-        ("lineitem", "rede", "A", "State"),
-        ("lineitem", "rede", " N ", "Municipal"),
-        ("other", "rede", "A", "Private"),
-        ("lineitem", "serie", "F", "First"),
-    ]
-    return spark.createDataFrame(rows, "id_tabela string, nome_coluna string, chave string, valor string")
+    """Labels: a padded code, a code of another table, and none for network R and grade O."""
+    return spark.sql(
+        """
+        SELECT * FROM VALUES
+            ('lineitem', 'rede', 'A', 'State'),
+            ('lineitem', 'rede', ' N ', 'Municipal'),
+            ('other', 'rede', 'A', 'Private'),
+            ('lineitem', 'serie', 'F', 'First')
+        AS dictionary(id_tabela, nome_coluna, chave, valor)
+        """
+    )

@@ -61,11 +61,16 @@ def write_bronze(df: DataFrame, origin: str, path: str, fmt: str = "parquet") ->
 def read_bronze(
     spark: SparkSession, path: str, fmt: str = "parquet", date: datetime.date | None = None
 ) -> DataFrame:
-    """One load of a bronze table: that of `date`, by default the latest."""
-    df = spark.read.format(fmt).load(path)
+    """One load of a bronze table: that of `date`, by default the latest.
+
+    The columns are those of that load, also when earlier loads had others.
+    """
     if date is None:
-        date = df.agg(F.max(INGEST_DATE)).first()[0]
-    return df.filter(F.col(INGEST_DATE) == F.lit(date))
+        date = spark.read.format(fmt).load(path).agg(F.max(INGEST_DATE)).first()[0]
+    if fmt == "delta":
+        return spark.read.format(fmt).load(path).filter(F.col(INGEST_DATE) == F.lit(date))
+    load = spark.read.format(fmt).option("basePath", path)
+    return load.load(f"{path}/{INGEST_DATE}={date}")
 
 
 def ingest(

@@ -37,7 +37,8 @@ def test_silver(spark, layers, rows):
         (75.0, 4.0, 3)
     ]
     integrated = read_table(spark, layers.silver("indicador_municipio"))
-    assert rows(profile.null_audit(integrated, ["id_municipio", "ano", "sigla_uf"])) == [(0, 0, 0)]
+    audit = profile.null_audit(integrated)
+    assert audit.columns == ["id_municipio_nulo", "ano_nulo", "sigla_uf_nula"] and rows(audit) == [(0, 0, 0)]
 
 
 def test_quality_report_and_quarantine(spark, layers):

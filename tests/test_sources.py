@@ -38,7 +38,10 @@ def test_bronze_keeps_the_history_and_reads_the_latest_load(spark, tmp_path):
     assert bronze.read_bronze(spark, path).count() == 5
     old = bronze.read_bronze(spark, path, date=datetime.date(2020, 1, 1))
     assert old.count() == 3
-    assert "PartitionFilters: [isnotnull" in old._jdf.queryExecution().executedPlan().toString()
+    assert old.columns == bronze.read_bronze(spark, path).columns
+    bronze.write_bronze(spark.range(5).withColumn("novo", F.lit("x")), "t", path)
+    assert "novo" in bronze.read_bronze(spark, path).columns
+    assert "novo" not in bronze.read_bronze(spark, path, date=datetime.date(2020, 1, 1)).columns
 
 
 def test_ingest_reports_each_table(spark, tmp_path, rows):
