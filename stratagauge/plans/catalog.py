@@ -443,7 +443,7 @@ def partitioned_layer(data):
 def quarantine_sink(data):
     """Quarantined rows written unpartitioned, then counted by reason."""
     path = _layers(data.spark, "quarantine-sink").quarantine("lineitem")
-    tables.write_table(quarantine(data), path, compact=True)
+    tables.write_table(quarantine(data), path, rebalance=True)
     stored = tables.read_table(data.spark, path).withColumnRenamed("reason", quality.REASON_TEXT)
     return quality.reason_histogram(stored).withColumnsRenamed(
         {quality.REASON_TEXT: "reason", "qtd": "qty"}

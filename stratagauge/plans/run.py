@@ -92,7 +92,7 @@ def write_silver(spark: SparkSession, layers: Layers) -> dict[str, int]:
         silver.municipality_indicator(stored["municipio"], stored["meta_municipio"]),
     )
     rejected = stream.rejected_events(_bronze_events(spark, layers))
-    write_table(rejected, layers.quarantine("eventos_rejeitados"), layers.fmt, compact=True)
+    write_table(rejected, layers.quarantine("eventos_rejeitados"), layers.fmt, rebalance=True)
     return rows
 
 
@@ -119,10 +119,15 @@ def check_quality(
         scored = scored.withColumn(PASSED, F.col(quality.REASON_TEXT) == "")
         path = layers.checked(table)
         seen = write_table(
-            scored, path, layers.fmt, partition=PASSED, metrics={"passed": F.count_if(F.col(PASSED))}
+            scored,
+            path,
+            layers.fmt,
+            partition=PASSED,
+            rebalance=False,
+            metrics={"passed": F.count_if(F.col(PASSED))},
         )
         failed = read_table(spark, path, layers.fmt).filter(~F.col(PASSED)).drop(PASSED)
-        write_table(failed, layers.quarantine(table), layers.fmt, compact=True)
+        write_table(failed, layers.quarantine(table), layers.fmt, rebalance=True)
         report.append((table, seen["rows"], seen["passed"]))
     counts = spark.createDataFrame(report, "tabela string, rows long, passed long")
     return counts.select("tabela", *quality.summary_columns(F.col("rows"), F.col("passed")))

@@ -36,23 +36,21 @@ def write_table(
     path: str,
     fmt: str = "parquet",
     partition: str | None = None,
-    compact: bool = False,
+    rebalance: bool | None = None,
     metrics: Mapping[str, Column] | None = None,
 ) -> dict[str, int]:
     """Replace a layer table, partitioned if it has that column; returns the observed metrics.
 
-    A partitioned table is rebalanced by that column: few files per partition, and a value that
-    holds many rows is split over several writers. `compact` does the same for a table that a filter
-    left nearly empty. Other tables are written without a further shuffle. Plain files do not
-    remember the schema of an empty partitioned table or the type of a partition column, so it is
-    kept beside them.
+    By default a partitioned table is rebalanced by that column: few files per partition, and a
+    value that holds many rows is split over several writers. Other tables are written without a
+    further shuffle. `rebalance` says otherwise: true for a table that a filter left nearly empty,
+    false for a large one with few partition values. Plain files do not remember the schema of an
+    empty partitioned table or the type of a partition column, so it is kept beside them.
     """
     partitioned = partition is not None and partition in df.columns
     balanced = df
-    if partitioned:
-        balanced = df.hint("rebalance", F.col(partition))
-    elif compact:
-        balanced = df.hint("rebalance")
+    if partitioned if rebalance is None else rebalance:
+        balanced = df.hint("rebalance", *([F.col(partition)] if partitioned else []))
     # Observed in the writing stage: only there is every row counted once even if tasks are rerun.
     watched = Observation()
     balanced = balanced.observe(

@@ -54,6 +54,11 @@ def test_latest_row_is_reduced_before_the_shuffle(spark, name):
     assert re.search(r"Exchange.*\n.*WindowGroupLimit .* Partial", plan_of(QUERIES[name](spark, DATA)))
 
 
+@pytest.mark.parametrize("name", ["top_gap", "ordered_sample"])
+def test_top_rows_are_kept_per_task(spark, name):
+    assert "TakeOrderedAndProject" in plan_of(QUERIES[name](spark, DATA))
+
+
 def test_only_needed_columns_are_read(spark, large_tables):
     rate = ["l_extendedprice", "l_quantity", "l_returnflag", "l_shipdate", "l_suppkey"]
     read = scanned(plan_of(QUERIES["weighted_rate"](spark, DATA)), "lineitem")

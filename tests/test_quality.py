@@ -88,31 +88,3 @@ def test_extra_checks(spark):
         "1234567": "",
         "99": "id_municipio_sem_referencia",
     }
-
-
-def test_a_hot_key_is_split_over_tasks(spark):
-    """A third of the rows has one key; adaptive execution must split its partition."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-        "spark.sql.shuffle.partitions": "8",
-    }
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
-        df = spark.range(0, 60000, numPartitions=8).select(
-            F.when(F.col("id") % 3 != 0, F.col("id")).alias("k"), F.col("id").alias("payload")
-        )
-        counted = quality.duplicate_count(df, ["k"])
-        hot = counted.filter("dup > 1").collect()
-        assert len(hot) == 20000 and {r.dup for r in hot} == {20000}
-        counted.collect()
-        plan = counted._jdf.queryExecution().executedPlan().toString()
-        assert "skew=true" in plan
-    finally:
-        for name in settings:
-            spark.conf.unset(name)
-        spark.conf.set("spark.sql.shuffle.partitions", 4)
