@@ -23,7 +23,7 @@ from stratagauge.operators import (
     targets,
     trend,
 )
-from stratagauge.plans import gold, silver, star
+from stratagauge.plans import gold, run, silver, star
 from stratagauge.plans.star import Star
 from stratagauge.session import scratch_dir, tune
 from stratagauge.sources import bronze, landing, tables, warehouse
@@ -511,3 +511,21 @@ def drop_alert(data):
     events = data.table("events")
     fallen = alerts.drops(events, 100, "user_id", "ts", "event_id", "value")
     return fallen.select("event_id", "user_id", F.col("queda").alias("drop_by"))
+
+
+@_query
+def gold_from_layers(data):
+    """All stages of a run over the test tables: bronze, stream, silver, quality, gold."""
+    layers, sources = _layers(data.spark, "layers"), data.source_tables()
+    run.load_bronze(data.spark, sources.__getitem__, layers)
+    landing.land_events(data.source_events(), layers.landing)
+    run.drain_events(data.spark, layers)
+    run.write_silver(data.spark, layers)
+    run.check_quality(data.spark, layers)
+    run.write_gold(data.spark, layers)
+    indicator = tables.read_table(data.spark, layers.gold("indicador_municipio"))
+    return _territory(
+        indicator.withColumn("ano", F.col("ano") - star.YEAR_SHIFT).drop("rede_desc", "sigla_uf")
+    ).withColumnsRenamed(
+        {"taxa_realizada": "rate", "meta_ano": "target_value", "atingiu_meta": "attained"}
+    )

@@ -97,6 +97,17 @@ select r.territory_id, r.yr, r.network, r.grade, r.rate, t.target_value,
        round(t.target_value - r.rate, 1) + 0.0e0 as gap_pp,
        case when t.target_value is not null then r.rate >= t.target_value end as attained
 from realized r left join tgt t on r.territory_id=t.territory_id and r.yr=t.target_year and r.network=t.network
+""",
+    "gold_from_layers": """
+, passed as (
+  select territory_id, network, target_year, target_value
+  from (select *, row_number() over (partition by territory_id, network, target_year order by edition desc) as rn
+        from long where target_value between 0 and 100) x
+  where rn = 1)
+select r.territory_id, r.yr, r.network, r.grade, r.rate, t.target_value,
+       round(t.target_value - r.rate, 1) + 0.0e0 as gap_pp,
+       case when t.target_value is not null then r.rate >= t.target_value end as attained
+from realized r left join passed t on r.territory_id=t.territory_id and r.yr=t.target_year and r.network=t.network
 """,
     "latest_targets": "select territory_id, network, target_year, target_value from tgt",
     "state_target_vs_actual": """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from stratagauge.config import (
 )
 from stratagauge.operators import clean, profile, quality
 from stratagauge.plans import gold, silver
+from stratagauge.session import side_by_side
 from stratagauge.sources import bronze
 from stratagauge.sources.tables import read_table, write_table
 from stratagauge.streaming import bronze as stream
@@ -77,22 +79,24 @@ def write_silver(spark: SparkSession, layers: Layers) -> dict[str, int]:
     lazy = silver.silver_tables(
         _bronze_reader(spark, layers), lambda: _bronze_events(spark, layers)
     )
-    derived = ("taxa_alunos_calc", "indicador_municipio")
-    rows = {}
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        path = layers.silver(name)
-        rows[name] = write_table(df, path, layers.fmt, partition="ano")["rows"]
-        return read_table(spark, path, layers.fmt)
-
-    stored = {name: store(name, df) for name, df in lazy.items() if name not in derived}
-    store("taxa_alunos_calc", silver.student_rates(stored["alunos"]))
-    store(
-        "indicador_municipio",
-        silver.municipality_indicator(stored["municipio"], stored["meta_municipio"]),
-    )
+
+    def write(name: str, df: DataFrame) -> Callable[[], int]:
+        return lambda: write_table(df, layers.silver(name), layers.fmt, partition="ano")["rows"]
+
+    def stored(name: str) -> DataFrame:
+        return read_table(spark, layers.silver(name), layers.fmt)
+
+    derived = {
+        "taxa_alunos_calc": lambda: silver.student_rates(stored("alunos")),
+        "indicador_municipio": lambda: silver.municipality_indicator(
+            stored("municipio"), stored("meta_municipio")
+        ),
+    }
     rejected = stream.rejected_events(_bronze_events(spark, layers))
-    write_table(rejected, layers.quarantine("eventos_rejeitados"), layers.fmt, rebalance=True)
+    path = layers.quarantine("eventos_rejeitados")
+    rows = side_by_side({name: write(name, df) for name, df in lazy.items() if name not in derived})
+    rows |= side_by_side({name: write(name, build()) for name, build in derived.items()})
+    write_table(rejected, path, layers.fmt, rebalance=True)
     return rows
 
 
@@ -108,8 +112,7 @@ def check_quality(
     def silver_table(name: str) -> DataFrame:
         return read_table(spark, layers.silver(name), layers.fmt)
 
-    report = []
-    for table, spec in specs.items():
+    def check(table: str, spec: QualitySpec) -> dict[str, int]:
         rows, extra = silver_table(table), []
         if spec.reference is not None:
             column, directory = spec.reference
@@ -128,7 +131,10 @@ def check_quality(
         )
         failed = read_table(spark, path, layers.fmt).filter(~F.col(PASSED)).drop(PASSED)
         write_table(failed, layers.quarantine(table), layers.fmt, rebalance=True)
-        report.append((table, seen["rows"], seen["passed"]))
+        return seen
+
+    seen = side_by_side({table: partial(check, table, spec) for table, spec in specs.items()})
+    report = [(table, counts["rows"], counts["passed"]) for table, counts in seen.items()]
     counts = spark.createDataFrame(report, "tabela string, rows long, passed long")
     return counts.select("tabela", *quality.summary_columns(F.col("rows"), F.col("passed")))
 
@@ -148,10 +154,12 @@ def write_gold(spark: SparkSession, layers: Layers, only_approved: bool = True)
         return read_table(spark, layers.silver(table), layers.fmt)
 
     tables = gold.gold_tables({name: read(name) for name in _CHECKED_FOR_GOLD})
-    return {
-        name: write_table(df, layers.gold(name), layers.fmt, partition=GOLD_PARTITIONS[name])["rows"]
-        for name, df in tables.items()
-    }
+
+    def write(name: str) -> int:
+        path, partition = layers.gold(name), GOLD_PARTITIONS[name]
+        return write_table(tables[name], path, layers.fmt, partition)["rows"]
+
+    return side_by_side({name: partial(write, name) for name in tables})
 
 
 def build_gold(

@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratagauge.config import PUBLIC_NETWORK, STATE_TARGET_NETWORK
 from stratagauge.functions import measures
 from stratagauge.operators import rates
 from stratagauge.operators.reshape import unpivot_targets
@@ -22,14 +23,17 @@ TARGET_YEARS = range(1996, 2002)
 EDITIONS = (1995, 1996)
 TARGET_COLUMNS = [f"target_{year}" for year in TARGET_YEARS]
 STATE_NAMES = {f"{number:02d}": f"NATION_{number}" for number in range(25)}
+NETWORK_LABELS = {"A": PUBLIC_NETWORK, "N": "Municipal", "R": "Estadual"}
+YEAR_SHIFT = 28  # moves 1995..2002 to 2023..2030
 TERRITORY_KEYS = ["id_municipio", "ano", "rede", "serie"]
 
 _STUDENT_KEYS = ["l_suppkey", "ano", "rede", "serie"]
 _DISCOUNT = "_discount"
 
 
-def students(lineitem: DataFrame) -> DataFrame:
+def students(lineitem: DataFrame, *more: Column) -> DataFrame:
     return lineitem.select(
+        *more,
         "l_suppkey",
         F.year("l_shipdate").alias("ano"),
         F.col("l_returnflag").alias("rede"),
@@ -150,6 +154,53 @@ class Star:
     def long_targets(self) -> DataFrame:
         return unpivot_targets(self.wide_targets, TARGET_COLUMNS)
 
+    def source_tables(self) -> dict[str, DataFrame]:
+        """The tables as the seven batch sources of a full run, with years moved into their range."""
+        targets = {f"target_{y}": f"meta_alfabetizacao_{y + YEAR_SHIFT}" for y in TARGET_YEARS}
+        later = (F.col("ano") + YEAR_SHIFT).alias("ano")
+        state = F.col("state").alias("sigla_uf")
+        label = F.create_map(*[F.lit(part) for pair in NETWORK_LABELS.items() for part in pair])
+
+        def wide(df: DataFrame, *keys: Column) -> DataFrame:
+            return df.select(*keys, later, *[F.col(old).alias(new) for old, new in targets.items()])
+
+        labelled = label[F.col("rede")].alias("rede")
+        states = self._targets_by("state").withColumn("ano", F.lit(EDITIONS[0]))
+        lines = self.table("lineitem")
+        student = students(lines, F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id_aluno"))
+        codes = [
+            (table, "rede", code, name)
+            for table in ("uf", "municipio", "alunos")
+            for code, name in NETWORK_LABELS.items()
+        ]
+        schema = "id_tabela string, nome_coluna string, chave string, valor string"
+        return {
+            "uf": self.state_results.select("sigla_uf", later, "rede", "taxa_alfabetizacao"),
+            "municipio": self.realized.select(
+                "id_municipio", later, "rede", "serie", "taxa_alfabetizacao"
+            ),
+            "meta_alfabetizacao_brasil": wide(self.national_targets, labelled),
+            "meta_alfabetizacao_uf": wide(states, state, F.lit(STATE_TARGET_NETWORK).alias("rede")),
+            "meta_alfabetizacao_municipio": wide(self.wide_targets, F.col("id_municipio"), labelled),
+            "alunos": student.join(self.territories, "l_suppkey").select(
+                "id_aluno", "id_municipio", later, "rede", "serie", "proficiencia", "peso_aluno"
+            ),
+            "dicionario": self.spark.createDataFrame(codes, schema),
+        }
+
+    def source_events(self) -> DataFrame:
+        """Events as measurements of a municipality."""
+        return self.table("events").select(
+            F.col("event_id").cast("string").alias("evento_id"),
+            F.col("user_id").cast("string").alias("id_municipio"),
+            F.lit("sp").alias("sigla_uf"),
+            F.lit(2024).alias("ano"),
+            F.col("event_type").alias("rede"),
+            F.lit("2").alias("serie"),
+            F.col("value").alias("taxa_alfabetizacao"),
+            F.col("ts").alias("timestamp_evento"),
+        )
+
     def state_targets(self, network: str) -> DataFrame:
         """Targets per state and year, for one network."""
         return (

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 # Adaptive execution does the size-dependent work: it picks broadcast joins from measured sizes,
 # splits hot join partitions and resizes write partitions. `forceOptimizeSkewedJoin` lets it split
 # a hot key even when a later step then needs another shuffle. The hash-join threshold applies to the
@@ -42,3 +48,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         root = tempfile.mkdtemp(prefix="stratagauge-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def side_by_side(tasks: Mapping[str, Callable[[], T]], threads: int = 4) -> dict[str, T]:
+    """Run independent jobs of one session at the same time, so that the end of one write does not
+    leave the cluster idle; results in the order of the tasks, the first error is raised."""
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        started = {name: pool.submit(inherit(task)) for name, task in tasks.items()}
+        return {name: future.result() for name, future in started.items()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable, Iterable
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from stratagauge.config import BATCH_TABLES, INGEST_DATE, Layers
 from stratagauge.functions import measures
+from stratagauge.session import side_by_side
 
 REPORT_SCHEMA = T.StructType(
     [
@@ -80,8 +82,11 @@ def ingest(
     tables: Iterable[str] = BATCH_TABLES,
 ) -> DataFrame:
     """Load every table into bronze; returns the report (tabela, linhas, destino)."""
-    report = []
-    for table in tables:
-        path = layers.bronze(table)
-        report.append((table, write_bronze(read_source(table), table, path, layers.fmt), path))
+    rows = side_by_side(
+        {
+            table: partial(write_bronze, read_source(table), table, layers.bronze(table), layers.fmt)
+            for table in tables
+        }
+    )
+    report = [(table, count, layers.bronze(table)) for table, count in rows.items()]
     return spark.createDataFrame(report, REPORT_SCHEMA)

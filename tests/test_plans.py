@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are
 # Queries that only return what an earlier write or stream has stored.
 STORED = {
     "bronze_ingest", "ingest_report", "partitioned_layer", "quarantine_sink", "published_tables",
-    "stream_bronze", "stream_deduplicated", "drop_alert",
+    "stream_bronze", "stream_deduplicated", "drop_alert", "gold_from_layers",
 }
 
 
