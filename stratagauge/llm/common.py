@@ -110,7 +110,8 @@ def link_buckets(
         if turn and open_.isEmpty():
             break
         if turn < stars:
-            order = F.struct(F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn)), "id", "c")
+            first = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
+            order = F.struct(first.alias("first"), "id", "c")
             heads = open_.groupBy("bucket").agg(F.min(order).alias("h"))
             heads = heads.select("bucket", F.col("h.id").alias("head"), F.col("h.c").alias("hc"))
         else:

@@ -99,13 +99,13 @@ WITH held AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS words FROM documents),
 template(label, notice, phrase) AS (VALUES {_ROWS}),
 placed AS (
-  SELECT *, list_filter(range(len(notice)), i -> notice[i + 1 : i + len(phrase)] = phrase)[1] AS key_at FROM template),
+  SELECT *, list_filter(range(len(notice)), lambda i: notice[i + 1 : i + len(phrase)] = phrase)[1] AS key_at FROM template),
 place AS (
-  SELECT doc_id, words, label, notice, key_at, unnest(list_filter(range(len(words)), i -> words[i + 1] = phrase[1] AND words[i + 1 : i + len(phrase)] = phrase)) AS key_start
+  SELECT doc_id, words, label, notice, key_at, unnest(list_filter(range(len(words)), lambda i: words[i + 1] = phrase[1] AND words[i + 1 : i + len(phrase)] = phrase)) AS key_start
   FROM held, placed),
 scored AS (
   SELECT doc_id, label, key_start,
-    len(list_filter(range(len(notice)), j -> key_start - key_at + j >= 0 AND words[key_start - key_at + j + 1] = notice[j + 1])) / len(notice) AS share
+    len(list_filter(range(len(notice)), lambda j: key_start - key_at + j >= 0 AND words[key_start - key_at + j + 1] = notice[j + 1])) / len(notice) AS share
   FROM place),
 per AS (
   SELECT doc_id, count(*) FILTER (label IN {BASE}) AS n, min(key_start) FILTER (label IN {BASE}) AS a, max(key_start) FILTER (label IN {BASE}) AS z,
