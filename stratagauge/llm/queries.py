@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from stratagauge.llm import licences, mixing, neardup
+from stratagauge.llm import licences, linededup, mixing, neardup
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
+    "op4_line_dedup": linededup.op4_line_dedup,
     "op5_minhash_near_dedup": neardup.op5_minhash_near_dedup,
     "op8_license_scan": licences.op8_license_scan,
 }

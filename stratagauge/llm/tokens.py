@@ -17,10 +17,10 @@ GAP = r"[^\p{L}\p{N}]+"
 P = np.uint64(0x9E3779B97F4A7C15)
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about SLICE bytes of text each."""
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about `size` bytes of text each."""
     sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes, dtype=np.int64) // SLICE
+    part = np.cumsum(sizes, dtype=np.int64) // size
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
     for lo, hi in zip(edges, edges[1:]):
         if hi > lo:
