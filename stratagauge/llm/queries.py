@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from stratagauge.llm import licences, linededup, mixing, neardup
+from stratagauge.llm import ann, licences, linededup, mixing, neardup, vectordup
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
     "op4_line_dedup": linededup.op4_line_dedup,
     "op5_minhash_near_dedup": neardup.op5_minhash_near_dedup,
     "op8_license_scan": licences.op8_license_scan,
+    "op9_embedding_near_dedup": vectordup.op9_embedding_near_dedup,
+    "op10_ann": ann.op10_ann,
 }
 
 SQL = {"op1_mix": mixing.OP1_SQL, "op8_license_scan": licences.OP8_SQL}
