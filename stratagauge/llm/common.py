@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratagauge.llm.tokens import slices
 from stratagauge.session import scratch_dir
 
 #: A candidate bitmap has 16 bits for each candidate, but no more than these (16 MB).
@@ -78,8 +80,94 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return below.unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """members with the component of each id; buckets that lie in one component are left out."""
+#: Open buckets of up to so many members are compared as pairs, larger ones in blocks of BLOCK members.
+SMALL, BLOCK, COLUMNS = 8, 256, 4096
+
+#: Sorted feature hashes of a text and their weights.
+Features = tuple[np.ndarray, np.ndarray]
+
+
+def jaccard(a: Features, b: Features) -> float:
+    """Weighted Jaccard similarity; a feature has one weight wherever it occurs."""
+    _, i, _ = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    both = float(a[1][i].sum())
+    return both / max(float(a[1].sum() + b[1].sum()) - both, 1e-30)
+
+
+def jaccard_block(left: list[Features], right: list[Features]) -> np.ndarray:
+    """The similarities of all of left with all of right, COLUMNS features at a time."""
+    seen = [np.unique(np.concatenate([f[0] for f in side])) for side in (left, right)]
+    shared = np.intersect1d(*seen, assume_unique=True)
+    both = np.zeros((len(left), len(right)))
+    for lo in range(0, len(shared), COLUMNS):
+        part = shared[lo : lo + COLUMNS]
+        sides = []
+        for side, weigh in ((left, True), (right, False)):
+            m = np.zeros((len(side), len(part)))
+            for row, (ids, weights) in zip(m, side):
+                own = slice(np.searchsorted(ids, part[0]), np.searchsorted(ids, part[-1], "right"))
+                at = np.searchsorted(part, ids[own])
+                hit = part[np.minimum(at, len(part) - 1)] == ids[own]
+                row[at[hit]] = weights[own][hit] if weigh else 1
+            sides.append(m)
+        both += sides[0] @ sides[1].T
+    sums = [np.array([f[1].sum() for f in side]) for side in (left, right)]
+    return both / np.maximum(sums[0][:, None] + sums[1][None, :] - both, 1e-30)
+
+
+def _judge_pairs(features, threshold: float):
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = features()
+        last, own = None, None
+        for batch in batches:
+            for part in slices(batch, "tb"):
+                keep = []
+                others = of(part["tb"])
+                for a, ta, other in zip(part["a"].to_pylist(), part["ta"], others):
+                    if a != last:  # pairs of one leader often follow each other
+                        last, own = a, of(pa.array([ta.as_py()], pa.string()))[0]
+                    keep.append(jaccard(own, other) >= threshold)
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return judge
+
+
+def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the same ids as all links a-b of one block, without the redundant ones."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while above.setdefault(x, x) != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    keep = np.zeros(len(a), np.bool_)
+    for n, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = top(x), top(y)
+        if x != y:
+            above[max(x, y)] = min(x, y)
+            keep[n] = True
+    return a[keep], b[keep]
+
+
+def _judge_blocks(features, threshold: float):
+    def judge(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        of = features()
+        a, b = (side["id"].to_numpy() for side in (left, right))
+        c, d = (side["c"].to_numpy() for side in (left, right))
+        if len(a) and len(b):
+            texts = [of(side["text"].combine_chunks()) for side in (left, right)]
+            i, j = np.nonzero((jaccard_block(*texts) >= threshold) & (c[:, None] != d[None, :]))
+            a, b = _spanning(a[i], b[j])
+        else:
+            a = b = np.zeros(0, np.int64)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return judge
+
+
+def _open_members(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """bucket, id, c (component so far); only buckets that lie in several components."""
     if labels is None:
         return members.withColumn("c", F.col("id"))
     named = members.join(labels.withColumnRenamed("component", "k"), "id", "left")
@@ -88,40 +176,51 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return named.join(open_.select("bucket"), "bucket")
 
 
-def link_buckets(
-    spark: SparkSession,
-    members: DataFrame,
-    verify: Callable[[DataFrame], DataFrame],
-    stars: int = 3,
-) -> DataFrame:
-    """Components of the links that `verify` finds between members of one bucket.
-
-    members: bucket, id (long), distinct, buckets with two members at least. verify: takes distinct
-    a, b and returns those that are links. Each round compares all members of a bucket with one leader
-    (another one each round), merges, and goes on with the buckets that still lie in several
-    components; copies of one thing thus cost one comparison each. What is left after `stars` rounds
-    is compared pair by pair across components, so that no connection between members of a bucket
-    is lost. Returns id, component like `components`.
+def link_buckets(spark: SparkSession, members: DataFrame, texts: DataFrame, features: Callable[[], Callable], threshold: float) -> DataFrame:
+    """Components of the links (Jaccard similarity >= threshold) between members of one bucket.
+
+    members: bucket, id (long), distinct. texts: id, text. features() gives, inside a task, a function
+    from an Arrow array of texts to their Features.
+
+    First all members of a bucket are compared with its smallest, so copies of one thing cost
+    one comparison each. Buckets that still lie in several components are compared completely across
+    components: small ones as pairs of rows, large ones in blocks that return links only. No link between members
+    of a bucket that would join two components is lost. Returns id, component like `components`.
     """
-    links = None
-    labels = None
-    for turn in range(stars + 1):
-        open_ = stage(spark, _labelled(members, labels), "open")
-        if turn and open_.isEmpty():
-            break
-        if turn < stars:
-            first = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
-            order = F.struct(first.alias("first"), "id", "c")
-            heads = open_.groupBy("bucket").agg(F.min(order).alias("h"))
-            heads = heads.select("bucket", F.col("h.id").alias("head"), F.col("h.c").alias("hc"))
-        else:
-            heads = open_.select("bucket", F.col("id").alias("head"), F.col("c").alias("hc"))
-        pairs = open_.join(heads, "bucket").where("c <> hc" if turn < stars else "hc < c")
-        pairs = pairs.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
-        found = stage(spark, verify(stage(spark, pairs, "pairs")), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = stage(spark, components(spark, links), "labels")
-    return labels
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        met = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+        met = met.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+        return met.select("a", "b", "ta", "tb").mapInArrow(_judge_pairs(features, threshold), "a long, b long")
+
+    heads = members.groupBy("bucket").agg(F.min("id").alias("a"))
+    pairs = members.join(heads, "bucket").where("a < id").select("a", F.col("id").alias("b")).distinct()
+    links = stage(spark, verify(pairs), "links")
+    labels = stage(spark, components(spark, links), "labels")
+
+    open_ = stage(spark, _open_members(members, labels), "open")
+    sizes = open_.groupBy("bucket").agg(F.count("*").alias("n"))
+    small = open_.join(sizes.where(F.col("n") <= SMALL).select("bucket"), "bucket")
+    one = small.select("bucket", F.col("id").alias("a"), F.col("c").alias("ca"))
+    two = small.select("bucket", F.col("id").alias("b"), F.col("c").alias("cb"))
+    pairs = one.join(two, "bucket").where("ca <> cb and a < b").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    found = stage(spark, verify(pairs), "links")
+
+    large = stage(spark, open_.join(sizes.where(F.col("n") > SMALL), "bucket").join(texts, "id"), "large-buckets")
+    # The largest component of a bucket needs no comparison with itself: left holds the others.
+    per = large.groupBy("bucket", "c").agg(F.count("*").alias("m"))
+    main = per.groupBy("bucket").agg(F.max(F.struct("m", "c")).alias("main"), F.sum("m").alias("all"))
+    main = main.select("bucket", F.col("main.c").alias("main"), F.ceil((F.col("all") - F.col("main.m")) / BLOCK).alias("ls"), F.ceil(F.col("all") / BLOCK).alias("rs"))
+    dealt = large.join(main, "bucket")
+    at = lambda parts: F.pmod(F.xxhash64("id", F.lit(5)), F.col(parts))
+    upto = lambda parts: F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))
+    left = dealt.where("c <> main").select("bucket", at("ls").alias("i"), upto("rs").alias("j"), "id", "c", "text")
+    right = dealt.select("bucket", upto("ls").alias("i"), at("rs").alias("j"), "id", "c", "text")
+    right = right.select(*[F.col(x).alias(x) for x in right.columns])  # columns of its own, for the cogroup
+    blocks = left.groupBy("bucket", "i", "j").cogroup(right.groupBy("bucket", "i", "j"))
+    dense = stage(spark, blocks.applyInArrow(_judge_blocks(features, threshold), "a long, b long").distinct(), "links")
+    merged = labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(found).unionByName(dense)
+    return stage(spark, components(spark, merged), "labels")
 
 
 def words_of(text: Column) -> Column:

@@ -128,28 +128,27 @@ def _taker(bits):
     return take
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two sorted weighted sets."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = float(np.minimum(a[1][i], b[1][j]).sum(dtype=np.float64))
-    return both / max(float(a[1].sum(dtype=np.float64) + b[1].sum(dtype=np.float64)) - both, 1e-30)
+def _features(idf):
+    """Shingles by occurrence: the k-th time a text holds a shingle is a feature that weighs its IDF."""
 
+    def make():
+        def of(texts: pa.Array) -> list:
+            hashes, begin = word_hashes(texts)
+            return [leveled(hashes[lo:hi], idf.value) for lo, hi in zip(begin, begin[1:])]
 
-def _judge(idf, threshold):
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None)  # pairs of one leader often follow each other
-        for batch in batches:
-            for part in slices(batch, "tb"):
-                keep = []
-                one, begin_one = word_hashes(part["ta"])
-                two, begin_two = word_hashes(part["tb"])
-                for n, a in enumerate(part["a"].to_pylist()):
-                    if last[0] != a:
-                        last = (a, weighted(one[begin_one[n] : begin_one[n + 1]], idf.value))
-                    keep.append(similarity(last[1], weighted(two[begin_two[n] : begin_two[n + 1]], idf.value)) >= threshold)
-                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        return of
+
+    return make
 
-    return judge
+
+def leveled(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features of one text; the smaller of two counts is then the number of features in common."""
+    found = np.sort(shingles(hashes, SHINGLE))
+    first = np.concatenate([[0], np.flatnonzero(np.diff(found)) + 1]) if len(found) else np.zeros(0, np.int64)
+    level = np.arange(len(found)) - np.repeat(first, np.diff(np.append(first, len(found))))
+    ids = np.where(level == 0, found, mixed(found + level.astype(np.uint64) * P))
+    order = np.argsort(ids)
+    return ids[order], idf[(found % np.uint64(DF_CELLS)).astype(np.int64)].astype(np.float64)[order]
 
 
 def classes(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -166,14 +165,9 @@ def classes(spark: SparkSession, documents: DataFrame, threshold: float = THRESH
     ids = members.select("id").distinct()
     bits = spark.sparkContext.broadcast(bitmap(ids, "id"))
     near = texts.mapInArrow(_taker(bits), "doc_id long, text string").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
-    near = stage(spark, near.dropDuplicates(["doc_id"]), "near-texts")
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        met = pairs.join(near.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-        met = met.join(near.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-        return met.select("a", "b", "ta", "tb").mapInArrow(_judge(idf, threshold), "a long, b long")
+    near = stage(spark, near.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "near-texts")
 
-    labels = link_buckets(spark, members, verify)
+    labels = link_buckets(spark, members, near, _features(idf), threshold)
     named = heads.join(labels, "id", "left").select(F.col("body").alias("key"), F.coalesce("component", "id").alias("class_id"))
     out = signed.join(named, (F.col("body") == F.col("key")) & F.col("doc_id").isNotNull(), "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
