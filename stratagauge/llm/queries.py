@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from stratagauge.llm import ann, licences, linededup, mixing, neardup, quality, vectordup
+from stratagauge.llm import ann, licences, linededup, mixing, neardup, quality, toxicity, vectordup
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
     "op3_quality": quality.op3_quality,
     "op4_line_dedup": linededup.op4_line_dedup,
     "op5_minhash_near_dedup": neardup.op5_minhash_near_dedup,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_license_scan": licences.op8_license_scan,
     "op9_embedding_near_dedup": vectordup.op9_embedding_near_dedup,
     "op10_ann": ann.op10_ann,
