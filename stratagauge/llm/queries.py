@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from stratagauge.llm import ann, licences, linededup, mixing, neardup, quality, toxicity, vectordup
+from stratagauge.llm import ann, licences, linededup, mixing, neardup, pieces, quality, toxicity, vectordup
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
+    "op2_sentencepiece": pieces.op2_sentencepiece,
     "op3_quality": quality.op3_quality,
     "op4_line_dedup": linededup.op4_line_dedup,
     "op5_minhash_near_dedup": neardup.op5_minhash_near_dedup,
