@@ -55,6 +55,18 @@ def may_hold(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (bits[at >> 6] >> (at & 63)) & 1 == 1
 
 
+def flagged(bits, yes: bool):
+    """For mapInArrow: the rows whose doc_id may be in a broadcast bitmap, or (yes=False) all others."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch["doc_id"]
+            hit = may_hold(bits.value, ids.fill_null(0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(hit == yes))
+
+    return keep
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """Connected components by alternating large-star and small-star steps.
 

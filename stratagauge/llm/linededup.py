@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratagauge.llm.common import bitmap, link_buckets, may_hold, stage, table
+from stratagauge.llm.common import bitmap, flagged, link_buckets, may_hold, stage, table
 from stratagauge.llm.tokens import P, mixed, slices
 
 SHINGLE, THRESHOLD, MIN_CHARS = 8, 0.8, 16
@@ -163,23 +163,13 @@ def duplicate_lines(spark: SparkSession, documents: DataFrame, threshold: float
     return out.select("doc", "line", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
 
 
-def _flagged(bits, yes: bool):
-    def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch["doc_id"]
-            hit = may_hold(bits.value, ids.fill_null(0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(hit == yes))
-
-    return flagged
-
-
 def dedup_lines(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents with repeated lines removed from `text`, and n_removed, n_lines (lines left)."""
     drop = stage(spark, duplicate_lines(spark, documents, threshold), "removed-lines")
     per = stage(spark, drop.groupBy(F.col("doc").alias("drop_doc")).agg(F.collect_set("line").alias("drop_lines")), "removed-by-doc")
     bits = spark.sparkContext.broadcast(bitmap(per, "drop_doc"))
-    hit = documents.mapInArrow(_flagged(bits, True), documents.schema).join(per, F.col("doc_id") == F.col("drop_doc"), "left")
-    rest = documents.mapInArrow(_flagged(bits, False), documents.schema).withColumn("drop_lines", F.lit(None).cast("array<long>"))
+    hit = documents.mapInArrow(flagged(bits, True), documents.schema).join(per, F.col("doc_id") == F.col("drop_doc"), "left")
+    rest = documents.mapInArrow(flagged(bits, False), documents.schema).withColumn("drop_lines", F.lit(None).cast("array<long>"))
     both = hit.drop("drop_doc").unionByName(rest)
     lines = F.split("text", "\n")
     gone = F.when(F.col("drop_lines").isNull(), 0).otherwise(F.size("drop_lines"))

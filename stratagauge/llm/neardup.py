@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratagauge.llm.common import bitmap, link_buckets, may_hold, stage, table
+from stratagauge.llm.common import bitmap, flagged, link_buckets, may_hold, stage, table
 from stratagauge.llm.tokens import P, mixed, shingles, slices, word_hashes
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -176,3 +176,14 @@ def classes(spark: SparkSession, documents: DataFrame, threshold: float = THRESH
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = classes(spark, table(spark, sf_dir, "documents"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)))
+
+
+def unique_documents(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents with one of each class, the smallest doc_id, and one of rows that repeat it; null doc_ids stay."""
+    found = stage(spark, classes(spark, documents, threshold), "classes").where("doc_id is not null")
+    per = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("class_id").alias("c"))
+    per = stage(spark, per.where("n > 1 or doc_id <> c").select(F.col("doc_id").alias("asked"), (F.col("doc_id") == F.col("c")).alias("stays")), "repeated-documents")
+    bits = spark.sparkContext.broadcast(bitmap(per, "asked"))
+    hit = documents.mapInArrow(flagged(bits, True), documents.schema).join(per, F.col("doc_id") == F.col("asked"), "left")
+    one = hit.where("stays").dropDuplicates(["doc_id"]).unionByName(hit.where("stays is null"))
+    return one.select(*documents.columns).unionByName(documents.mapInArrow(flagged(bits, False), documents.schema))
