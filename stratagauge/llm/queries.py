@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratagauge.llm import ann, licences, linededup, mixing, neardup, pieces, quality, toxicity, vectordup
+from stratagauge.llm import ann, htmltext, licences, linededup, mixing, neardup, pieces, quality, toxicity, vectordup
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality": quality.op3_quality,
     "op4_line_dedup": linededup.op4_line_dedup,
     "op5_minhash_near_dedup": neardup.op5_minhash_near_dedup,
+    "op6_html_text": htmltext.op6_html_text,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_license_scan": licences.op8_license_scan,
     "op9_embedding_near_dedup": vectordup.op9_embedding_near_dedup,
