@@ -101,8 +101,10 @@ Features = tuple[np.ndarray, np.ndarray]
 
 def jaccard(a: Features, b: Features) -> float:
     """Weighted Jaccard similarity; a feature has one weight wherever it occurs."""
-    _, i, _ = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = float(a[1][i].sum())
+    if not len(a[0]) or not len(b[0]):
+        return 0.0
+    at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    both = float(a[1][b[0][at] == a[0]].sum())
     return both / max(float(a[1].sum() + b[1].sum()) - both, 1e-30)
 
 
@@ -130,15 +132,16 @@ def jaccard_block(left: list[Features], right: list[Features]) -> np.ndarray:
 def _judge_pairs(features, threshold: float):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = features()
-        last, own = None, None
         for batch in batches:
             for part in slices(batch, "tb"):
-                keep = []
-                others = of(part["tb"])
-                for a, ta, other in zip(part["a"].to_pylist(), part["ta"], others):
-                    if a != last:  # pairs of one leader often follow each other
-                        last, own = a, of(pa.array([ta.as_py()], pa.string()))[0]
-                    keep.append(jaccard(own, other) >= threshold)
+                # Copies of one leader's text are described once.
+                both = pa.concat_arrays([part["ta"], part["tb"]]).dictionary_encode()
+                known = of(both.dictionary)
+                sums = np.array([f[1].sum() for f in known])
+                one, two = np.split(both.indices.to_numpy(), 2)
+                # The similarity is at most the ratio of the sums.
+                close = np.minimum(sums[one], sums[two]) >= threshold * np.maximum(sums[one], sums[two]) * (1 - 1e-9)
+                keep = [c and jaccard(known[a], known[b]) >= threshold for a, b, c in zip(one, two, close)]
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return judge

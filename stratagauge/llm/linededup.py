@@ -128,9 +128,15 @@ def shingle_sets() -> Callable:
     """Sets of character shingles, all of weight 1."""
 
     def of(texts: pa.Array) -> list:
-        hashes, counts = rolled(texts.to_pylist())
-        sets = [np.unique(x) for x in np.split(hashes, np.cumsum(counts)[:-1])]
-        return [(x, np.ones(len(x))) for x in sets]
+        lines, out = texts.to_pylist(), []
+        for lo in range(0, len(lines), 500):  # in parts that stay in the cache
+            hashes, counts = rolled(lines[lo : lo + 500])
+            ends = np.cumsum(counts).tolist()
+            for begin, end in zip([0, *ends], ends):
+                own = np.sort(hashes[begin:end])
+                own = own[np.append(True, own[1:] != own[:-1])]
+                out.append((own, np.ones(len(own))))
+        return out
 
     return of
 
