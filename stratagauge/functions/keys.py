@@ -15,8 +15,13 @@ def text(value: Column) -> Column:
 
 
 def territory(value: Column, width: int = 7) -> Column:
-    """Zero-padded id. `lpad` also cuts longer values; `oversized` finds them beforehand."""
-    return F.lpad(text(value), width, "0")
+    """Zero-padded id; a longer one keeps all of its characters."""
+    return padded(value, width)
+
+
+def padded(value: Column, width: int) -> Column:
+    """Zeros in front of what is shorter than `width`; `lpad` alone would cut what is longer."""
+    return F.lpad(text(value), F.greatest(F.lit(width), F.length(text(value))), F.lit("0"))
 
 
 def oversized(value: Column, width: int = 7) -> Column:

@@ -41,5 +41,5 @@ def clean(df: DataFrame) -> DataFrame:
 
 
 def oversized_ids(df: DataFrame, column: str = "id_municipio", width: int = 7) -> DataFrame:
-    """Rows whose id would lose characters in `normalize_keys`."""
+    """Rows whose id is longer than its format allows."""
     return df.filter(keys.oversized(F.col(column), width))

@@ -32,6 +32,10 @@ def latest_measurement(
 def deduplicate_events(
     events: DataFrame, key: str = "evento_id", time: str = "timestamp_evento"
 ) -> DataFrame:
-    """One row per event id: the latest copy, and among equal times the highest other values."""
+    """One row per event id: the latest copy, and among equal times the highest other values.
+
+    Events without id are no copies of one another: all of them stay, for the quality rules to judge.
+    """
     others = [F.col(name).desc_nulls_last() for name in events.columns if name not in (key, time)]
-    return first_per_key(events, [key], [F.col(time).desc_nulls_last(), *others])
+    named, nameless = events.filter(F.col(key).isNotNull()), events.filter(F.col(key).isNull())
+    return first_per_key(named, [key], [F.col(time).desc_nulls_last(), *others]).unionByName(nameless)

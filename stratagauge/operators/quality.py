@@ -111,7 +111,7 @@ def unknown_reference(
 
 
 def oversized_id(column: str, width: int = 7, wording: Wording = DEFAULT_WORDING) -> Column:
-    """Extra check for raw ids that the zero-padding would cut."""
+    """Extra check for ids that are longer than their format allows."""
     return F.when(
         key_forms.oversized(F.col(column), width), F.lit(wording.oversized_id.format(column))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 DOMAIN = """
 with micro as (
-  select concat(lpad(cast(s_nationkey as varchar(9)),2,'0'), lpad(cast(l_suppkey as varchar(9)),5,'0')) as territory_id,
+  select concat(lpad(cast(s_nationkey as varchar),2,'0'), lpad(cast(l_suppkey as varchar),greatest(5,length(cast(l_suppkey as varchar)))::int,'0')) as territory_id,
          cast(year(l_shipdate) as int) as yr, l_returnflag as network, l_linestatus as grade,
          l_quantity as proficiency, cast(l_extendedprice as decimal(18,2)) as weight,
          cast(l_discount as decimal(9,2)) as disc, n_name as state
@@ -170,7 +170,7 @@ union all select 'evolution', (select count(*) from realized) + (select count(*)
 
 _STANDALONE = {
     "clean_keys": """
-select lpad(cast(c_custkey as varchar(20)),7,'0') as territory_id, upper(trim(c_mktsegment)) as segment,
+select lpad(cast(c_custkey as varchar),greatest(7,length(cast(c_custkey as varchar)))::int,'0') as territory_id, upper(trim(c_mktsegment)) as segment,
        cast(c_nationkey as int) as nation from customer
 """,
     "fill_category": """
@@ -232,7 +232,7 @@ where not exists (select 1 from labels l where l.doc_id=d.doc_id)
     "rate_of_approved": f"""
 with passed as (select * from {_COUNTED} x where not ({_BAD})),
 micro as (
-  select concat(lpad(cast(s_nationkey as varchar(9)),2,'0'), lpad(cast(l_suppkey as varchar(9)),5,'0')) as territory_id,
+  select concat(lpad(cast(s_nationkey as varchar),2,'0'), lpad(cast(l_suppkey as varchar),greatest(5,length(cast(l_suppkey as varchar)))::int,'0')) as territory_id,
          cast(year(l_shipdate) as int) as yr, l_returnflag as network,
          l_quantity as proficiency, cast(l_extendedprice as decimal(18,2)) as weight
   from passed join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey)

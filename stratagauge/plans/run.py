@@ -65,7 +65,7 @@ def _bronze_events(spark: SparkSession, layers: Layers) -> DataFrame:
 
 
 def oversized_ids(spark: SparkSession, layers: Layers, tables: Iterable[str] = BATCH_TABLES) -> DataFrame:
-    """Bronze rows per table whose municipality id would be cut when it is normalized."""
+    """Bronze rows per table whose municipality id is too long; `check_quality` quarantines them."""
     read = _bronze_reader(spark, layers)
     with_id = {table: df for table in tables if "id_municipio" in (df := read(table)).columns}
     return profile.row_counts({table: clean.oversized_ids(df) for table, df in with_id.items()})
@@ -113,11 +113,12 @@ def check_quality(
         return read_table(spark, layers.silver(name), layers.fmt)
 
     def check(table: str, spec: QualitySpec) -> dict[str, int]:
-        rows, extra = silver_table(table), []
+        rows = silver_table(table)
+        extra = [quality.oversized_id("id_municipio")] if "id_municipio" in rows.columns else []
         if spec.reference is not None:
             column, directory = spec.reference
             rows = quality.unknown_reference(rows, column, silver_table(directory))
-            extra = [F.col(quality.REFERENCE)]
+            extra.append(F.col(quality.REFERENCE))
         scored = quality.score(rows, spec.keys, spec.ranges, extra=extra).drop(quality.REFERENCE)
         scored = scored.withColumn(PASSED, F.col(quality.REASON_TEXT) == "")
         path = layers.checked(table)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratagauge.config import PUBLIC_NETWORK, STATE_TARGET_NETWORK
-from stratagauge.functions import measures
+from stratagauge.functions import keys, measures
 from stratagauge.operators import rates
 from stratagauge.operators.reshape import unpivot_targets
 
@@ -82,8 +82,7 @@ class Star:
     def territories(self) -> DataFrame:
         """(l_suppkey, id_municipio, state)"""
         nation, supplier = self.table("nation"), self.table("supplier")
-        number = F.lpad(F.col("s_nationkey").cast("string"), 2, "0")
-        suffix = F.lpad(F.col("s_suppkey").cast("string"), 5, "0")
+        number, suffix = keys.padded(F.col("s_nationkey"), 2), keys.padded(F.col("s_suppkey"), 5)
         return supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).select(
             F.col("s_suppkey").alias("l_suppkey"),
             F.concat(number, suffix).alias("id_municipio"),

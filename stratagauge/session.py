@@ -28,12 +28,20 @@ SETTINGS = {
 }
 
 
+# Marks a session that has its settings.
+_TUNED = "stratagauge.tuned"
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply SETTINGS to the session, but keep what its owner set at submission."""
+    """Apply SETTINGS to the session once; keep what its owner set at submission or at run time."""
+    if spark.conf.get(_TUNED, None):
+        return spark
     chosen = spark.sparkContext.getConf()
     for name, value in SETTINGS.items():
-        if not chosen.contains(name):
+        set_later = name in spark.conf.getAll and spark.conf.get(name) != chosen.get(name, None)
+        if not chosen.contains(name) and not set_later:
             spark.conf.set(name, value)
+    spark.conf.set(_TUNED, "true")
     return spark
 
 

@@ -60,6 +60,17 @@ def write_bronze(df: DataFrame, origin: str, path: str, fmt: str = "parquet") ->
     return watched.get["rows"]
 
 
+def latest_load(spark: SparkSession, path: str, fmt: str = "parquet") -> datetime.date:
+    """Date of the latest load: from the names of the date folders, without reading a file of any load."""
+    if fmt == "delta":
+        return spark.read.format(fmt).load(path).agg(F.max(INGEST_DATE)).first()[0]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    names = [status.getPath().getName() for status in store.listStatus(folder)]
+    dates = [name.partition("=")[2] for name in names if name.startswith(f"{INGEST_DATE}=")]
+    return max(datetime.date.fromisoformat(value) for value in dates if value[:1].isdigit())
+
+
 def read_bronze(
     spark: SparkSession, path: str, fmt: str = "parquet", date: datetime.date | None = None
 ) -> DataFrame:
@@ -68,7 +79,7 @@ def read_bronze(
     The columns are those of that load, also when earlier loads had others.
     """
     if date is None:
-        date = spark.read.format(fmt).load(path).agg(F.max(INGEST_DATE)).first()[0]
+        date = latest_load(spark, path, fmt)
     if fmt == "delta":
         return spark.read.format(fmt).load(path).filter(F.col(INGEST_DATE) == F.lit(date))
     load = spark.read.format(fmt).option("basePath", path)

@@ -23,14 +23,33 @@ def scan(
 ) -> DataFrame:
     """A source table: a path, or what the connector `fmt` calls a location.
 
-    `columns` is pushed into the scan. `limit` takes any n rows, for development loads.
+    `columns` is pushed into the scan. `limit` takes any n rows, for development loads. For `jdbc` the
+    location is the table; the options then name a partition column with its bounds and number of
+    partitions, or say `numPartitions` = 1: a read in one task has to be asked for.
     """
-    df = spark.read.format(fmt).options(**(options or {})).load(location)
+    reader = spark.read.format(fmt).options(**(options or {}))
+    if fmt == "jdbc":
+        df = reader.options(**jdbc_options(location, options or {})).load()
+    else:
+        df = reader.load(location)
     if columns is not None:
         df = df.select(*columns)
     return df if limit is None else df.limit(limit)
 
 
+_JDBC_PARTS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
+def jdbc_options(location: str, options: Mapping[str, str]) -> dict[str, str]:
+    """The table for a JDBC read; refuses options that would read it in one task unasked."""
+    given = {name.lower() for name in options}
+    parallel = all(name.lower() in given for name in _JDBC_PARTS)
+    alone = any(name.lower() == "numpartitions" and str(value) == "1" for name, value in options.items())
+    if not parallel and not alone:
+        raise ValueError(f"give {', '.join(_JDBC_PARTS)}, or numPartitions=1 to read in one task")
+    return {} if "query" in given or "dbtable" in given else {"dbtable": location}
+
+
 def write_table(
     df: DataFrame,
     path: str,

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from stratagauge.session import side_by_side
 from stratagauge.sources.bronze import REPORT_SCHEMA
 
 
@@ -22,8 +24,8 @@ def publish(
     Executors write directly. `location` is a template such as `dataset.{}` or `/path/{}`; for JDBC
     it names the `dbtable`.
     """
-    report = []
-    for name, df in tables.items():
+
+    def load(name: str, df: DataFrame) -> int:
         target = location.format(name)
         watched = Observation()
         counted = df.observe(watched, F.count(F.lit(1)).alias("rows"))
@@ -32,5 +34,8 @@ def publish(
             writer.option("dbtable", target).option("truncate", "true").save()
         else:
             writer.save(target)
-        report.append((name, watched.get["rows"], target))
+        return watched.get["rows"]
+
+    rows = side_by_side({name: partial(load, name, df) for name, df in tables.items()})
+    report = [(name, count, location.format(name)) for name, count in rows.items()]
     return spark.createDataFrame(report, REPORT_SCHEMA)

@@ -5,9 +5,9 @@ from stratagauge.plans.silver import add_state
 from stratagauge.sources.bronze import stamp
 
 
-def test_ids_are_padded_and_cut_and_counted_before_the_cut(spark, rows):
+def test_ids_are_padded_and_long_ones_keep_all_characters(spark, rows):
     df = spark.createDataFrame([("1302603",), ("12",), (None,), ("35503081",)], "id_municipio string")
-    assert rows(clean.normalize_keys(df)) == [("0000012",), ("1302603",), ("3550308",), (None,)]
+    assert rows(clean.normalize_keys(df)) == [("0000012",), ("1302603",), ("35503081",), (None,)]
     assert rows(clean.oversized_ids(df)) == [("35503081",)]
     as_number = spark.createDataFrame([(1302603,)], "id_municipio long")
     assert rows(clean.normalize_keys(as_number)) == [("1302603",)]
