@@ -171,16 +171,17 @@ def duplicate_lines(spark: SparkSession, documents: DataFrame, threshold: float
 
 def dedup_lines(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents with repeated lines removed from `text`, and n_removed, n_lines (lines left)."""
+    documents = documents.drop("n_removed", "n_lines")  # results of an earlier run
     drop = stage(spark, duplicate_lines(spark, documents, threshold), "removed-lines")
-    per = stage(spark, drop.groupBy(F.col("doc").alias("drop_doc")).agg(F.collect_set("line").alias("drop_lines")), "removed-by-doc")
-    bits = spark.sparkContext.broadcast(bitmap(per, "drop_doc"))
-    hit = documents.mapInArrow(flagged(bits, True), documents.schema).join(per, F.col("doc_id") == F.col("drop_doc"), "left")
-    rest = documents.mapInArrow(flagged(bits, False), documents.schema).withColumn("drop_lines", F.lit(None).cast("array<long>"))
-    both = hit.drop("drop_doc").unionByName(rest)
+    per = stage(spark, drop.groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("line").alias("__lines")), "removed-by-doc")
+    bits = spark.sparkContext.broadcast(bitmap(per, "__doc"))
+    hit = documents.mapInArrow(flagged(bits, True), documents.schema).join(per, F.col("doc_id") == F.col("__doc"), "left")
+    rest = documents.mapInArrow(flagged(bits, False), documents.schema).withColumn("__lines", F.lit(None).cast("array<long>"))
+    both = hit.drop("__doc").unionByName(rest)
     lines = F.split("text", "\n")
-    gone = F.when(F.col("drop_lines").isNull(), 0).otherwise(F.size("drop_lines"))
-    left = F.filter(lines, lambda _, i: ~F.array_contains("drop_lines", i.cast("long")))
-    text = F.when(F.col("drop_lines").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    gone = F.when(F.col("__lines").isNull(), 0).otherwise(F.size("__lines"))
+    left = F.filter(lines, lambda _, i: ~F.array_contains("__lines", i.cast("long")))
+    text = F.when(F.col("__lines").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     return both.select(
         *[text.alias("text") if c == "text" else F.col(c) for c in documents.columns],
         gone.cast("long").alias("n_removed"),

@@ -189,10 +189,9 @@ FROM laid
 
 def mixed_documents(spark: SparkSession, documents: DataFrame, block: int = BLOCK) -> DataFrame:
     """The documents of the mix, whole: each row as often as the mix takes it, to the nearest whole number."""
-    taken = taken_words(spark, documents, block).where("taken > 0")
-    per = taken.groupBy(F.col("doc_id").alias("d"), F.col("source").alias("c"), F.col("size").alias("z")).agg(F.round(F.avg(F.col("taken") / F.col("size"))).cast("int").alias("times"))
-    per = per.where("times > 0")
-    sized = documents.withColumn("_size", words_of(F.col("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("c")) & (F.col("_size") == F.col("z"))
-    out = sized.join(per, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return out.select(*documents.columns)
+    taken = taken_words(spark, documents, block).where("taken > 0").groupBy("doc_id", "source", "size")
+    times = F.round(F.avg(F.col("taken") / F.col("size"))).cast("int")
+    per = taken.agg(times.alias("times")).where("times > 0").toDF("__doc", "__source", "__size", "__times")
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__words") == F.col("__size"))
+    out = documents.withColumn("__words", words_of(F.col("text"))).join(per, same)
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*documents.columns)

@@ -182,8 +182,8 @@ def unique_documents(spark: SparkSession, documents: DataFrame, threshold: float
     """The documents with one of each class, the smallest doc_id, and one of rows that repeat it; null doc_ids stay."""
     found = stage(spark, classes(spark, documents, threshold), "classes").where("doc_id is not null")
     per = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("class_id").alias("c"))
-    per = stage(spark, per.where("n > 1 or doc_id <> c").select(F.col("doc_id").alias("asked"), (F.col("doc_id") == F.col("c")).alias("stays")), "repeated-documents")
-    bits = spark.sparkContext.broadcast(bitmap(per, "asked"))
-    hit = documents.mapInArrow(flagged(bits, True), documents.schema).join(per, F.col("doc_id") == F.col("asked"), "left")
-    one = hit.where("stays").dropDuplicates(["doc_id"]).unionByName(hit.where("stays is null"))
+    per = stage(spark, per.where("n > 1 or doc_id <> c").select(F.col("doc_id").alias("__doc"), (F.col("doc_id") == F.col("c")).alias("__stays")), "repeated-documents")
+    bits = spark.sparkContext.broadcast(bitmap(per, "__doc"))
+    hit = documents.mapInArrow(flagged(bits, True), documents.schema).join(per, F.col("doc_id") == F.col("__doc"), "left")
+    one = hit.where("__stays").dropDuplicates(["doc_id"]).unionByName(hit.where("__stays is null"))
     return one.select(*documents.columns).unionByName(documents.mapInArrow(flagged(bits, False), documents.schema))

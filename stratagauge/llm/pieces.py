@@ -277,6 +277,7 @@ def dictionary(spark: SparkSession, documents: DataFrame, model: Pieces, most: i
 
 def encode(spark: SparkSession, documents: DataFrame, model: Pieces, most: int = DICTIONARY) -> DataFrame:
     """The documents with `ids` and `round_trip` (whether decoding gives the text again)."""
+    documents = documents.drop("ids", "round_trip")  # results of an earlier run
     known = dictionary(spark, documents, model, most)
     ids = known["ids"].combine_chunks().cast(pa.list_(pa.int32()))
     units_ = known["unit"].combine_chunks()
