@@ -70,7 +70,7 @@ def _shape(word: str) -> str:
 
 
 #: Shapes of plain words; the marks are PROSE.
-_PLAIN = {"x", "Xx", "X", "9"}
+_PLAIN = {"x", "Xx", "9"}
 
 
 def _odd(shape: str) -> bool:
