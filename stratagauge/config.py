@@ -79,7 +79,9 @@ QUALITY_SPECS = {
     ),
     "uf": QualitySpec(PRIMARY_KEYS["uf"], {"taxa_alfabetizacao": PERCENT_RANGE, "ano": YEAR_RANGE}),
     "meta_municipio": QualitySpec(
-        ("id_municipio", "ano", "rede", "ano_meta"), {"valor_meta": PERCENT_RANGE, "ano": YEAR_RANGE}
+        ("id_municipio", "ano", "rede", "ano_meta"),
+        {"valor_meta": PERCENT_RANGE, "ano": YEAR_RANGE},
+        reference=("id_municipio", "municipio"),
     ),
     "meta_uf": QualitySpec(
         ("sigla_uf", "ano", "rede", "ano_meta"), {"valor_meta": PERCENT_RANGE, "ano": YEAR_RANGE}

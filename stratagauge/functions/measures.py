@@ -11,6 +11,15 @@ def number(value: Column) -> Column:
     return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
 
 
+#: Room for 18 digits before the point and 10 behind; a sum of 10^10 such values still fits.
+EXACT = "decimal(28,10)"
+
+
+def exact(value: Column, kind: str = EXACT) -> Column:
+    """The number as a decimal for exact sums; NULL if it is none or does not fit."""
+    return number(value).try_cast(kind)
+
+
 def units(value: Column, digits: int) -> Column:
     """The number as a whole count of 10^-digits, for exact sums."""
     return F.rint(value * F.lit(float(10**digits))).cast("long")

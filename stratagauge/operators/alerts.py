@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratagauge.functions import measures
-from stratagauge.session import scratch_dir
 
 _PREVIOUS, _FIRST, _LAST = "previous", "_first", "_last"
 
@@ -52,14 +51,21 @@ def _with_previous(key: str, value: str):
 
 
 def previous_values(
-    events: DataFrame, key: str, time: str, tie_break: str, value: str, keep: Column | None = None
+    events: DataFrame,
+    path: str,
+    key: str,
+    time: str,
+    tie_break: str,
+    value: str,
+    keep: Column | None = None,
 ) -> DataFrame:
     """Add `previous`: the value of the same key one event earlier; only rows that meet `keep` stay.
 
     Rows are range-partitioned by (key, time, id), so the history of a hot key is cut into many
     partitions instead of being one window. Each partition looks back within itself; its first row
     gets the value of the partition before from the edge rows, two per partition. The rows to keep
-    and the edge rows are written once, because both steps must see the same cuts. An event without
+    and the edge rows are written once to `path`, because both steps must see the same cuts: this is
+    a stage, and its caller owns the folder. An event without
     key has no previous value.
     """
     order = [key, time, tie_break]
@@ -73,7 +79,7 @@ def previous_values(
             T.StructField(_LAST, T.BooleanType()),
         ]
     )
-    spark, path = events.sparkSession, scratch_dir(events.sparkSession, "previous-values")
+    spark = events.sparkSession
     (
         rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -92,6 +98,7 @@ def previous_values(
 def drops(
     events: DataFrame,
     threshold: float,
+    path: str,
     key: str = "id_municipio",
     time: str = "timestamp_evento",
     tie_break: str = "evento_id",
@@ -99,5 +106,5 @@ def drops(
 ) -> DataFrame:
     """Events that fell by more than `threshold` below the event before, with the size of the fall."""
     fall = F.col(_PREVIOUS) - F.col(value)
-    fallen = previous_values(events, key, time, tie_break, value, keep=fall > F.lit(threshold))
+    fallen = previous_values(events, path, key, time, tie_break, value, keep=fall > F.lit(threshold))
     return fallen.select(tie_break, key, time, measures.rounded(fall, 2).alias("queda"))

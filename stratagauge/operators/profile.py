@@ -23,14 +23,19 @@ def mean_by(
     value: str = "taxa_alfabetizacao",
     count_name: str = "eventos",
     mean_name: str = "taxa_media",
-    digits: int = 4,
+    digits: int | None = None,
 ) -> DataFrame:
     """Row count and mean (1 decimal) per group, largest group first.
 
-    Values are summed as whole units of 10^-digits, so the order of the rows does not matter.
+    Values are summed as decimals, or with `digits` as whole units of 10^-digits, so the order of the
+    rows does not matter. A value that does not fit is not part of the mean.
     """
-    units = measures.units(measures.number(F.col(value)), digits)
-    mean = F.try_divide(F.sum(units) / F.lit(float(10**digits)), F.count(units))
+    if digits is None:
+        units = measures.exact(F.col(value))
+    else:
+        units = measures.units(measures.number(F.col(value)), digits)
+    total = F.sum(units).cast("double") / F.lit(float(10 ** (digits or 0)))
+    mean = F.try_divide(total, F.count(units))
     return (
         df.groupBy(by)
         .agg(F.count(F.lit(1)).alias(count_name), F.round(mean, 1).alias(mean_name))

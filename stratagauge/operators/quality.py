@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,11 +34,18 @@ class Wording:
 DEFAULT_WORDING = Wording()
 
 
-def duplicate_count(df: DataFrame, keys: Sequence[str], name: str = "dup") -> DataFrame:
+def duplicate_count(
+    df: DataFrame,
+    keys: Sequence[str],
+    name: str = "dup",
+    store: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Add the number of rows that share the key; NULL is a key value like any other.
 
     Counting is a pre-aggregated group-by and only repeated keys are joined back, so a hot key is
-    spread over many tasks. A window over the key would put all of its rows in one.
+    spread over many tasks. A window over the key would put all of its rows in one. `store` writes the
+    repeated keys and reads them back: Spark then knows how few they are before it plans the join, and
+    does not shuffle the wide rows to find out.
     """
     private = {key: f"_key_{i}" for i, key in enumerate(keys)}
     repeated = (
@@ -46,6 +53,7 @@ def duplicate_count(df: DataFrame, keys: Sequence[str], name: str = "dup") -> Da
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > 1)
     )
+    repeated = repeated if store is None else store(repeated)
     joined = left_lookup(df, repeated, private, nulls_match=True)
     return joined.withColumn(name, F.coalesce(F.col("_n"), F.lit(1)).cast("long")).drop("_n")
 
@@ -67,17 +75,18 @@ def score(
     ranges: Ranges | None = None,
     wording: Wording = DEFAULT_WORDING,
     extra: Iterable[Column] = (),
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add `motivo_quarentena`: all reasons in rule order joined by "; ", empty for a good row.
 
     The order is NULL keys, repeated key, ranges, then `extra`. Bounds are inclusive and a NULL
-    value is in range.
+    value is in range. `store` is that of `duplicate_count`.
     """
     keys = [key for key in keys if key in df.columns]
     null_keys, in_range = _row_checks(df, keys, ranges or {}, wording)
     checks = list(null_keys)
     if keys:
-        df = duplicate_count(df, keys, _COPIES)
+        df = duplicate_count(df, keys, _COPIES, store)
         checks.append(F.when(F.col(_COPIES) > 1, F.lit(wording.duplicate_key)))
     checks += [*in_range, *extra]
     return df.withColumn(REASON_TEXT, F.concat_ws("; ", *checks)).drop(_COPIES)

@@ -1,8 +1,9 @@
 """Weighted rates from microdata.
 
-Weights are summed as whole units of 10^-digits, so the result is exact, does not depend on the
-order of the rows and is several times faster than decimal sums. The sums can be merged: a table
-can be summed by a fine key first, joined small, and merged to a coarser key.
+Weights are summed as decimals, so the result is exact and does not depend on the order of the rows.
+Where the source is known to have few digits, they can be summed as whole units of 10^-digits, which
+is several times faster. The sums can be merged: a table can be summed by a fine key first, joined
+small, and merged to a coarser key.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from stratagauge.config import PROFICIENCY_CUTOFF
 from stratagauge.functions import measures
 
 _HIT, _WEIGHT, _ROWS = "_hit", "_weight", "_rows"
-WEIGHT_DIGITS = 6
 
 
 def partial_sums(
@@ -25,18 +25,23 @@ def partial_sums(
     cutoff: float = PROFICIENCY_CUTOFF,
     score: str = "proficiencia",
     weight: str = "peso_aluno",
-    digits: int = WEIGHT_DIGITS,
+    digits: int | None = None,
     extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """Weight at or above the cutoff, total weight (both in units) and row count of each key.
+    """Weight at or above the cutoff, total weight and row count of each key.
 
-    Rows without a score are left out and a missing weight counts 1. A sum holds 9.2e18 units: with
-    6 digits and a mean weight of 100, 9e10 rows of one key. Beyond that Spark raises an error.
+    Rows without a score are left out and a missing weight counts 1. Without `digits` sums are
+    decimals with room for 1e10 rows of the largest weight; a weight that does not fit (infinite, or 1e18
+    and more) leaves its row out, and the quality rules name it. With `digits` sums are units of
+    10^-digits in 64 bits, for weights that are known to be small.
     """
-    value = measures.number(F.col(score))
-    units = measures.units(F.coalesce(measures.number(F.col(weight)), F.lit(1.0)), digits)
+    value, given = measures.number(F.col(score)), measures.number(F.col(weight))
+    if digits is None:
+        units = F.coalesce(measures.exact(F.col(weight)), F.when(given.isNull(), F.lit(1).cast(measures.EXACT)))
+    else:
+        units = measures.units(F.coalesce(given, F.lit(1.0)), digits)
     return (
-        students.filter(value.isNotNull())
+        students.filter(value.isNotNull() & units.isNotNull())
         .groupBy(*keys)
         .agg(
             F.sum(F.when(value >= F.lit(cutoff), units).otherwise(F.lit(0))).alias(_HIT),
@@ -50,8 +55,9 @@ def partial_sums(
 def merge_sums(partials: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """Add partial sums up to coarser keys, as decimals that have room for any number of them."""
     names = [_HIT, _WEIGHT, _ROWS, *extra]
+    whole = {name for name, kind in partials.dtypes if kind == "bigint"}
     return partials.groupBy(*keys).agg(
-        *[F.sum(F.col(name).cast("decimal(19,0)")).alias(name) for name in names]
+        *[F.sum(F.col(n).cast("decimal(19,0)") if n in whole else F.col(n)).alias(n) for n in names]
     )
 
 
@@ -61,9 +67,9 @@ def rates_from_sums(
     rate: str = "taxa_alfabetizacao_calc",
     total: str = "peso_total",
     rows: str = "qtd_alunos",
-    digits: int = WEIGHT_DIGITS,
+    digits: int | None = None,
 ) -> DataFrame:
-    weight = F.col(_WEIGHT).cast("double") / F.lit(float(10**digits))
+    weight = F.col(_WEIGHT).cast("double") / F.lit(float(10 ** (digits or 0)))
     return partials.select(
         *keys,
         measures.percent(F.col(_HIT), F.col(_WEIGHT)).alias(rate),
@@ -76,7 +82,7 @@ def weighted_rate(
     students: DataFrame,
     keys: Sequence[str] = ("id_municipio", "ano", "rede"),
     cutoff: float = PROFICIENCY_CUTOFF,
-    digits: int = WEIGHT_DIGITS,
+    digits: int | None = None,
 ) -> DataFrame:
     """Share of the weight whose score reaches the cutoff, with the total weight and row count."""
     return rates_from_sums(partial_sums(students, keys, cutoff, digits=digits), keys, digits=digits)

@@ -9,27 +9,29 @@ from pyspark.sql import functions as F
 
 from stratagauge.functions import measures
 
+#: Sums are taken as whole numbers of 10^-10, so that a series of equal values has no slope.
+_UNITS = 1e10
 _SUMS = ("_n", "_sx", "_sxx", "_sy", "_sxy")
 
 
 def _sums(x: Column, y: Column, when: Column) -> list[Column]:
-    """Exact sums for a fitted line, over the rows that have a value."""
-    y = measures.number(y).cast("decimal(9,1)")
+    """Exact sums for a fitted line, over the rows that have a value; one that does not fit counts as none."""
+    y = measures.exact(y, "decimal(26,10)")
     x = F.when(when & y.isNotNull(), x.cast("long"))
     y = F.when(x.isNotNull(), y)
-    terms = (F.count(x), F.sum(x), F.sum(x * x), F.sum(y), F.sum(x * y))
+    terms = (F.count(x), F.sum(x), F.sum(x * x), F.sum(y), F.sum(x.try_cast("decimal(5,0)") * y))
     return [term.alias(name) for term, name in zip(terms, _SUMS)]
 
 
 def _value_at(x: int) -> Column:
     """The fitted line at x, rounded; NULL when all rows are of one year."""
     n, sx, sxx = (F.col(name).cast("double") for name in _SUMS[:3])
-    sy, sxy = (F.round(F.lit(10) * F.col(name).cast("double")) for name in _SUMS[3:])
+    sy, sxy = (F.round(F.lit(_UNITS) * F.col(name).cast("double")) for name in _SUMS[3:])
     # Exact, because a tiny rest in place of zero would make a slope out of nothing.
     wide_n, wide_sx, wide_sxx = (F.col(name).cast("decimal(19,0)") for name in _SUMS[:3])
     spread = (wide_n * wide_sxx - wide_sx * wide_sx).cast("double")
     line = sy * (sxx - F.lit(x) * sx) + sxy * (F.lit(x) * n - sx)
-    return F.when(spread != 0, measures.rounded(line / (F.lit(10.0) * spread)))
+    return F.when(spread != 0, measures.rounded(line / (F.lit(_UNITS) * spread)))
 
 
 def project(

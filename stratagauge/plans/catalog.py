@@ -217,13 +217,27 @@ def _weighted_rate(data, lineitem=None):
     )
 
 
+@_query
+def exact_rates(data):
+    """Rates over weights of many digits, which no unit of the source is known for."""
+    lines = data.table("lineitem").select(
+        F.col("l_returnflag").alias("rede"),
+        F.col("l_linestatus").alias("serie"),
+        F.col("l_quantity").alias("proficiencia"),
+        (F.col("l_extendedprice") * F.col("l_discount") / F.lit(1e5)).alias("peso_aluno"),
+    )
+    return _territory(rates.weighted_rate(lines, ["rede", "serie"], star.CUTOFF)).withColumnsRenamed(
+        {"taxa_alfabetizacao_calc": "rate", "peso_total": "weight_total", "qtd_alunos": "students"}
+    )
+
+
 # --- Reports --------------------------------------------------------------------------------
 
 
 @_query
 def stream_profile(data):
     events = data.table("events")
-    return profile.mean_by(events, "event_type", "value", "events", "mean_value", digits=2)
+    return profile.mean_by(events, "event_type", "value", "events", "mean_value")
 
 
 @_query
@@ -378,6 +392,16 @@ def reference_quarantine(data):
     return failed.withColumnRenamed(quality.REASON_TEXT, "reason")
 
 
+@_query
+def oversized_quarantine(data):
+    """Customers of which a seventh has an id beyond the format: those are quarantined, whole."""
+    long_id = F.concat(F.col("c_custkey").cast("string"), F.lit("12345678"))
+    some = F.when(F.col("c_custkey") % 7 == 0, long_id).otherwise(F.col("c_custkey").cast("string"))
+    ids = clean.normalize_keys(data.table("customer").select(some.alias("id_municipio"))).toDF("territory_id")
+    checked = quality.score(ids, ["territory_id"], wording=WORDING, extra=[quality.oversized_id("territory_id")])
+    return quality.quarantined(checked).withColumnRenamed(quality.REASON_TEXT, "reason")
+
+
 @_query
 def rate_of_approved(data):
     """Rates from the rows that pass the quality rules."""
@@ -500,6 +524,14 @@ def stream_deduplicated(data):
     return latest.deduplicate_events(cleaned, "event_id", "ts")
 
 
+@_query
+def events_without_id(data):
+    """Events of which a tenth lost its id, delivered twice: copies go, events without id all stay."""
+    kept = F.when(F.pmod("event_id", F.lit(10)) != 0, F.col("event_id"))
+    events = data.table("events").select(kept.alias("event_id"), "user_id", "ts", "value")
+    return latest.deduplicate_events(events.unionByName(events), "event_id", "ts")
+
+
 @_query
 def latest_measurement(data):
     events = data.table("events").drop("props")
@@ -509,7 +541,8 @@ def latest_measurement(data):
 @_query
 def drop_alert(data):
     events = data.table("events")
-    fallen = alerts.drops(events, 100, "user_id", "ts", "event_id", "value")
+    path = scratch_dir(data.spark, "drop-alert")
+    fallen = alerts.drops(events, 100, path, "user_id", "ts", "event_id", "value")
     return fallen.select("event_id", "user_id", F.col("queda").alias("drop_by"))
 
 

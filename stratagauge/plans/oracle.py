@@ -139,11 +139,11 @@ from realized r join nation n on cast(substring(r.territory_id,1,2) as int)=n.n_
 """,
     "trend_projection": """
 , m as (select territory_id, network, grade, count(*) as n, cast(sum(yr-1995) as bigint) as sx,
-        cast(sum((yr-1995)*(yr-1995)) as bigint) as sxx, cast(sum(cast(rate as decimal(9,1))) as double) as sy,
-        cast(sum((yr-1995)*cast(rate as decimal(9,1))) as double) as sxy
+        cast(sum((yr-1995)*(yr-1995)) as bigint) as sxx, cast(sum(cast(rate as decimal(26,10))) as double) as sy,
+        cast(sum(cast(yr-1995 as decimal(5,0))*cast(rate as decimal(26,10))) as double) as sxy
         from realized where rate is not null group by territory_id, network, grade)
 select territory_id, network, grade, n as years,
-       round((round(10*sy)*(sxx-10*sx) + round(10*sxy)*(10*n-sx)) / (10e0*(n*sxx-sx*sx)), 1) + 0.0e0 as projected_2005
+       round((round(1e10*sy)*(sxx-10*sx) + round(1e10*sxy)*(10*n-sx)) / (1e10*(n*sxx-sx*sx)), 1) + 0.0e0 as projected_2005
 from m where n*sxx-sx*sx <> 0
 """,
     "target_risk": f"""
@@ -152,12 +152,12 @@ from m where n*sxx-sx*sx <> 0
         count(case when kind='actual' then value end) as n,
         cast(sum(case when kind='actual' and value is not null then ref_year-1995 end) as bigint) as sx,
         cast(sum(case when kind='actual' and value is not null then (ref_year-1995)*(ref_year-1995) end) as bigint) as sxx,
-        cast(sum(case when kind='actual' then cast(value as decimal(9,1)) end) as double) as sy,
-        cast(sum(case when kind='actual' then (ref_year-1995)*cast(value as decimal(9,1)) end) as double) as sxy,
+        cast(sum(case when kind='actual' then cast(value as decimal(26,10)) end) as double) as sy,
+        cast(sum(case when kind='actual' then cast(ref_year-1995 as decimal(5,0))*cast(value as decimal(26,10)) end) as double) as sxy,
         max(case when kind='target' and ref_year=2001 then value end) as target_2001
         from e group by territory_id, network),
   p as (select *, case when n*sxx-sx*sx <> 0 then
-        round((round(10*sy)*(sxx-6*sx) + round(10*sxy)*(6*n-sx)) / (10e0*(n*sxx-sx*sx)), 1) + 0.0e0 end as projected_2001 from m)
+        round((round(1e10*sy)*(sxx-6*sx) + round(1e10*sxy)*(6*n-sx)) / (1e10*(n*sxx-sx*sx)), 1) + 0.0e0 end as projected_2001 from m)
 select territory_id, network, n as years, projected_2001, target_2001,
        round(target_2001 - projected_2001, 1) + 0.0e0 as gap_pp, projected_2001 < target_2001 as at_risk
 from p
@@ -178,7 +178,7 @@ select d.doc_id, coalesce(cast(l.quality as varchar(9)),'Not informed') as quali
 from documents d left join labels l on d.doc_id = l.doc_id
 """,
     "stream_profile": """
-select event_type, count(*) as events, round(cast(sum(cast(value as decimal(18,2))) as double)/count(*),1) as mean_value
+select event_type, count(*) as events, round(cast(sum(cast(value as decimal(28,10))) as double)/count(*),1) as mean_value
 from events group by event_type
 """,
     "null_key_audit": """
@@ -252,6 +252,20 @@ select o_orderkey, o_custkey, o_totalprice, o_orderdate, 'orders' as source, 'ba
 select event_id, user_id, ts, event_type, value, 'events' as source, 'streaming' as ingest_type from events
 """,
     "stream_deduplicated": "select event_id, user_id, ts, event_type, value from events",
+    "exact_rates": """
+select l_returnflag as network, l_linestatus as grade,
+       round(100*cast(sum(case when l_quantity>=25 then cast(l_extendedprice*l_discount/1e5 as decimal(28,10)) else 0 end) as double)
+             / nullif(cast(sum(cast(l_extendedprice*l_discount/1e5 as decimal(28,10))) as double),0),1) as rate,
+       round(cast(sum(cast(l_extendedprice*l_discount/1e5 as decimal(28,10))) as double),1) as weight_total, count(*) as students
+from lineitem group by l_returnflag, l_linestatus
+""",
+    "events_without_id": """
+with e as (select case when event_id % 10 <> 0 then event_id end as event_id, user_id, ts, value from events)
+select * from e union all select * from e where event_id is null
+""",
+    "oversized_quarantine": """
+select concat(c_custkey, '12345678') as territory_id, 'territory_id_longo_demais' as reason from customer where c_custkey % 7 = 0
+""",
     "latest_measurement": """
 select event_id, user_id, ts, event_type, value
 from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) x where rn=1

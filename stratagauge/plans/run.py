@@ -119,7 +119,13 @@ def check_quality(
             column, directory = spec.reference
             rows = quality.unknown_reference(rows, column, silver_table(directory))
             extra.append(F.col(quality.REFERENCE))
-        scored = quality.score(rows, spec.keys, spec.ranges, extra=extra).drop(quality.REFERENCE)
+
+        def store(repeated: DataFrame) -> DataFrame:
+            path = f"{layers.checked(table)}_chaves_repetidas"
+            write_table(repeated, path, layers.fmt)
+            return read_table(spark, path, layers.fmt)
+
+        scored = quality.score(rows, spec.keys, spec.ranges, extra=extra, store=store).drop(quality.REFERENCE)
         scored = scored.withColumn(PASSED, F.col(quality.REASON_TEXT) == "")
         path = layers.checked(table)
         seen = write_table(

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from stratagauge.operators import rates
+from stratagauge.operators import profile, rates
 
 SCHEMA = "id_municipio string, ano int, rede string, proficiencia double, peso_aluno double"
 
@@ -57,3 +57,21 @@ def test_result_does_not_depend_on_partitioning(spark, rows):
         results.append(rows(rates.weighted_rate(df.repartition(partitions))))
     spark.conf.set("spark.sql.shuffle.partitions", 4)
     assert results[0] == results[1] == results[2]
+
+
+def test_tiny_huge_and_infinite_weights(spark, rows):
+    df = spark.createDataFrame(
+        [("a", 2023, "1", 743.0, 4e-7), ("a", 2023, "1", 1.0, 4e-7), ("b", 2023, "1", 743.0, 1e13),
+         ("b", 2023, "1", 1.0, 3e13), ("c", 2023, "1", 743.0, float("inf")), ("c", 2023, "1", 743.0, 1.0)],
+        SCHEMA,
+    )
+    assert rows(rates.weighted_rate(df)) == [
+        ("a", 2023, "1", 50.0, 0.0, 2), ("b", 2023, "1", 25.0, 4e13, 2), ("c", 2023, "1", 100.0, 1.0, 1),
+    ]
+
+
+def test_mean_of_small_huge_and_infinite_values(spark, rows):
+    df = spark.createDataFrame(
+        [("a", 0.04999), ("a", 0.05), ("b", 1e15), ("c", float("inf")), ("c", 2.0)], "sigla_uf string, taxa_alfabetizacao double"
+    )
+    assert rows(profile.mean_by(df)) == [("a", 2, 0.0), ("b", 1, 1e15), ("c", 2, 2.0)]

@@ -112,3 +112,19 @@ def test_publish_replaces_tables_and_reports_counts(spark, tmp_path):
         assert {r.tabela: r.linhas for r in report.collect()} == {"a": n, "b": 0}
     assert spark.read.parquet(str(tmp_path / "a")).count() == 3
     assert spark.read.parquet(str(tmp_path / "b")).columns == ["id"]
+
+
+def test_jdbc_reads_are_parallel_or_asked_for():
+    parts = {"partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "4"}
+    assert tables.jdbc_options("a.b", parts) == {"dbtable": "a.b"}
+    assert tables.jdbc_options("a.b", {"numPartitions": "1"}) == {"dbtable": "a.b"}
+    assert tables.jdbc_options("a.b", {**parts, "query": "select 1"}) == {}
+    with pytest.raises(ValueError):
+        tables.jdbc_options("a.b", {"url": "x"})
+
+
+def test_latest_load_comes_from_folder_names(spark, tmp_path):
+    for day in ("2024-01-30", "2024-02-01", "2023-12-31"):
+        spark.range(1).selectExpr(f"'{day}' as day").write.parquet(f"{tmp_path}/data_ingestao_dt={day}")
+    assert str(bronze.latest_load(spark, str(tmp_path))) == "2024-02-01"
+    assert [r.day for r in bronze.read_bronze(spark, str(tmp_path)).collect()] == ["2024-02-01"]

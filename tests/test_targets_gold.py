@@ -126,3 +126,9 @@ def test_events_are_deduplicated_by_id(spark, rows):
         [("1", "a", early, 1.0), ("1", "a", late, 2.0), ("1", "a", late, 3.0), ("2", "a", early, 4.0)], EVENTS
     )
     assert rows(deduplicate_events(df), "evento_id", "taxa_alfabetizacao") == [("1", 3.0), ("2", 4.0)]
+
+
+def test_events_without_id_are_no_copies(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 1.0), (None, 2.0), ("1", 3.0), ("1", 3.0)], "evento_id string, taxa_alfabetizacao double")
+    df = df.selectExpr("*", "timestamp '2024-01-01' as timestamp_evento")
+    assert deduplicate_events(df).count() == 4
