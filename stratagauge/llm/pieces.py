@@ -32,9 +32,11 @@ from stratagauge.llm.tokens import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Most units that get a lattice and are broadcast; longest unit among them, in characters.
-DICTIONARY, LONGEST = 1 << 19, 48
+DICTIONARY, LONGEST = 1 << 18, 48
 #: Text bytes that are encoded at a time; a longer text is still taken whole.
-SLICE = 12_000_000
+SLICE = 3_000_000
+#: Rare units whose pieces a task remembers.
+REMEMBERED = 100_000
 #: CUT marks where a text is cut; texts that hold it are cut by a slower pattern.
 SPACE, CUT = "▁", "\ufdd0"
 # Kinds of pieces and of models in the model file.
@@ -108,7 +110,7 @@ def _count_units(prefix: bool):
                 known, codes, _ = units(part["text"], prefix)
                 times = np.bincount(codes, minlength=len(known))
                 seen.append(pa.table({"unit": known.cast(pa.string()), "n": times}).filter(pa.array(times > 0)))
-                if len(seen) > 7:
+                if len(seen) > 5:
                     seen = [pa.concat_tables(seen).group_by("unit").aggregate([("n", "sum")]).rename_columns(["unit", "n"])]
         for out in pa.concat_tables(seen).group_by("unit").aggregate([("n", "sum")]).to_batches(100_000) if seen else ():
             yield pa.RecordBatch.from_arrays(out.columns, ["unit", "n"])
@@ -238,21 +240,25 @@ def decode(ids: pa.ListArray, model: Pieces) -> list[str]:
     parts = pa.array(model.decoded, pa.large_binary()).take(ids.flatten())
     sizes = np.concatenate([[0], np.cumsum(pc.binary_length(parts).to_numpy(zero_copy_only=False), dtype=np.int64)])
     at = sizes[ids.offsets.to_numpy() - ids.offsets.to_numpy()[0]]
-    joined = b"".join(parts.to_pylist())
-    texts = [joined[lo:hi].decode("utf-8", "replace") for lo, hi in zip(at, at[1:])]
+    joined = parts.buffers()[2] or b""  # taken values lie one after the other
+    texts = [str(joined[lo:hi], "utf-8", "replace") for lo, hi in zip(at.tolist(), at[1:].tolist())]
     return [t[1:] if model.prefix and t[:1] == " " else t for t in texts]
 
 
 def _encoder(sent, columns: list[str]):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known_units, known_ids = sent.value
+        rare_ids: dict[str, list[int]] = {}
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 found, codes, begin = units(part["text"], model.prefix)
                 found = found.cast(pa.string())
                 at = pc.index_in(found, value_set=known_units)
                 rare = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
-                own = pa.array([encode_rare(u, model) for u in found.take(pa.array(rare)).to_pylist()], pa.list_(pa.int32()))
+                if len(rare_ids) > REMEMBERED:
+                    rare_ids.clear()
+                names = found.take(pa.array(rare)).to_pylist()
+                own = pa.array([rare_ids.get(u) or rare_ids.setdefault(u, encode_rare(u, model)) for u in names], pa.list_(pa.int32()))
                 where = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 where[rare] = len(known_ids) + np.arange(len(rare))
                 taken = pa.concat_arrays([known_ids, own]).take(pa.array(where[codes]))
