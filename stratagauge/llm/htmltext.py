@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratagauge.llm.common import table
+from stratagauge.llm.common import first_by_hash, table
 from stratagauge.llm.tokens import slices
 
 SAMPLE, CUT = 512, 0.5
@@ -238,8 +238,11 @@ def marginals(pages: list[list[Node]], model: Model) -> np.ndarray:
 def train(spark: SparkSession, pages: DataFrame) -> Model:
     """Tables from the labelled pages above and a bounded sample of pages that mark their article."""
     marked = pages.where(F.lower("html").rlike("<(article|main)[ >]"))
-    some = marked.select("html").distinct().orderBy(F.xxhash64("html"), "html").limit(SAMPLE)
-    rows = some.mapInArrow(_sampled, "tags array<string>, parents array<int>, labels array<int>, seen array<array<string>>").collect()
+    marked = marked.select(F.xxhash64("html").alias("h"), "html")
+    hashes = marked.select("h").distinct()
+    chosen = first_by_hash(hashes, "h", SAMPLE, hashes.count())
+    some = marked.join(F.broadcast(chosen), "h").groupBy("h").agg(F.any_value("html").alias("html"))  # SAMPLE rows
+    rows = some.select("html").mapInArrow(_sampled, "tags array<string>, parents array<int>, labels array<int>, seen array<array<string>>").collect()
     told = [(nodes := parse(p)[0], [max(0, n.label) for n in nodes], WEIGHT) for p in PAGES]
     for r in rows:
         nodes = [_Seen(p, s) for p, s in zip(r["parents"], r["seen"])]

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratagauge.llm.common import stage, table
+from stratagauge.llm.common import first_by_hash, stage, table
 from stratagauge.llm.tokens import slices
 
 #: Documents the scorer is fitted on at most, hashed features, least score to stay.
@@ -190,7 +190,7 @@ def train(spark: SparkSession, documents: DataFrame) -> np.ndarray:
         return np.zeros(FEATURES + 1)
     good, _ = estimate(seen["votes"].to_numpy().astype(np.int64), seen["count"].to_numpy().astype(float))
     by_pattern = dict(zip(seen["votes"], good))
-    some = told.where("n > 0").orderBy("hash", "votes", "n").limit(SAMPLE).select("votes", "slots", "values").toArrow()
+    some = first_by_hash(told.where("n > 0"), "hash", SAMPLE, int(seen["count"].sum()), "votes", "n").select("votes", "slots", "values").toArrow()
     target = np.array([by_pattern[v] for v in some["votes"].to_pylist()])
     return fit(some["slots"].to_pylist(), some["values"].to_pylist(), target)
 

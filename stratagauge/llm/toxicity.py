@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratagauge.llm.common import stage, table
+from stratagauge.llm.common import first_by_hash, stage, table
 from stratagauge.llm.tokens import slices, words
 
 EXAMPLES, K, POWER, SMOOTH, CUT = 4000, 32, 4, 0.5, 0.7
@@ -181,7 +181,7 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Model
     named = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     named = named.where(~held_out(F.col("doc_id")))
     rows = dict.fromkeys((0, 1), 0) | {r["toxic"]: r["count"] for r in named.groupBy("toxic").count().collect()}
-    pick = [named.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES) for y in (0, 1)]
+    pick = [first_by_hash(named.where(F.col("toxic") == y), "doc_id", EXAMPLES, rows[y]) for y in (0, 1)]
     chosen = stage(spark, pick[0].unionByName(pick[1]), "chosen-labels")
     # 2 x EXAMPLES rows of two numbers at most.
     examples = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
