@@ -3,7 +3,7 @@
 1. Equal vectors of a label become one node that remembers how many they are.
 2. Each node gets first neighbours: its successors in SORTS orders by random-hyperplane signs.
 3. Rounds of NN-descent: at each node the neighbours (both directions) are compared with one another,
-   and each keeps its K best. Rounds go on until few lists change.
+   and each keeps its K best. Rounds go on until few links change.
 4. Neighbours at `threshold` or more are links; they form components. Where lists are saturated with links, a
    list of K cannot hold them all: lists are enlarged to the whole component and its inner links
    are counted exactly in blocks.
@@ -30,7 +30,7 @@ from stratagauge.llm.common import components, stage, table
 from stratagauge.llm.vectors import matrix, usable
 
 THRESHOLD, K, ROUNDS, SORTS, AHEAD = 0.93, 10, 6, 8, 4
-#: Share of list entries that may still change when the rounds end; audited recall; nodes audited.
+#: Share of links that may still change when the rounds end; audited recall; nodes audited.
 SETTLED, RECALL, AUDITED = 0.01, 0.99, 256
 #: Nodes of a component that are compared at a time.
 BLOCK = 512
@@ -98,8 +98,11 @@ def _join_local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*map(pa.array, (ids[g, i], ids[g, j], near[g, i, j]))], ["a", "b", "s"])
 
 
-def descend(spark: SparkSession, points: DataFrame, lists: DataFrame, k: int) -> DataFrame:
-    """Rounds of NN-descent from the given lists (a, b, s)."""
+def descend(spark: SparkSession, points: DataFrame, lists: DataFrame, k: int, threshold: float) -> DataFrame:
+    """Rounds of NN-descent from the given lists (a, b, s), until few links change.
+
+    Lists that hold links only are saturated: they are enlarged later, so their changes do not count.
+    """
     for _ in range(ROUNDS):
         last = lists.groupBy("a").agg(F.when(F.count("*") >= k, F.min("s")).otherwise(F.lit(-2.0)).alias("last"))
         around = lists.select("a", "b").union(lists.select("b", "a")).distinct().toDF("hub", "b")
@@ -110,9 +113,11 @@ def descend(spark: SparkSession, points: DataFrame, lists: DataFrame, k: int) ->
         around = dealt.join(info, "b").groupBy("hub", "part").agg(F.collect_list(F.struct("b", "last", "v")).alias("m"))
         found = around.select("m").mapInArrow(_join_local, EDGE)
         new = stage(spark, _best(lists.unionByName(found), k), "lists")
-        changed = new.join(lists, ["a", "b"], "left_anti").count()
+        links = new.where(F.col("s") >= threshold)
+        full = links.groupBy("a").count().where(F.col("count") >= k).select("a")
+        changed = links.join(lists, ["a", "b"], "left_anti").join(full, "a", "left_anti").count()
         lists = new
-        if changed <= SETTLED * lists.count():
+        if changed <= SETTLED * links.count():
             break
     return lists
 
@@ -190,7 +195,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     ordered = keyed.repartitionByRange("sort", "label", "width", "key", "id").sortWithinPartitions("sort", "label", "width", "key", "id")
     lists = stage(spark, _best(ordered.mapInArrow(_successors, EDGE), k), "lists")
     for size in (k, 2 * k, 4 * k):
-        lists = descend(spark, points, lists, size)
+        lists = descend(spark, points, lists, size, threshold)
         labels = stage(spark, components(spark, lists.where(F.col("s") >= threshold).select("a", "b")), "labels")
         links = stage(spark, inner_links(points, labels, threshold), "inner-links")
         if recall(spark, points, links, threshold) >= RECALL:
