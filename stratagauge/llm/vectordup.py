@@ -41,7 +41,7 @@ EDGE = "a long, b long, s double"
 def nodes(vectors: DataFrame) -> DataFrame:
     """id (smallest vec_id of equal vectors), label, width, n (how many), v (unit vector)."""
     known = usable(vectors.select("vec_id", "label", "embedding")).where("label is not null and vec_id is not null")
-    known = known.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("e")).distinct()
+    known = known.select("vec_id", F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("e")).distinct()
     per = known.groupBy("label", "e").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"))
     # Scaled by the largest component first, so that squares neither overflow nor vanish.
     per = per.withColumn("m", F.array_max(F.transform("e", F.abs))).withColumn("e", F.transform("e", lambda x: x / F.col("m")))
@@ -191,7 +191,7 @@ def recall(spark: SparkSession, points: DataFrame, links: DataFrame, threshold:
 def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = THRESHOLD, k: int = K) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     points = stage(spark, nodes(vectors), "nodes")
-    keyed = points.mapInArrow(_signs, "sort int, key long, id long, label int, width int, v array<double>")
+    keyed = points.mapInArrow(_signs, "sort int, key long, id long, label long, width int, v array<double>")
     ordered = keyed.repartitionByRange("sort", "label", "width", "key", "id").sortWithinPartitions("sort", "label", "width", "key", "id")
     lists = stage(spark, _best(ordered.mapInArrow(_successors, EDGE), k), "lists")
     for size in (k, 2 * k, 4 * k):
