@@ -5,9 +5,9 @@ vectors, so the largest inner product is the nearest direction. Each of TABLES t
 and a fast Hadamard transform and assigns them to the nearest signed axis. A query probes its PROBES
 nearest axes in each table; every candidate there is scored exactly and the best K of all tables stay.
 
-A key joins as many independent turns as keep an average bucket below BUCKET vectors, so buckets do not
-grow with the table. Buckets are cut into blocks of BLOCK vectors and GROUP queries, so that a bucket with a third
-of all vectors is spread over many tasks; a block returns K rows for each query, never pairs.
+A key is one axis at any size of the table, so the share of the vectors that a query meets, and with it the recall, does
+not fall as the table grows; the work grows with vectors times queries. Buckets are cut into blocks of BLOCK vectors
+and GROUP queries, so that a large bucket is spread over many tasks; a block returns K rows for each query, never pairs.
 
 Defined results: a vector that is null, empty, zero, or holds null or non-finite components takes no part, neither
 does a null id; ties go to the smaller id; rows that repeat an id count as one if their vectors agree
@@ -31,7 +31,7 @@ from stratagauge.llm.common import stage, table
 from stratagauge.llm.vectors import dots, matrix, usable
 
 K, TABLES, PROBES = 20, 8, 24
-BUCKET, BLOCK, GROUP = 16384, 2048, 512
+BLOCK, GROUP = 2048, 512
 
 
 def rotated(x: np.ndarray, number: int) -> np.ndarray:
@@ -51,22 +51,13 @@ def rotated(x: np.ndarray, number: int) -> np.ndarray:
     return y
 
 
-def probes(x: np.ndarray, tables: int, turns: int, n: int) -> np.ndarray:
+def probes(x: np.ndarray, tables: int, n: int) -> np.ndarray:
     """Bucket keys of each row: its n best in each table, best first. Shape rows x tables x n."""
     out = []
     for t in range(tables):
-        best, score = np.zeros((len(x), 1), np.int64), np.zeros((len(x), 1))
-        for turn in range(turns):
-            y = rotated(x, t * turns + turn)
-            signed = np.concatenate([y, -y], axis=1)
-            m = min(n, signed.shape[1])
-            axes = np.argsort(-signed, axis=1, kind="stable")[:, :m]
-            nearness = np.take_along_axis(signed, axes, 1)
-            score = (score[:, :, None] + nearness[:, None, :]).reshape(len(x), -1)
-            best = (best[:, :, None] * signed.shape[1] + axes[:, None, :]).reshape(len(x), -1)
-            top = np.argsort(-score, axis=1, kind="stable")[:, :n]
-            best, score = np.take_along_axis(best, top, 1), np.take_along_axis(score, top, 1)
-        out.append(best)
+        y = rotated(x, t)
+        signed = np.concatenate([y, -y], axis=1)
+        out.append(np.argsort(-signed, axis=1, kind="stable")[:, :n])
     return np.stack(out, axis=1)
 
 
@@ -79,12 +70,12 @@ def unit(x: np.ndarray, largest: float | None) -> np.ndarray:
     return np.concatenate([part, np.sqrt(np.maximum(0, 1 - (part * part).sum(1)))[:, None]], axis=1)
 
 
-def _hasher(largest: float | None, tables: int, turns: int, n: int):
+def _hasher(largest: float | None, tables: int, n: int):
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = probes(unit(matrix(batch["embedding"]), largest), tables, turns, n)
+            keys = probes(unit(matrix(batch["embedding"]), largest), tables, n)
             rows = np.repeat(np.arange(len(keys)), keys[0].size)
             number = np.broadcast_to(np.arange(tables)[None, :, None], keys.shape).ravel()
             yield pa.RecordBatch.from_arrays([pa.array(number.astype(np.int32)), pa.array(keys.ravel()), *(batch[c].take(pa.array(rows)) for c in ("vec_id", "embedding"))], ["t", "key", "vec_id", "embedding"])
@@ -122,13 +113,10 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: Column | str, k:
     known = known.where(F.size("embedding") == (width["d"] if width else 1))
     known = stage(spark, known.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")), "vectors")
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
-    n, largest = known.agg(F.count("*"), F.max(norm)).first()
-    axes, turns = 2 << max(1, (width["d"] if width else 1).bit_length()), 1
-    while axes**turns * BUCKET < n:
-        turns += 1
+    largest = known.agg(F.max(norm)).first()[0]
     schema = "t int, key long, vec_id long, embedding array<double>"
-    kept = known.mapInArrow(_hasher((largest or 1.0), tables, turns, 1), schema)
-    asked = known.where(is_query).mapInArrow(_hasher(None, tables, turns, n_probes), schema)
+    kept = known.mapInArrow(_hasher((largest or 1.0), tables, 1), schema)
+    asked = known.where(is_query).mapInArrow(_hasher(None, tables, n_probes), schema)
     kept = stage(spark, kept, "table")
     sizes = kept.groupBy("t", "key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     groups = asked.groupBy("t", "key").agg(F.ceil(F.count("*") / GROUP).alias("groups"))

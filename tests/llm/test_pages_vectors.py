@@ -96,3 +96,15 @@ def test_search_recall_and_exact_scores(spark):
     few = ann.nearest(spark, vectors(spark, [(0, [1.0, 2.0], 1), (20, [1.0, 2.0], 1), (3, [2.0, 1.0], 1)]), "vec_id % 20 = 0").collect()
     assert sorted((r.query_id, r["rank"], r.vec_id) for r in few) == [(0, 1, 20), (0, 2, 3), (20, 1, 0), (20, 2, 3)]
     assert ann.nearest(spark, vectors(spark, rows).limit(0), "vec_id % 20 = 0").count() == 0
+
+
+def test_search_recall_is_that_of_one_axis_at_any_size(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BUCKET", 1, raising=False)  # tables beyond a bucket size once had pairs of axes as keys
+    x = np.random.default_rng(5).normal(size=(1500, 32)).astype(np.float32).astype(float)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    found = {(r.query_id, r.vec_id) for r in ann.nearest(spark, vectors(spark, rows), "vec_id % 50 = 0").collect()}
+    hits = 0
+    for q in range(0, 1500, 50):
+        score = (x * x[q]).sum(1)
+        hits += sum((q, i) in found for i in [i for i in np.argsort(-score) if i != q][:20])
+    assert hits >= 0.9 * 30 * 20
