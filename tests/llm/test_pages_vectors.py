@@ -108,3 +108,32 @@ def test_search_recall_is_that_of_one_axis_at_any_size(spark, monkeypatch):
         score = (x * x[q]).sum(1)
         hits += sum((q, i) in found for i in [i for i in np.argsort(-score) if i != q][:20])
     assert hits >= 0.9 * 30 * 20
+
+
+def test_search_gives_all_neighbours_of_small_and_uneven_tables(spark):
+    rng = np.random.default_rng(6)
+    plain = rng.normal(size=(2000, 16)).astype(np.float32).astype(float)
+    longer = plain.copy()
+    longer[7] *= 20
+    lonely = np.abs(plain[:400]) + 1  # all but the queries on one side, so that probes meet few
+    lonely[::40] *= -1
+    for x, step, least in ((plain[:15], 5, 1), (plain[:40], 20, 1), (longer, 40, 0.9), (lonely, 40, 0.9)):
+        rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+        found = ann.nearest(spark, vectors(spark, rows), f"vec_id % {step} = 0").collect()
+        hits, want, queries = 0, min(20, len(x) - 1), range(0, len(x), step)
+        for q in queries:
+            own = {r.vec_id for r in found if r.query_id == q}
+            score = (x * x[q]).sum(1)
+            assert len(own) == want
+            hits += len(own & set([i for i in np.lexsort((np.arange(len(x)), -score)) if i != q][:20]))
+        assert hits >= least * want * len(queries)
+
+
+def test_search_counts_a_repeated_id_once(spark):
+    x = np.random.default_rng(7).normal(size=(60, 8)).astype(np.float32).astype(float)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    near = [(1, x[0].tolist(), 1)] * 50
+    found = ann.nearest(spark, vectors(spark, rows + near), "vec_id = 0").collect()
+    score = (x * x[0]).sum(1)
+    score[1] = max(score[1], score[0])
+    assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"])] == [i for i in np.lexsort((np.arange(60), -score)) if i != 0][:20]
