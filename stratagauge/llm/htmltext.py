@@ -41,6 +41,8 @@ CLOSED_BY = {  # an open element on the left ends where one of the right begins
     "p": set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()),
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"},
 }
+#: All that may stand in a head; text and any other element end it.
+IN_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
 SECTIONS = set("article aside nav footer header section main div body form table ul ol".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(>|$)", re.S)
@@ -112,7 +114,15 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 runs.append((open_[-1][1], text))
             piece.clear()
 
+    def ended(tag: str | None) -> None:
+        """Close the open elements that end where the element `tag` (None: text) begins."""
+        nonlocal silent
+        while len(open_) > 1 and (tag in CLOSED_BY.get(open_[-1][0], ()) or (open_[-1][0] == "head" and tag not in IN_HEAD)):
+            silent -= open_.pop()[0] in SILENT
+
     def text(chunk: str) -> None:
+        if chunk and not chunk.isspace():
+            ended(None)
         if chunk and not silent:
             piece.append(chunk)
             if not chunk.isspace():
@@ -131,6 +141,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if not tag:
             continue
         if tag in INLINE:
+            if not found[1]:
+                ended(tag)
             if tag == "a":
                 links = 0 if found[1] else 1
             continue
@@ -147,8 +159,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         if tag in VOID or found[4] == "" or (found[3].endswith("/") and tag not in SECTIONS):
             continue
-        while len(open_) > 1 and tag in CLOSED_BY.get(open_[-1][0], ()):
-            open_.pop()
+        ended(tag)
         if tag in RAW:
             stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = stop.end() if stop else end

@@ -26,6 +26,24 @@ def test_main_text_of_odd_pages(spark):
     assert htmltext.main_texts(spark, pages(spark, ["x"]).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><p>{0}</p><form><select><option>A<option>B<option>C</select></form><p>{0}</p></body>",
+        "<body><p>{0}</p><datalist><option>A<option>B</datalist><p>{0}</p>",
+        "<html><head><title>T</title><style>a</style><body><p>{0}</p><p>{0}</p></body></html>",
+        "<head><meta charset=utf-8><noscript><link></noscript><p>{0}</p><p>{0}</p>",
+        "<head><title>T</title>{0}<p>{0}</p>",
+        "<head><title>T</title><b>{0}</b></head><p>{0}</p>",
+    ],
+)
+def test_end_tags_may_be_left_out(page):
+    words = "some plain words of the story"
+    nodes, runs = htmltext.parse(page.format(words))
+    assert [t for _, t in runs] == [words, words]
+    assert sum(n.chars for n in nodes) == 2 * len(words)
+
+
 def test_messages_give_the_marginals_of_the_full_joint():
     nodes = htmltext.parse("<body><div class=menu><p>x</p></div><main><p>some text of a page</p></main></body>")[0]
     told = [(n := htmltext.parse(p)[0], [max(0, x.label) for x in n], 1.0) for p in htmltext.PAGES]
