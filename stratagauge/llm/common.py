@@ -157,7 +157,7 @@ def _judge_pairs(features, threshold: float):
     return judge
 
 
-def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect the same ids as all links a-b of one block, without the redundant ones."""
     above: dict[int, int] = {}
 
@@ -183,7 +183,7 @@ def _judge_blocks(features, threshold: float):
         if len(a) and len(b):
             texts = [of(side["text"].combine_chunks()) for side in (left, right)]
             i, j = np.nonzero((jaccard_block(*texts) >= threshold) & (c[:, None] != d[None, :]))
-            a, b = _spanning(a[i], b[j])
+            a, b = spanning(a[i], b[j])
         else:
             a = b = np.zeros(0, np.int64)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})

@@ -3,11 +3,12 @@
 1. Equal vectors of a label become one node that remembers how many they are.
 2. Each node gets first neighbours: its successors in SORTS orders by random-hyperplane signs.
 3. Rounds of NN-descent: at each node the neighbours (both directions) are compared with one another,
-   and each keeps its K best. Rounds go on until few links change.
+   and each keeps its K best. Rounds go on until few list entries change.
 4. Neighbours at `threshold` or more are links; they form components. Where lists are saturated with links, a
    list of K cannot hold them all: lists are enlarged to the whole component and its inner links
    are counted exactly in blocks.
-5. An audit compares sampled nodes with all nodes in blocks; below RECALL, K doubles and the rounds go on.
+5. An audit compares parts of the nodes with all nodes until LINKED nodes with links were seen, or all nodes; below
+   RECALL, K doubles and the rounds go on. If that does not help, all nodes of a label are compared in blocks.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components, and rows with a null
 label, link with nothing and are components of their own; vectors of different length do not link; rows
@@ -26,14 +27,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratagauge.llm.common import components, stage, table
+from stratagauge.llm.common import components, spanning, stage, table
 from stratagauge.llm.vectors import matrix, usable
 
 THRESHOLD, K, ROUNDS, SORTS, AHEAD = 0.93, 10, 6, 8, 4
-#: Share of links that may still change when the rounds end; audited recall; nodes audited.
-SETTLED, RECALL, AUDITED = 0.01, 0.99, 256
-#: Nodes of a component that are compared at a time.
-BLOCK = 512
+#: Share of list entries that may still change when the rounds end; audited recall.
+SETTLED, RECALL = 0.01, 0.99
+#: Nodes audited at a time; how many with links end the audit.
+AUDITED, LINKED = 2048, 128
+#: Nodes of a component that are compared at a time; of a label, where all are.
+BLOCK, ALL = 512, 2048
 
 EDGE = "a long, b long, s double"
 
@@ -99,47 +102,46 @@ def _join_local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def descend(spark: SparkSession, points: DataFrame, lists: DataFrame, k: int, threshold: float) -> DataFrame:
-    """Rounds of NN-descent from the given lists (a, b, s), until few links change.
+    """Rounds of NN-descent from the given lists (a, b, s), until few entries change.
 
     Lists that hold links only are saturated: they are enlarged later, so their changes do not count.
     """
-    for _ in range(ROUNDS):
+    for number in range(ROUNDS):
         last = lists.groupBy("a").agg(F.when(F.count("*") >= k, F.min("s")).otherwise(F.lit(-2.0)).alias("last"))
         around = lists.select("a", "b").union(lists.select("b", "a")).distinct().toDF("hub", "b")
-        # A node in many lists meets its neighbours in parts of about 2 k, dealt by hash.
+        # A node in many lists meets its neighbours in parts of about 2 k, dealt anew each round.
         often = around.groupBy("hub").agg(F.ceil(F.count("*") / (2 * k)).alias("parts"))
-        dealt = around.join(often, "hub").withColumn("part", F.pmod(F.xxhash64("hub", "b"), "parts"))
+        dealt = around.join(often, "hub").withColumn("part", F.pmod(F.xxhash64("hub", "b", F.lit(number)), "parts"))
         info = points.join(last, points["id"] == last["a"]).select(F.col("id").alias("b"), "last", "v")
         around = dealt.join(info, "b").groupBy("hub", "part").agg(F.collect_list(F.struct("b", "last", "v")).alias("m"))
         found = around.select("m").mapInArrow(_join_local, EDGE)
         new = stage(spark, _best(lists.unionByName(found), k), "lists")
-        links = new.where(F.col("s") >= threshold)
-        full = links.groupBy("a").count().where(F.col("count") >= k).select("a")
-        changed = links.join(lists, ["a", "b"], "left_anti").join(full, "a", "left_anti").count()
+        full = new.where(F.col("s") >= threshold).groupBy("a").count().where(F.col("count") >= k).select("a")
+        changed = new.join(lists, ["a", "b"], "left_anti").join(full, "a", "left_anti").count()
         lists = new
-        if changed <= SETTLED * links.count():
+        if changed <= SETTLED * new.count():
             break
     return lists
 
 
 def _count_inside(threshold: float):
     def count(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame({"id": pd.Series(dtype="int64"), "links": pd.Series(dtype="int64")})
+        out = pd.DataFrame({"id": pd.Series(dtype="int64"), "links": pd.Series(dtype="int64"), "pairs": pd.Series(dtype="int64")})
         if not len(left) or not len(right):
             return out
         for width in np.intersect1d(left["width"], right["width"]):
             a, b = left[left["width"] == width], right[right["width"] == width]
             near = np.stack(a["v"].to_numpy()) @ np.stack(b["v"].to_numpy()).T
             same = (a["c"].to_numpy()[:, None] == b["c"].to_numpy()[None, :]) & (a["id"].to_numpy()[:, None] != b["id"].to_numpy()[None, :])
-            links = ((near >= threshold) & same) @ b["n"].to_numpy()
-            out = pd.concat([out, pd.DataFrame({"id": a["id"].to_numpy(), "links": links})])
+            ok = (near >= threshold) & same
+            out = pd.concat([out, pd.DataFrame({"id": a["id"].to_numpy(), "links": ok @ b["n"].to_numpy(), "pairs": ok.sum(1)})])
         return out
 
     return count
 
 
 def inner_links(points: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """id, links: how many other vectors of its component each node links with.
+    """id, links, pairs: how many other vectors, and nodes, of its component each node links with.
 
     Small components share a bin; a large one is cut into blocks, and each pair of blocks is a group.
     """
@@ -155,37 +157,71 @@ def inner_links(points: DataFrame, labels: DataFrame, threshold: float) -> DataF
     right = placed.select("key.own", "key.at", others.alias("i"), F.col("block").alias("j"), *cols)
     right = right.select(*[F.col(c).alias(c) for c in right.columns])  # columns of its own, for the cogroup
     at = ["own", "at", "i", "j"]
-    found = left.groupBy(*at).cogroup(right.groupBy(*at)).applyInPandas(_count_inside(threshold), "id long, links long")
-    return found.groupBy("id").agg(F.sum("links").alias("links"))
+    found = left.groupBy(*at).cogroup(right.groupBy(*at)).applyInPandas(_count_inside(threshold), "id long, links long, pairs long")
+    return found.groupBy("id").agg(F.sum("links").alias("links"), F.sum("pairs").alias("pairs"))
+
+
+def _links_of_blocks(threshold: float):
+    def links(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        a = b = np.zeros(0, np.int64)
+        if len(left) and len(right):
+            i, j = np.nonzero(np.stack(left["v"].to_numpy()) @ np.stack(right["v"].to_numpy()).T >= threshold)
+            a, b = spanning(left["id"].to_numpy()[i], right["id"].to_numpy()[j])
+        return pd.DataFrame({"a": a, "b": b})
+
+    return links
+
+
+def all_links(points: DataFrame, threshold: float) -> DataFrame:
+    """a, b: links that connect what all links connect, from all pairs of blocks of each label."""
+    sizes = points.groupBy("label", "width").agg(F.ceil(F.count("*") / ALL).alias("blocks"))
+    placed = points.join(sizes, ["label", "width"]).withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), "blocks"))
+    left = placed.select("label", "width", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), "id", "v")
+    right = placed.select("label", "width", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("i"), F.col("block").alias("j"), "id", "v")
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])  # columns of its own, for the cogroup
+    at = ["label", "width", "i", "j"]
+    return left.groupBy(*at).cogroup(right.groupBy(*at)).applyInPandas(_links_of_blocks(threshold), "a long, b long")
 
 
 def _count_all(asked, threshold: float):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, labels, vectors = asked.value
+        ids, labels, widths, vectors = asked.value
         total = np.zeros(len(ids), np.int64)
+        groups = {}  # label and width: which are asked, and their matrix
+        for label, width in set(zip(labels.tolist(), widths.tolist())):
+            mine = np.flatnonzero((labels == label) & (widths == width))
+            groups[label, width] = mine, np.stack([vectors[i] for i in mine])
         for batch in batches:
-            widths = batch["width"].to_numpy()
-            for width in np.unique(widths):
-                part = batch.filter(pa.array(widths == width))
-                mine = np.flatnonzero([len(v) == width for v in vectors])
-                if len(mine):
-                    near = np.stack([vectors[i] for i in mine]) @ matrix(part["v"]).T
-                    ok = (near >= threshold) & (labels[mine, None] == part["label"].to_numpy()[None, :]) & (ids[mine, None] != part["id"].to_numpy()[None, :])
-                    total[mine] += ok @ part["n"].to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["id", "links"])
+            own_labels, own_widths = batch["label"].to_numpy(), batch["width"].to_numpy()
+            for label, width in set(zip(own_labels.tolist(), own_widths.tolist())) & groups.keys():
+                mine, x = groups[label, width]
+                rows = np.flatnonzero((own_labels == label) & (own_widths == width))
+                for lo in range(0, len(rows), ALL):
+                    part = batch.take(pa.array(rows[lo : lo + ALL]))
+                    ok = (x @ matrix(part["v"]).T >= threshold) & (ids[mine, None] != part["id"].to_numpy()[None, :])
+                    total[mine] += ok.sum(1)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["id", "pairs"])
 
     return count
 
 
 def recall(spark: SparkSession, points: DataFrame, links: DataFrame, threshold: float = THRESHOLD) -> float:
-    """Share of the true links of AUDITED nodes (the first by a hash) that were found."""
-    some = points.orderBy(F.xxhash64("id", F.lit(17)), "id").limit(AUDITED).toPandas()
-    if some.empty:
-        return 1.0
-    sent = spark.sparkContext.broadcast((some["id"].to_numpy(), some["label"].to_numpy(), [np.asarray(v) for v in some["v"]]))
-    true = points.mapInArrow(_count_all(sent, threshold), "id long, links long").groupBy("id").agg(F.sum("links").alias("true_links"))
-    both = true.join(links, "id", "left").agg(F.sum("true_links"), F.sum(F.coalesce("links", F.lit(0)))).first()
-    return 1.0 if not both[0] else both[1] / both[0]
+    """Mean share of the true links that was found, over LINKED nodes with links (in the order of a hash) or all there are."""
+    parts = max(1, -(-points.count() // AUDITED))
+    linked, found = 0, 0.0
+    for number in range(parts):
+        some = points.where(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(parts)) == number).toPandas()
+        if some.empty:
+            continue
+        sent = spark.sparkContext.broadcast((*(some[c].to_numpy() for c in ("id", "label", "width")), [np.asarray(v) for v in some["v"]]))
+        true = points.mapInArrow(_count_all(sent, threshold), "id long, pairs long").groupBy("id").agg(F.sum("pairs").alias("there"))
+        both = true.where("there > 0").join(links.select("id", "pairs"), "id", "left")
+        share = F.least(F.coalesce("pairs", F.lit(0)) / F.col("there"), F.lit(1.0))
+        more = both.agg(F.count("*"), F.coalesce(F.sum(share), F.lit(0.0))).first()
+        linked, found = linked + more[0], found + more[1]
+        if linked >= LINKED:
+            break
+    return found / linked if linked else 1.0
 
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = THRESHOLD, k: int = K) -> DataFrame:
@@ -200,7 +236,10 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
         links = stage(spark, inner_links(points, labels, threshold), "inner-links")
         if recall(spark, points, links, threshold) >= RECALL:
             break
-    per = points.select("id", "n").join(labels, "id", "left").join(links, "id", "left")
+    else:
+        labels = stage(spark, components(spark, all_links(points, threshold)), "labels")
+        links = stage(spark, inner_links(points, labels, threshold), "inner-links")
+    per = points.select("id", "n").join(labels, "id", "left").join(links.select("id", "links"), "id", "left")
     per = per.select("id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "id").alias("c"))
     e = F.col("embedding").cast("array<double>").alias("e")
     known = usable(vectors.select("vec_id", "label", "embedding")).where("label is not null and vec_id is not null").select("vec_id", "label", e)

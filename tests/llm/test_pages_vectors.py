@@ -96,6 +96,27 @@ def test_near_duplicates_against_all_pairs(spark):
     assert vectordup.near_duplicates(spark, vectors(spark, rows).limit(0)).count() == 0
 
 
+def test_audit_sees_rare_links_and_those_beside_hot_vectors(spark):
+    x = np.random.default_rng(3).normal(size=(3000, 24))
+    x[11] = x[10] + 0.01
+    points = vectordup.nodes(vectors(spark, [(i, v.tolist(), 1) for i, v in enumerate(x)]))
+    none = spark.createDataFrame([], "id long, links long, pairs long")
+    assert vectordup.recall(spark, points, none) == 0
+    rows = [(i, [1.0, 0.0, 0.0], 1) for i in range(500)] + [(500, [1.0, 0.01, 0.0], 1), (501, [1.0, 0.0, 0.01], 1)]
+    hot = spark.createDataFrame([(0, 2, 2), (500, 500, 1), (501, 500, 1)], "id long, links long, pairs long")  # 500 - 501 is missing
+    assert vectordup.recall(spark, vectordup.nodes(vectors(spark, rows)), hot) < 0.99
+
+
+def test_links_are_whole_where_the_descent_finds_none(spark, monkeypatch):
+    monkeypatch.setattr(vectordup, "descend", lambda spark, points, lists, *_: lists.limit(0))
+    monkeypatch.setattr(vectordup, "ALL", 64, raising=False)
+    x = some(300, 4)
+    found = {r.vec_id: r.n_links for r in vectordup.near_duplicates(spark, vectors(spark, [(i, v.tolist(), i % 2) for i, v in enumerate(x)])).collect()}
+    u = x / np.sqrt((x * x).sum(1))[:, None]
+    links = (u @ u.T >= 0.93) & (np.arange(300)[:, None] % 2 == np.arange(300)[None, :] % 2)
+    assert [found[i] for i in range(300)] == (links.sum(1) - 1).tolist()
+
+
 def test_search_recall_and_exact_scores(spark):
     x = some(600, 2, 16) * np.linspace(0.5, 2, 600)[:, None]
     x = x.astype(np.float32).astype(float)
