@@ -6,8 +6,7 @@ of the smallest (doc_id, line number) stays and all others are removed from thei
 
 With 12 bands of 4 hashes a pair at 0.8 meets in a bucket with probability 0.998, at 0.85 surely.
 
-Defined results: lines of fewer than MIN_CHARS characters (blank ones too) stay as they are, since single words
-repeat by chance; null and empty texts stay; a document whose lines are all removed gets an empty text
+Defined results: lines of fewer than MIN_CHARS characters are compared exactly; blank lines stay as they are; null and empty texts stay; a document whose lines are all removed gets an empty text
 and `n_lines` 0; rows that repeat a doc_id share their decisions; a row whose doc_id is null passes
 unchanged and its lines count for nobody; other columns of the input are kept; ties cannot occur, as places are ordered.
 """
@@ -34,8 +33,8 @@ SLICE = 1_000_000
 KEY = "hi long, lo long"
 
 
-def _lines(part: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Normalized lines that are long enough, with their document row and line number."""
+def _lines(part: pa.RecordBatch, short: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Normalized lines that are long enough (or short, but not blank), with their document row and line number."""
     lists = pc.split_pattern(pc.fill_null(part["text"], "").cast(pa.large_string()), "\n")
     flat, at = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
     at = at - at[0]
@@ -43,7 +42,8 @@ def _lines(part: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     number = np.arange(len(flat)) - at[:-1][row]
     flat = pc.utf8_trim_whitespace(pc.utf8_lower(flat))
     known = part["doc_id"].is_valid().to_numpy(zero_copy_only=False)[row]
-    keep = (pc.utf8_length(flat).to_numpy(zero_copy_only=False) >= MIN_CHARS) & known
+    length = pc.utf8_length(flat).to_numpy(zero_copy_only=False)
+    keep = ((length > 0) & (length < MIN_CHARS) if short else length >= MIN_CHARS) & known
     return flat.filter(pa.array(keep)), row[keep], number[keep]
 
 
@@ -169,10 +169,28 @@ def duplicate_lines(spark: SparkSession, documents: DataFrame, threshold: float
     return out.select("doc", "line", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
 
 
+def _short_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text", SLICE):
+            flat, row, number = _lines(part, short=True)
+            doc = part["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)[row]
+            yield pa.RecordBatch.from_arrays([flat.cast(pa.string()), pa.array(doc), pa.array(number)], ["short", "doc", "line"])
+
+
+def repeated_short_lines(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    """doc, line, keep_doc, keep_line like `duplicate_lines`, of the exact repeats among lines under MIN_CHARS."""
+    places = documents.select("doc_id", "text").mapInArrow(_short_lines, "short string, doc long, line long")
+    firsts = places.groupBy("short").agg(F.min(F.struct("doc", "line")).alias("keep"), F.count("*").alias("n"))
+    firsts = stage(spark, firsts.where("n > 1").drop("n"), "short-lines")
+    out = places.join(firsts, "short").where("not (doc = keep.doc and line = keep.line)")
+    return out.select("doc", "line", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
+
+
 def dedup_lines(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents with repeated lines removed from `text`, and n_removed, n_lines (lines left)."""
     documents = documents.drop("n_removed", "n_lines")  # results of an earlier run
-    drop = stage(spark, duplicate_lines(spark, documents, threshold), "removed-lines")
+    drop = duplicate_lines(spark, documents, threshold).unionByName(repeated_short_lines(spark, documents))
+    drop = stage(spark, drop, "removed-lines")
     per = stage(spark, drop.groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("line").alias("__lines")), "removed-by-doc")
     bits = spark.sparkContext.broadcast(bitmap(per, "__doc"))
     hit = documents.mapInArrow(flagged(bits, True), documents.schema).join(per, F.col("doc_id") == F.col("__doc"), "left")

@@ -147,6 +147,12 @@ def test_lines_against_all_pairs(spark):
     assert {(r.doc, r.line) for r in found} == gone and len(found) == len(gone) > 100
 
 
+def test_exact_repeats_of_short_lines_go(spark):
+    texts = [(1, "Read more\n\none story", "a"), (2, " read MORE\n\nother\nother", "a"), (3, "\u8fd9\u662f\u4e00\u53e5\n}", "a"), (4, "\u8fd9\u662f\u4e00\u53e5\n}\n}", "a")]
+    found = {r.doc_id: (r.text, r.n_removed, r.n_lines) for r in linededup.dedup_lines(spark, documents(spark, texts)).collect()}
+    assert found == {1: (texts[0][1], 0, 3), 2: ("\nother", 2, 2), 3: (texts[2][1], 0, 2), 4: ("", 3, 0)}
+
+
 def test_near_duplicates_of_odd_rows(spark, odd, empty):
     found = [tuple(r) for r in neardup.classes(spark, odd).collect()]
     assert sorted(x for x in found if x[0] is not None) == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (5, 5), (6, 6), (7, 7)]
