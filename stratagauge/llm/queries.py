@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from stratagauge.llm import ann, htmltext, licences, linededup, mixing, neardup, pieces, quality, toxicity, vectordup
+from stratagauge.llm import (
+    ann,
+    conversations,
+    fim,
+    htmltext,
+    licences,
+    linededup,
+    mixing,
+    neardup,
+    pieces,
+    quality,
+    tokencount,
+    toxicity,
+    vectordup,
+)
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_license_scan": licences.op8_license_scan,
     "op9_embedding_near_dedup": vectordup.op9_embedding_near_dedup,
     "op10_ann": ann.op10_ann,
+    "op11_fill_in_middle": fim.op11_fill_in_middle,
+    "op12_conversation_repair": conversations.op12_conversation_repair,
+    "op13_token_counts": tokencount.op13_token_counts,
 }
 
-SQL = {"op1_mix": mixing.OP1_SQL, "op8_license_scan": licences.OP8_SQL}
+SQL = {"op1_mix": mixing.OP1_SQL, "op8_license_scan": licences.OP8_SQL, "op11_fill_in_middle": fim.OP11_SQL}
