@@ -29,6 +29,12 @@ def latest_measurement(
     return first_per_key(events, [key], order)
 
 
+def event_order(columns: Sequence[str], key: str = "evento_id", time: str = "timestamp_evento") -> list[Column]:
+    """Which copy of an event stays: the latest, and among equal times the one with the highest other values."""
+    others = [F.col(name).desc_nulls_last() for name in columns if name not in (key, time)]
+    return [F.col(time).desc_nulls_last(), *others]
+
+
 def deduplicate_events(
     events: DataFrame, key: str = "evento_id", time: str = "timestamp_evento"
 ) -> DataFrame:
@@ -36,6 +42,5 @@ def deduplicate_events(
 
     Events without id are no copies of one another: all of them stay, for the quality rules to judge.
     """
-    others = [F.col(name).desc_nulls_last() for name in events.columns if name not in (key, time)]
     named, nameless = events.filter(F.col(key).isNotNull()), events.filter(F.col(key).isNull())
-    return first_per_key(named, [key], [F.col(time).desc_nulls_last(), *others]).unionByName(nameless)
+    return first_per_key(named, [key], event_order(events.columns, key, time)).unionByName(nameless)

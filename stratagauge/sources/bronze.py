@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime
+from collections import Counter
 from collections.abc import Callable, Iterable
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,6 +73,21 @@ def latest_load(spark: SparkSession, path: str, fmt: str = "parquet") -> datetim
     return max(datetime.date.fromisoformat(value) for value in dates if value[:1].isdigit())
 
 
+def load_files(spark: SparkSession, path: str, fmt: str = "parquet") -> dict[str, int]:
+    """Ingest date -> number of data files, from the table's list of files; nothing of their content is read.
+
+    For a table that a stream writes that is the list of committed files.
+    """
+    try:
+        files = spark.read.format(fmt).load(path).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return {}
+    mark = f"/{INGEST_DATE}="
+    return dict(Counter(f.partition(mark)[2].partition("/")[0] for f in files if mark in f))
+
+
 def read_bronze(
     spark: SparkSession, path: str, fmt: str = "parquet", date: datetime.date | None = None
 ) -> DataFrame:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_SCHEMA_FOLDER = "_schema"
+from stratagauge.sources import snapshots
+from stratagauge.sources.snapshots import Snapshot
+
+#: Versions of a layer table that stay readable.
+KEPT = 2
 
 
 def scan(
@@ -63,9 +64,12 @@ def write_table(
     By default a partitioned table is rebalanced by that column: few files per partition, and a
     value that holds many rows is split over several writers. Other tables are written without a
     further shuffle. `rebalance` says otherwise: true for a table that a filter left nearly empty,
-    false for a large one with few partition values. Plain files do not remember the schema of an
-    empty partitioned table or the type of a partition column, so it is kept beside them.
+    false for a large one with few partition values. Plain files become a new version of the table, which
+    readers see only when all of it is written (see `snapshots`); a job that fails leaves the table as it was.
+    The last KEPT versions stay. The schema belongs to the version: plain files do not remember that of an
+    empty partitioned table or the type of a partition column.
     """
+    spark = df.sparkSession
     partitioned = partition is not None and partition in df.columns
     balanced = df
     if partitioned if rebalance is None else rebalance:
@@ -75,29 +79,23 @@ def write_table(
     balanced = balanced.observe(
         watched, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (metrics or {}).items()]
     )
-    writer = balanced.write.format(fmt).mode("overwrite")
-    if fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
-    else:
-        # The whole table is replaced, also partitions that have no rows any more.
-        writer = writer.option("partitionOverwriteMode", "static")
+    writer = balanced.write.format(fmt)
     if partitioned:
         writer = writer.partitionBy(partition)
-    writer.save(path)
-    if fmt != "delta":
-        text = df.sparkSession.createDataFrame([(df.schema.json(),)], "value string")
-        text.coalesce(1).write.mode("overwrite").text(f"{path}/{_SCHEMA_FOLDER}")
+    if fmt == "delta":
+        writer.mode("overwrite").option("overwriteSchema", "true").save(path)
+        return watched.get
+    before = snapshots.latest(spark, path)
+    version = before.version + 1 if before is not None else 0
+    folder = snapshots.new_folder(version)
+    writer.save(snapshots.location(path, folder))
+    snapshots.commit(spark, path, Snapshot(version, {snapshots.WHOLE: (folder,)}, df.schema, fmt))
+    if version >= KEPT:
+        snapshots.vacuum(spark, path, KEPT)
     return watched.get
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A layer table, with the schema it was written with."""
-    reader = spark.read.format(fmt)
-    if fmt != "delta":
-        try:
-            row = spark.read.text(f"{path}/{_SCHEMA_FOLDER}").first()
-        except AnalysisException:
-            row = None
-        if row is not None:
-            reader = reader.schema(T.StructType.fromJson(json.loads(row.value)))
-    return reader.load(path)
+    """The current version of a layer table, with the schema it was written with."""
+    snapshot = None if fmt == "delta" else snapshots.latest(spark, path)
+    return spark.read.format(fmt).load(path) if snapshot is None else snapshots.read(spark, path, snapshot)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratagauge.config import BATCH_TABLES, Layers
-from stratagauge.sources import bronze, landing, tables, warehouse
+from stratagauge.sources import snapshots, bronze, landing, tables, warehouse
 from tests.domain import source_tables
 
 
@@ -91,7 +91,7 @@ def test_a_large_partition_value_is_written_by_several_tasks(spark, tmp_path):
         tables.write_table(df, path, partition="ano")
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files = [f for f in (tmp_path / "t" / "ano=2024").iterdir() if f.suffix == ".parquet"]
+    files = list((tmp_path / "t").rglob("ano=2024/*.parquet"))
     assert len(files) > 3
 
 
@@ -128,3 +128,28 @@ def test_latest_load_comes_from_folder_names(spark, tmp_path):
         spark.range(1).selectExpr(f"'{day}' as day").write.parquet(f"{tmp_path}/data_ingestao_dt={day}")
     assert str(bronze.latest_load(spark, str(tmp_path))) == "2024-02-01"
     assert [r.day for r in bronze.read_bronze(spark, str(tmp_path)).collect()] == ["2024-02-01"]
+
+
+def test_a_write_that_fails_leaves_the_table_and_its_schema(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    df = spark.range(6).selectExpr("id", "cast(2023 + id % 2 as int) as ano")
+    tables.write_table(df, path, partition="ano")
+    reader = tables.read_table(spark, path)
+    other = df.selectExpr("id", "ano", "if(id = 5, raise_error('killed'), 1) as novo")
+    with pytest.raises(Exception, match="killed"):
+        tables.write_table(other, path, partition="ano")
+    assert rows(tables.read_table(spark, path)) == rows(df) and tables.read_table(spark, path).columns == ["id", "ano"]
+    tables.write_table(df.limit(0).withColumn("novo", F.lit("x")), path, partition="ano")
+    assert tables.read_table(spark, path).columns == ["id", "ano", "novo"] and tables.read_table(spark, path).count() == 0
+    # A reader of the version before goes on.
+    assert rows(reader) == rows(df)
+
+
+def test_old_versions_of_a_table_are_emptied(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(1, 5):
+        tables.write_table(spark.range(n), path)
+    assert tables.read_table(spark, path).count() == 4
+    known = snapshots.versions(spark, path)
+    assert [s.version for s in known] == [3, 2, 1, 0]
+    assert [snapshots.read(spark, path, s).count() for s in known] == [4, 3, 0, 0]
