@@ -44,6 +44,8 @@ PRIMARY_KEYS = {
 PERCENT_RANGE = (0.0, 100.0)
 YEAR_RANGE = (2019, 2030)
 PROFICIENCY_RANGE = (0.0, 1000.0)
+# Weights that exact sums have room for.
+WEIGHT_RANGE = (0.0, 9.99e17)
 
 # First two digits of a municipality id -> state.
 STATE_BY_PREFIX = {
@@ -73,26 +75,29 @@ class QualitySpec:
     reference: tuple[str, str] | None = None
 
 
+#: Silver tables that list all territories of a kind, and the column that holds them.
+_DIRECTORY_KEYS = {"municipio": "id_municipio", "uf": "sigla_uf"}
+
+
+def _spec(keys: tuple[str, ...], measure: str, span: tuple[float, float], directory: str | None = None, **more) -> QualitySpec:
+    """A measure and a year in range; the territory exists in a directory table, if one is named."""
+    reference = (_DIRECTORY_KEYS[directory], directory) if directory else None
+    return QualitySpec(keys, {measure: span, "ano": YEAR_RANGE, **more}, reference)
+
+
+def _long(table: str) -> tuple[str, ...]:
+    """Key of a target table in long form."""
+    return (*PRIMARY_KEYS[table], "ano_meta")
+
+
 QUALITY_SPECS = {
-    "municipio": QualitySpec(
-        PRIMARY_KEYS["municipio"], {"taxa_alfabetizacao": PERCENT_RANGE, "ano": YEAR_RANGE}
-    ),
-    "uf": QualitySpec(PRIMARY_KEYS["uf"], {"taxa_alfabetizacao": PERCENT_RANGE, "ano": YEAR_RANGE}),
-    "meta_municipio": QualitySpec(
-        ("id_municipio", "ano", "rede", "ano_meta"),
-        {"valor_meta": PERCENT_RANGE, "ano": YEAR_RANGE},
-        reference=("id_municipio", "municipio"),
-    ),
-    "meta_uf": QualitySpec(
-        ("sigla_uf", "ano", "rede", "ano_meta"), {"valor_meta": PERCENT_RANGE, "ano": YEAR_RANGE}
-    ),
-    "indicador_stream": QualitySpec(
-        ("evento_id",), {"taxa_alfabetizacao": PERCENT_RANGE, "ano": YEAR_RANGE}
-    ),
+    "municipio": _spec(PRIMARY_KEYS["municipio"], "taxa_alfabetizacao", PERCENT_RANGE),
+    "uf": _spec(PRIMARY_KEYS["uf"], "taxa_alfabetizacao", PERCENT_RANGE),
+    "meta_municipio": _spec(_long("meta_alfabetizacao_municipio"), "valor_meta", PERCENT_RANGE, "municipio"),
+    "meta_uf": _spec(_long("meta_alfabetizacao_uf"), "valor_meta", PERCENT_RANGE, "uf"),
+    "indicador_stream": _spec(("evento_id",), "taxa_alfabetizacao", PERCENT_RANGE, "municipio"),
     # Asked for by the data model, although the result tables do not depend on it.
-    "alunos": QualitySpec(
-        PRIMARY_KEYS["alunos"], {"proficiencia": PROFICIENCY_RANGE, "ano": YEAR_RANGE}
-    ),
+    "alunos": _spec(PRIMARY_KEYS["alunos"], "proficiencia", PROFICIENCY_RANGE, "municipio", peso_aluno=WEIGHT_RANGE),
 }
 
 

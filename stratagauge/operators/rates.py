@@ -32,7 +32,8 @@ def partial_sums(
 
     Rows without a score are left out and a missing weight counts 1. Without `digits` sums are
     decimals with room for 1e10 rows of the largest weight; a weight that does not fit (infinite, or 1e18
-    and more) leaves its row out, and the quality rules name it. With `digits` sums are units of
+    and more) leaves its row out, and so does the quality check of the student table, with the reason
+    `peso_aluno_fora_da_faixa` for it. With `digits` sums are units of
     10^-digits in 64 bits, for weights that are known to be small.
     """
     value, given = measures.number(F.col(score)), measures.number(F.col(weight))

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratagauge.config import Layers
+from stratagauge.config import INGEST_DATE, QUALITY_SPECS, STREAM_TABLE, Layers, QualitySpec
 from stratagauge.functions import keys, measures
 from stratagauge.operators import (
     alerts,
     clean,
+    distribution,
     joins,
     latest,
     lookup,
@@ -20,14 +21,16 @@ from stratagauge.operators import (
     quality,
     rates,
     reshape,
+    sample,
     targets,
     trend,
 )
-from stratagauge.plans import gold, run, silver, star
+from stratagauge.plans import gold, incremental, run, silver, star
 from stratagauge.plans.star import Star
 from stratagauge.session import scratch_dir, tune
-from stratagauge.sources import bronze, landing, tables, warehouse
+from stratagauge.sources import bronze, landing, snapshots, tables, upserts, warehouse
 from stratagauge.streaming import bronze as stream
+from stratagauge.streaming import live
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -314,6 +317,76 @@ def target_risk(data):
     )
 
 
+def _located(data):
+    """Results with the region of their nation."""
+    nation = data.table("nation").select("n_nationkey", F.col("n_regionkey").alias("region"))
+    number = F.substring("id_municipio", 1, 2).cast("int")
+    return data.realized.join(nation, number == nation["n_nationkey"])
+
+
+@_query
+def rate_distribution(data):
+    """Percentiles and inequality of the rates of each region and year."""
+    path = scratch_dir(data.spark, "rate-distribution")
+    found = distribution.distribution(_located(data), ["region", "ano"], "taxa_alfabetizacao", path)
+    return found.withColumnsRenamed({"ano": "yr", "linhas": "results"})
+
+
+@_query
+def sketched_distribution(data):
+    """Medians from sketches per network, merged by region and year: the rank of each is within the stated error."""
+    rows = _located(data).filter("taxa_alfabetizacao is not null")
+    parts = distribution.sketches(rows, ["region", "ano", "rede"], "taxa_alfabetizacao")
+    merged = distribution.merge_sketches(parts, ["region", "ano"])
+    medians = distribution.sketched_percentiles(merged, ["region", "ano"], [50]).withColumnRenamed("linhas", "results")
+    # Rows that are below the sketched median, and those that are not above it.
+    value, median = F.col("taxa_alfabetizacao"), F.col("p50")
+    ranks = joins.left_lookup(rows, medians, {"region": "region", "ano": "ano"}).groupBy("region", "ano").agg(
+        F.max("results").alias("results"),
+        (F.count_if(value < median) / F.count(F.lit(1))).alias("low"),
+        (F.count_if(value <= median) / F.count(F.lit(1))).alias("high"),
+    )
+    error = distribution.SKETCH_ERROR
+    within = (F.col("low") <= 0.5 + error) & (F.col("high") >= 0.5 - error)
+    return ranks.select("region", F.col("ano").alias("yr"), "results", within.alias("within_error"))
+
+
+@_query
+def regional_spread(data):
+    """The regional gold table: regions are named by the first digit of the territory."""
+    found = gold.regional_inequality(data.realized)
+    return found.withColumnsRenamed(
+        {"regiao": "region", "ano": "yr", "rede_desc": "network", "maximo": "max_rate", "minimo": "min_rate", "amplitude_pp": "spread_pp"}
+    )
+
+
+@_query
+def stable_sample(data):
+    """A tenth of the users with all of their events, the same on every run."""
+    events = data.table("events").select("event_id", "user_id", "ts", "value")
+    return sample.stable_sample(events, ["user_id"], 10)
+
+
+@_query
+def stratified_sample(data):
+    """Twenty events of each type, chosen by the hash of their id."""
+    events = data.table("events").select("event_id", "event_type", "value")
+    return sample.bottom_k(events, ["event_type"], ["event_id"], 20)
+
+
+@_query
+def lazy_gold(data):
+    """Silver and gold as one lazy plan over the source tables, as it is published."""
+    sources = data.source_tables()
+    events = data.source_events().withColumn(stream.REJECTED, F.lit(None).cast("string"))
+    indicator = run.build_gold(sources.__getitem__, lambda: events)["indicador_municipio"]
+    return _territory(
+        indicator.withColumn("ano", F.col("ano") - star.YEAR_SHIFT).drop("rede_desc", "sigla_uf")
+    ).withColumnsRenamed(
+        {"taxa_realizada": "rate", "meta_ano": "target_value", "atingiu_meta": "attained"}
+    )
+
+
 # --- Quality --------------------------------------------------------------------------------
 
 
@@ -413,6 +486,49 @@ def rate_of_approved(data):
     return _weighted_rate(data, passed)
 
 
+@_query
+def filtered_violations(data):
+    """The same rows as `referential_violations`, most of them told by a key filter before any shuffle."""
+    documents = data.table("documents").select("doc_id")
+    return joins.missing_behind_filter(documents, "doc_id", data.table("labels"))
+
+
+@_query
+def student_quarantine(data):
+    """Students by the rules of their table: key, proficiency, year and weight."""
+    spec = QUALITY_SPECS["alunos"]
+    students = data.source_tables()["alunos"].withColumns(
+        {
+            "proficiencia": F.col("proficiencia") * 25,
+            "peso_aluno": F.when(F.col("proficiencia") == 7, F.lit(1e18)).otherwise(F.col("peso_aluno")),
+        }
+    )
+    cleaned = clean.clean(students).select("id_aluno", "id_municipio", "ano", "proficiencia", "peso_aluno")
+    failed = quality.quarantined(quality.score(cleaned, spec.keys, spec.ranges))
+    return failed.select(
+        F.col("id_aluno").alias("student_id"),
+        F.col("id_municipio").alias("territory_id"),
+        (F.col("ano") - star.YEAR_SHIFT).alias("yr"),
+        F.col(quality.REASON_TEXT).alias("reason"),
+    )
+
+
+@_query
+def quality_report(data):
+    """The quality stage of a run over a stored silver table with a reference, and its report."""
+    layers = _layers(data.spark, "quality-report")
+    later = data.shared.realized.withColumn("ano", F.col("ano") + star.YEAR_SHIFT)
+    tables.write_table(later, layers.silver("municipio"), partition="ano")
+    directory = data.territories.filter("l_suppkey % 5 <> 0").select("id_municipio")
+    tables.write_table(directory, layers.silver("diretorio"))
+    keys_ = QUALITY_SPECS["municipio"].keys
+    spec = QualitySpec(keys_, {"taxa_alfabetizacao": (10, 60)}, ("id_municipio", "diretorio"))
+    report = run.check_quality(data.spark, layers, {"municipio": spec})
+    return report.withColumnsRenamed(
+        {"tabela": "tbl", "aprovados": "approved", "quarentena": "quarantined", "pct_qualidade": "pct_quality"}
+    )
+
+
 # --- Sources and sinks ----------------------------------------------------------------------
 
 
@@ -463,6 +579,22 @@ def partitioned_layer(data):
     return tables.read_table(data.spark, path).filter(F.col("yr") == 1998)
 
 
+@_query
+def table_versions(data):
+    """A table that was replaced once: the version before stays readable, with its own schema."""
+    path = _layers(data.spark, "table-versions").silver("taxa")
+    rates_ = weighted_rate(data)
+    tables.write_table(rates_, path, partition="yr")
+    tables.write_table(rates_.filter("yr = 1998").select("yr", "rate"), path, partition="yr")
+    counted = [
+        snapshots.read(data.spark, path, found).groupBy("yr").agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(found.version).cast("int").alias("version"), F.lit(len(found.schema)).alias("n_columns"), "yr", "n_rows"
+        )
+        for found in snapshots.versions(data.spark, path)
+    ]
+    return counted[0].unionByName(counted[1])
+
+
 @_query
 def quarantine_sink(data):
     """Quarantined rows written unpartitioned, then counted by reason."""
@@ -524,6 +656,90 @@ def stream_deduplicated(data):
     return latest.deduplicate_events(cleaned, "event_id", "ts")
 
 
+def _arrivals(data, parts, jitter_days):
+    """Events dealt into `parts` loads by a time of arrival that is up to some days after their own."""
+    events = data.table("events").select("event_id", "user_id", "ts", "event_type", "value")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(jitter_days * 86400))
+    day = F.unix_timestamp(F.col("ts").cast("timestamp")) + late
+    first, last = F.lit(1704067200), F.lit((31 + jitter_days) * 86400)
+    part = F.least(F.floor((day - first) * parts / last), F.lit(parts - 1))
+    return [events.filter(part == i) for i in range(parts)]
+
+
+def _live_layers(data, purpose, loads):
+    """The loads through the bronze stream, one after the other; gives each time the bronze table as a stream."""
+    layers = _layers(data.spark, purpose)
+    path = layers.bronze("events")
+    for load in loads:
+        landing.land_events(load.withColumn("props", F.lit(None).cast("string")), layers.landing)
+        stream.start_bronze_stream(
+            data.spark, layers.landing, path, layers.stream_checkpoint, "events", schema=STREAM_SCHEMA, time="ts"
+        ).awaitTermination()
+        events = live.bronze_events(data.spark, path, data.spark.read.parquet(path).schema)
+        yield layers, events.select("event_id", "user_id", "ts", "event_type", "value")
+
+
+def _plain_time(df):
+    return df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@_query
+def live_deduplicated(data):
+    """Every event landed twice, out of order, and written once by the running stream, which is restarted after each load."""
+    parts = _arrivals(data, 2, 3)
+    for layers, events in _live_layers(data, "live-deduplicated", [parts[0].unionByName(parts[0]), parts[1].unionByName(parts[0])]):
+        path, checkpoint = layers.silver("events"), f"{layers.stream_checkpoint}-live"
+        live.start_deduplicated(data.spark, events, path, checkpoint, "40 days", "event_id", "ts").awaitTermination()
+    return _plain_time(data.spark.read.parquet(path))
+
+
+@_query
+def live_latest(data):
+    """The latest event of each user, merged load by load into a keyed table while events come in out of order."""
+    for layers, events in _live_layers(data, "live-latest", _arrivals(data, 3, 5)):
+        path, checkpoint = layers.gold("latest"), f"{layers.stream_checkpoint}-latest"
+        live.start_latest(data.spark, events, path, checkpoint, "user_id", "ts", "event_id", buckets=8).awaitTermination()
+    return _plain_time(upserts.read_upserts(data.spark, path))
+
+
+@_query
+def live_alerts(data):
+    """Falls by more than 100, found by the running stream although events come up to a day late and out of order."""
+    end = data.table("events").limit(0).select("event_id", "user_id", "ts", "event_type", "value")
+    last = data.spark.range(1).select(
+        F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"),
+        F.lit("2024-03-01 00:00:00").cast("timestamp_ntz").alias("ts"), F.lit("end").alias("event_type"), F.lit(0.0).alias("value"),
+    )
+    loads = [*_arrivals(data, 3, 1), end.unionByName(last)]
+    for layers, events in _live_layers(data, "live-alerts", loads):
+        path, checkpoint = layers.gold("alerts"), f"{layers.stream_checkpoint}-alerts"
+        names = {"key": "user_id", "time": "ts", "tie_break": "event_id", "value": "value"}
+        live.start_alerts(data.spark, events, 100, path, checkpoint, "2 days", **names).awaitTermination()
+    return data.spark.read.parquet(path).select("event_id", "user_id", F.col("queda").alias("drop_by"))
+
+
+@_query
+def incremental_events(data):
+    """Silver events after three loads, each merged alone: new events, repeated ones and later copies."""
+    layers = _layers(data.spark, "incremental-events")
+    events = data.source_events().withColumn(stream.REJECTED, F.lit(None).cast("string"))
+    number = F.col("evento_id").cast("long")
+    later = events.filter(number % 5 == 0).withColumns(
+        {"timestamp_evento": F.col("timestamp_evento") + F.expr("interval 1 hour"), "taxa_alfabetizacao": F.col("taxa_alfabetizacao") + 1}
+    )
+    first, second = events.filter(number % 2 == 0), events.filter(number % 2 != 0)
+    for day, load in enumerate((first, second.unionByName(first.filter(number % 3 == 0)), later), 1):
+        stamped = bronze.stamp(load, "events", "streaming").withColumn(INGEST_DATE, F.to_date(F.lit(f"2024-06-0{day}")))
+        stamped.write.mode("append").partitionBy(INGEST_DATE).parquet(layers.bronze(STREAM_TABLE))
+        incremental.update_events(data.spark, layers, buckets=8)
+    return tables.read_table(data.spark, layers.silver(incremental.EVENTS)).select(
+        F.col("evento_id").alias("event_id"),
+        F.col("id_municipio").alias("territory_id"),
+        F.col("timestamp_evento").alias("ts"),
+        F.col("taxa_alfabetizacao").alias("value"),
+    )
+
+
 @_query
 def events_without_id(data):
     """Events of which a tenth lost its id, delivered twice: copies go, events without id all stay."""

@@ -136,6 +136,52 @@ select * from ({_EVOLUTION}) s order by territory_id, kind, ref_year, network, v
     "regional_inequality": """
 select n.n_regionkey as region, r.yr, max(r.rate) as max_rate, min(r.rate) as min_rate, round(max(r.rate)-min(r.rate),1) as spread_pp
 from realized r join nation n on cast(substring(r.territory_id,1,2) as int)=n.n_nationkey group by n.n_regionkey, r.yr
+""",
+    "rate_distribution": """
+, x as (select n.n_regionkey as region, r.yr, r.rate,
+               row_number() over (partition by n.n_regionkey, r.yr order by r.rate) as place,
+               count(*) over (partition by n.n_regionkey, r.yr) as n
+        from realized r join nation n on cast(substring(r.territory_id,1,2) as int)=n.n_nationkey where r.rate is not null)
+select region, yr, max(n) as results,
+       min(case when place*100 >= n*10 then rate end) as p10, min(case when place*100 >= n*50 then rate end) as p50,
+       min(case when place*100 >= n*90 then rate end) as p90,
+       round(cast(sum(cast(rate*10 as bigint)*(2*place - n - 1)) as double)
+             / nullif(cast(max(n) as double) * cast(sum(cast(rate*10 as bigint)) as double), 0), 6) as gini
+from x group by region, yr
+""",
+    "sketched_distribution": """
+select n.n_regionkey as region, r.yr, count(*) as results, true as within_error
+from realized r join nation n on cast(substring(r.territory_id,1,2) as int)=n.n_nationkey where r.rate is not null group by n.n_regionkey, r.yr
+""",
+    "regional_spread": """
+select case substring(territory_id,1,1) when '1' then 'Norte' when '2' then 'Nordeste' end as region, yr, network,
+       max(rate) as max_rate, min(rate) as min_rate, round(max(rate)-min(rate),1) as spread_pp
+from realized group by 1, yr, network
+""",
+    "quality_report": """
+, d as (select territory_id, max(cast(substring(territory_id,3) as int)) as supplier from micro group by territory_id),
+checked as (select r.*, d.supplier % 5 <> 0 and (r.rate is null or r.rate between 10 and 60) as ok
+            from realized r join d on r.territory_id = d.territory_id)
+select 'municipio' as tbl, count(*) as total, count(*) filter (where ok) as approved, count(*) filter (where not ok) as quarantined,
+       round(100 * cast(count(*) filter (where ok) as double) / count(*), 2) as pct_quality
+from checked
+""",
+    "student_quarantine": """
+, s as (select l_orderkey || '-' || l_linenumber as student_id, l_suppkey, l_quantity, year(l_shipdate) as yr,
+               count(1) over (partition by l_orderkey, l_linenumber, year(l_shipdate)) as n from lineitem),
+t as (select distinct territory_id, cast(substring(territory_id,3) as int) as supplier from micro)
+select student_id, territory_id, cast(yr as int) as yr,
+       concat_ws('; ', case when n > 1 then 'chave_duplicada' end,
+                 case when l_quantity*25 > 1000 then 'proficiencia_fora_da_faixa' end,
+                 case when yr + 28 not between 2019 and 2030 then 'ano_fora_da_faixa' end,
+                 case when l_quantity = 7 then 'peso_aluno_fora_da_faixa' end) as reason
+from s join t on s.l_suppkey = t.supplier
+where n > 1 or l_quantity*25 > 1000 or yr + 28 not between 2019 and 2030 or l_quantity = 7
+""",
+    "table_versions": f"""
+, r as ({_RATES.format(micro="micro", extra="")})
+select cast(0 as int) as version, 6 as n_columns, yr, count(*) as n_rows from r group by yr
+union all select cast(1 as int), 2, yr, count(*) from r where yr = 1998 group by yr
 """,
     "trend_projection": """
 , m as (select territory_id, network, grade, count(*) as n, cast(sum(yr-1995) as bigint) as sx,
@@ -265,6 +311,34 @@ select * from e union all select * from e where event_id is null
 """,
     "oversized_quarantine": """
 select concat(c_custkey, '12345678') as territory_id, 'territory_id_longo_demais' as reason from customer where c_custkey % 7 = 0
+""",
+    "filtered_violations": """
+select d.doc_id from documents d where not exists (select 1 from labels l where l.doc_id=d.doc_id)
+""",
+    "stable_sample": """
+select event_id, user_id, ts, value from events
+where ('0x' || substr(md5(cast(user_id as varchar)), 1, 15))::bigint < 115292150460684704
+""",
+    "stratified_sample": """
+select event_id, event_type, value from (
+  select *, row_number() over (partition by event_type
+    order by ('0x' || substr(md5(cast(event_id as varchar)), 1, 15))::bigint, event_id) as place from events) x
+where place <= 20
+""",
+    "live_deduplicated": "select event_id, user_id, ts, event_type, value from events",
+    "live_latest": """
+select event_id, user_id, ts, event_type, value
+from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) x where rn=1
+""",
+    "live_alerts": """
+select event_id, user_id, round(prev - value, 2) + 0.0e0 as drop_by
+from (select *, lag(value) over (partition by user_id order by ts, event_id) as prev from events) x where prev - value > 100
+""",
+    "incremental_events": """
+select cast(event_id as varchar) as event_id, lpad(cast(user_id as varchar), 7, '0') as territory_id,
+       case when event_id % 5 = 0 then ts + interval 1 hour else ts end as ts,
+       case when event_id % 5 = 0 then value + 1 else value end as value
+from events
 """,
     "latest_measurement": """
 select event_id, user_id, ts, event_type, value
@@ -276,6 +350,8 @@ from (select *, lag(value) over (partition by user_id order by ts, event_id) as
 """,
 }
 
+_ON_DOMAIN["lazy_gold"] = _ON_DOMAIN["target_vs_actual"]
+
 SQL = {
     **{name: f"{DOMAIN}{text}" for name, text in _ON_DOMAIN.items()},
     **_STANDALONE,

@@ -16,10 +16,10 @@ from stratagauge.config import (
     Layers,
     QualitySpec,
 )
-from stratagauge.operators import clean, profile, quality
+from stratagauge.operators import alerts, clean, profile, quality
 from stratagauge.plans import gold, silver
 from stratagauge.session import side_by_side
-from stratagauge.sources import bronze
+from stratagauge.sources import bronze, snapshots
 from stratagauge.sources.tables import read_table, write_table
 from stratagauge.streaming import bronze as stream
 
@@ -31,8 +31,14 @@ GOLD_PARTITIONS = {
     "evolucao_municipio": "ano_ref",
     "indicador_uf": "ano",
     "indicador_stream_recente": None,
+    "desigualdade_regional": None,
+    "risco_meta": None,
+    "alertas_queda": None,
 }
 
+#: Points by which a measurement has to fall below the one before to be an alert.
+ALERT_POINTS = 5.0
+
 _CHECKED_FOR_GOLD = ("municipio", "uf", "meta_municipio", "meta_uf", "indicador_stream")
 
 
@@ -160,7 +166,11 @@ def write_gold(spark: SparkSession, layers: Layers, only_approved: bool = True)
             return read_approved(spark, layers, table)
         return read_table(spark, layers.silver(table), layers.fmt)
 
-    tables = gold.gold_tables({name: read(name) for name in _CHECKED_FOR_GOLD})
+    approved = {name: read(name) for name in _CHECKED_FOR_GOLD}
+    tables = gold.gold_tables(approved)
+    # Looking back along the events of a hot key takes a stage of its own.
+    looked_back = snapshots.location(layers.gold("alertas_queda"), f"staged/{snapshots.new_folder(0)}")
+    tables["alertas_queda"] = alerts.drops(approved["indicador_stream"], ALERT_POINTS, looked_back)
 
     def write(name: str) -> int:
         path, partition = layers.gold(name), GOLD_PARTITIONS[name]

@@ -5,7 +5,7 @@ from stratagauge.config import QUALITY_SPECS, Layers, QualitySpec
 from stratagauge.operators import profile, trend
 from stratagauge.plans import run
 from stratagauge.sources.landing import land_events
-from stratagauge.sources.tables import read_table
+from stratagauge.sources.tables import read_table, write_table
 from tests.domain import EVENT_COLUMNS, PUBLIC, event, source_tables
 
 
@@ -72,6 +72,28 @@ def test_gold_holds_approved_rows_only(spark, layers, rows):
     assert run.read_approved(spark, layers, "municipio").columns == read_table(spark, layers.silver("municipio")).columns
 
 
+def test_inequality_risk_and_alerts_are_gold_tables(spark, layers, rows):
+    layers, _, _, written = layers
+    assert {"desigualdade_regional", "risco_meta", "alertas_queda"} <= set(written)
+    spread = read_table(spark, layers.gold("desigualdade_regional"))
+    assert rows(spread, "regiao", "ano", "rede_desc", "amplitude_pp")[0] == ("Nordeste", 2023, "Não informado", None)
+    assert ("Sudeste", 2024, "Municipal", 22.0) in rows(spread, "regiao", "ano", "rede_desc", "amplitude_pp")
+    risk = read_table(spark, layers.gold("risco_meta")).filter("id_municipio = '3550308'")
+    assert rows(risk, "anos", "projecao", "meta", "em_risco") == [(2, 68.0, 66.0, False)]
+    # From 60 to 70 there is no fall.
+    assert read_table(spark, layers.gold("alertas_queda")).count() == 0
+
+
+def test_a_weight_that_does_not_fit_is_quarantined(spark, tmp_path):
+    layers = Layers(str(tmp_path))
+    students = [("a1", "3550308", 2024, 700.0, 1.0), ("a2", "3550308", 2024, 700.0, float("inf")), ("a3", "9999999", 2024, 1700.0, -1.0)]
+    write_table(spark.createDataFrame(students, "id_aluno string, id_municipio string, ano int, proficiencia double, peso_aluno double"), layers.silver("alunos"))
+    write_table(spark.createDataFrame([("3550308",)], "id_municipio string"), layers.silver("municipio"))
+    run.check_quality(spark, layers, {"alunos": QUALITY_SPECS["alunos"]})
+    bad = {r.id_aluno: r.motivo_quarentena for r in read_table(spark, layers.quarantine("alunos")).collect()}
+    assert bad == {"a2": "peso_aluno_fora_da_faixa", "a3": "proficiencia_fora_da_faixa; peso_aluno_fora_da_faixa; id_municipio_sem_referencia"}
+
+
 def test_references_and_oversized_ids(spark, layers):
     layers = layers[0]
     spec = QualitySpec(("id_municipio", "ano", "rede", "serie"), reference=("id_municipio", "meta_municipio"))
@@ -90,7 +112,8 @@ def test_gold_in_one_lazy_plan_equals_the_unfiltered_stages(spark, layers, rows)
     layers = layers[0]
     lazy = run.build_gold(run._bronze_reader(spark, layers), lambda: run._bronze_events(spark, layers))
     staged = run.write_gold(spark, layers, only_approved=False)
-    assert staged == {name: df.count() for name, df in lazy.items()}
+    assert set(staged) - set(lazy) == {"alertas_queda"}  # a stage of its own
+    assert {name: staged[name] for name in lazy} == {name: df.count() for name, df in lazy.items()}
     for name, df in lazy.items():
         assert rows(read_table(spark, layers.gold(name)), *df.columns) == rows(df)
     run.write_gold(spark, layers)
