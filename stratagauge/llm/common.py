@@ -33,6 +33,14 @@ def first_by_hash(df: DataFrame, order: str, n: int, rows: int, *ties: str) -> D
     return df.where(scrambled < cut).orderBy(scrambled, order, *ties).limit(n)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name for a helper column that no column of df has, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

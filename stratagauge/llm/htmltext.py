@@ -6,7 +6,9 @@ each child to its parent. Sum-product messages go upward from the leaves and dow
 batch at once and level by level, and give each node's marginal; the text of nodes at CUT or more is kept.
 
 The tables are counted on labelled pages: the few below and, of the pages themselves, at most SAMPLE (the first by
-a hash of their html) that mark their article, labelled by that mark.
+a hash of their html) that mark their article, labelled by that mark. Pages without <article> or <main> are judged by
+tables of their own, counted on the same pages with these elements taken out: what stood in them is
+then content that lies openly in the page, and what is around it has to be told by what it looks like.
 
 Defined results: null and empty html have an empty text; broken, cut off and very long pages are read as
 far as they go; white space in a block becomes one space and blocks are joined by one; rows that repeat get
@@ -45,7 +47,9 @@ CLOSED_BY = {  # an open element on the left ends where one of the right begins
 IN_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
 SECTIONS = set("article aside nav footer header section main div body form table ul ol".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(>|$)", re.S)
+# A quote opens a value only after an equals sign; anywhere else it is a character like others.
+_VALUE = r"=\s*+(?:\"[^\"]*+(?:\"|$)|'[^']*+(?:'|$))"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:{_VALUE}|[^>])*+)(>|$)", re.S)
 _NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _LABEL = re.compile(r"\bdata-main\s*=\s*\"([01])\"")
 _SPACES = re.compile(r"\s+")
@@ -72,6 +76,15 @@ PAGES = (
 )
 
 
+#: Pages without any frame: all is content but what is marked as none.
+BARE_PAGES = (
+    "<body>Nothing but text that stands in the page as it is, without any element around it.</body>",
+    "<body><h1>Heading</h1><p>A paragraph of some length that stands openly in the page, as in old pages.</p><p>And short.</p></body>",
+    """<body><div><h2>Heading</h2><div>Text in a box of its own which is long enough to be read as a paragraph of prose, and goes on.</div><div>Short.</div></div>
+    <div data-main="0"><a href=a>One</a> <a href=b>Two</a></div><nav data-main="0"><ul><li><a href=c>Three</a></li></ul></nav><footer data-main="0"><p>Rights</p></footer></body>""",
+)
+
+
 @dataclass
 class Node:
     """A block element: what can be seen of it, its own text in runs, its label (-1: none)."""
@@ -93,6 +106,7 @@ class _Seen:
 
     parent: int
     observed: list[str]
+    tag: str = ""
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
@@ -194,6 +208,26 @@ def forced(node: Node) -> int:
     return -1 if node.names or node.tag in ("aside", "nav", "form", "header", "footer") else 1
 
 
+def flattened(nodes: list, labels: list[int]) -> tuple[list, list[int]]:
+    """A labelled page without its articles: their elements belong to what is around them, which so has content."""
+    open_ = [n.parent < 0 or n.tag not in ("article", "main") for n in nodes]
+    up, out, place = [], [], {}
+    for i, node in enumerate(nodes):
+        parent = node.parent
+        while parent >= 0 and not open_[parent]:
+            parent = nodes[parent].parent
+        up.append(parent)
+        if open_[i]:
+            place[i] = len(out)
+            out.append(_Seen(place.get(parent, -1), seen(node), node.tag))
+    told = list(labels)
+    for i, label in enumerate(labels):
+        if label == 1:
+            while (i := up[i]) >= 0:
+                told[i] = 1
+    return out, [told[i] for i in place]
+
+
 @dataclass
 class Model:
     """log P(observation | state), log P(state | parent's state), log P(state) of a root."""
@@ -246,19 +280,22 @@ def marginals(pages: list[list[Node]], model: Model) -> np.ndarray:
     return 1 / (1 + np.exp(np.clip(belief[:, 0] - belief[:, 1], -500, 500)))
 
 
-def train(spark: SparkSession, pages: DataFrame) -> Model:
-    """Tables from the labelled pages above and a bounded sample of pages that mark their article."""
+def train(spark: SparkSession, pages: DataFrame) -> tuple[Model, Model]:
+    """Tables for pages that mark their article, and for all others.
+
+    They are counted on the labelled pages above and a bounded sample of pages that mark their article.
+    """
     marked = pages.where(F.lower("html").rlike("<(article|main)[ >]"))
     marked = marked.select(F.xxhash64("html").alias("h"), "html")
     hashes = marked.select("h").distinct()
     chosen = first_by_hash(hashes, "h", SAMPLE, hashes.count())
     some = marked.join(F.broadcast(chosen), "h").groupBy("h").agg(F.any_value("html").alias("html"))  # SAMPLE rows
     rows = some.select("html").mapInArrow(_sampled, "tags array<string>, parents array<int>, labels array<int>, seen array<array<string>>").collect()
-    told = [(nodes := parse(p)[0], [max(0, n.label) for n in nodes], WEIGHT) for p in PAGES]
-    for r in rows:
-        nodes = [_Seen(p, s) for p, s in zip(r["parents"], r["seen"])]
-        told.append((nodes, r["labels"], 1.0))
-    return count(told)
+    own = [(nodes := parse(p)[0], [max(0, n.label) for n in nodes], WEIGHT) for p in PAGES]
+    told = [([_Seen(*n) for n in zip(r["parents"], r["seen"], r["tags"])], r["labels"], 1.0) for r in rows]
+    flat = [(*flattened(nodes, labels), weight) for nodes, labels, weight in own + told]
+    bare = [(nodes := parse(p)[0], [1 if n.label < 0 else n.label for n in nodes], WEIGHT) for p in BARE_PAGES]
+    return count(own + told), count(flat + bare)
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,11 +307,18 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["tags", "parents", "labels", "seen"])
 
 
-def extract(htmls: list[str | None], model: Model) -> list[str]:
+def extract(htmls: list[str | None], models: tuple[Model, Model]) -> list[str]:
+    """Main texts, by the tables for pages with an article or for those without."""
     parsed = [parse(p or "") for p in htmls]
-    belief = marginals([nodes for nodes, _ in parsed], model)
-    starts = np.cumsum([0, *(len(nodes) for nodes, _ in parsed)])
-    return [" ".join(t for owner, t in runs if belief[s + owner] >= CUT) for (_, runs), s in zip(parsed, starts)]
+    texts = [""] * len(parsed)
+    marked = [any(n.article for n in nodes) for nodes, _ in parsed]
+    for model, with_article in zip(models, (True, False)):
+        own = [i for i, m in enumerate(marked) if m == with_article]
+        belief = marginals([parsed[i][0] for i in own], model)
+        starts = np.cumsum([0, *(len(parsed[i][0]) for i in own)])
+        for i, s in zip(own, starts):
+            texts[i] = " ".join(t for owner, t in parsed[i][1] if belief[s + owner] >= CUT)
+    return texts
 
 
 def _extractor(sent):

@@ -2,13 +2,14 @@
 
 A line is compared in lower case without white space at its ends. Lines of the whole corpus whose character
 shingles have a Jaccard similarity of `THRESHOLD` or more are linked; of each component the line
-of the smallest (doc_id, line number) stays and all others are removed from their texts, also inside one document.
+of the smallest (doc_id, hash of the text, line number) stays and all others are removed from their texts, also inside one document.
 
 With 12 bands of 4 hashes a pair at 0.8 meets in a bucket with probability 0.998, at 0.85 surely.
 
 Defined results: lines of fewer than MIN_CHARS characters are compared exactly; blank lines stay as they are; null and empty texts stay; a document whose lines are all removed gets an empty text
-and `n_lines` 0; rows that repeat a doc_id share their decisions; a row whose doc_id is null passes
-unchanged and its lines count for nobody; other columns of the input are kept; ties cannot occur, as places are ordered.
+and `n_lines` 0; rows that repeat a doc_id are told apart by their text, and only rows equal in both share their decisions; a row
+whose doc_id is null passes unchanged and its lines count for nobody; other columns of the input are kept; ties cannot
+occur, as places are ordered; texts of any number of lines are cut in one pass over them.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from stratagauge.llm.common import bitmap, flagged, link_buckets, may_hold, stage, table
+from stratagauge.llm.common import bitmap, flagged, fresh, link_buckets, may_hold, stage, table
 from stratagauge.llm.tokens import P, mixed, slices
 
 SHINGLE, THRESHOLD, MIN_CHARS = 8, 0.8, 16
@@ -47,6 +49,15 @@ def _lines(part: pa.RecordBatch, short: bool = False) -> tuple[pa.Array, np.ndar
     return flat.filter(pa.array(keep)), row[keep], number[keep]
 
 
+def _documents(part: pa.RecordBatch, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """doc_id and hash of the text of the documents that lines are in."""
+    return tuple(part[name].fill_null(0).to_numpy(zero_copy_only=False)[row] for name in ("doc_id", "th"))
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select("doc_id", "text", F.xxhash64("text").alias("th"))
+
+
 def _keys(lines: list[str]) -> np.ndarray:
     """Two 64-bit halves of each line's hash."""
     return np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in lines), ">i8").astype(np.int64).reshape(-1, 2)
@@ -77,14 +88,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             coded = flat.dictionary_encode()
             codes, lines = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-            doc = part["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)[row]
-            order = np.lexsort((number, doc, codes))
+            doc, th = _documents(part, row)
+            order = np.lexsort((number, th, doc, codes))
             first = order[np.concatenate([[True], np.diff(codes[order]) > 0])]
             keys = _keys(lines)
             bands = band_keys(signatures(lines))
             yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, (keys[:, 0], keys[:, 1], doc[first], number[first], np.bincount(codes))), pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel()))],
-                ["hi", "lo", "doc", "line", "n", "bands"],
+                [*map(pa.array, (keys[:, 0], keys[:, 1], doc[first], th[first], number[first], np.bincount(codes))), pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel()))],
+                ["hi", "lo", "doc", "th", "line", "n", "bands"],
             )
 
 
@@ -105,8 +116,8 @@ def _places(bits, with_text: bool):
                     yield pa.RecordBatch.from_arrays([pa.array(keys[asked, 0]), pa.array(keys[asked, 1]), lines.filter(pa.array(asked)).cast(pa.string())], ["hi", "lo", "text"])
                 else:
                     at = np.flatnonzero(asked[codes])
-                    doc = part["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)[row[at]]
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, (keys[codes[at], 0], keys[codes[at], 1], doc, number[at]))], ["hi", "lo", "doc", "line"])
+                    doc, th = _documents(part, row[at])
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, (keys[codes[at], 0], keys[codes[at], 1], doc, th, number[at]))], ["hi", "lo", "doc", "th", "line"])
 
     return places
 
@@ -142,10 +153,10 @@ def shingle_sets() -> Callable:
 
 
 def duplicate_lines(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc, line, keep_doc, keep_line: each line to remove, and the place of the line that stays for it."""
-    texts = documents.select("doc_id", "text")
-    seen = texts.mapInArrow(_sign, f"{KEY}, doc long, line long, n long, bands array<long>")
-    distinct = seen.groupBy("hi", "lo").agg(F.min(F.struct("doc", "line")).alias("first"), F.sum("n").alias("n"), F.any_value("bands").alias("bands"))
+    """doc, th, line, keep_doc, keep_line: each line to remove, and the place of the line that stays for it."""
+    texts = _texts(documents)
+    seen = texts.mapInArrow(_sign, f"{KEY}, doc long, th long, line long, n long, bands array<long>")
+    distinct = seen.groupBy("hi", "lo").agg(F.min(F.struct("doc", "th", "line")).alias("first"), F.sum("n").alias("n"), F.any_value("bands").alias("bands"))
     # Written once, so the ids stay what they are.
     distinct = stage(spark, distinct.withColumn("id", F.monotonically_increasing_id()), "lines")
     spread = distinct.select(F.explode("bands").alias("bucket"), "id")
@@ -164,47 +175,72 @@ def duplicate_lines(spark: SparkSession, documents: DataFrame, threshold: float
     )
     grouped = stage(spark, grouped, "repeated")
     bits = spark.sparkContext.broadcast(bitmap(grouped, "hi"))
-    places = texts.mapInArrow(_places(bits, False), f"{KEY}, doc long, line long")
-    out = places.join(grouped, ["hi", "lo"]).where("not (doc = keep.doc and line = keep.line)")
-    return out.select("doc", "line", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
+    places = texts.mapInArrow(_places(bits, False), f"{KEY}, doc long, th long, line long")
+    out = places.join(grouped, ["hi", "lo"]).where("not (doc = keep.doc and th = keep.th and line = keep.line)")
+    return out.select("doc", "th", "line", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
 
 
 def _short_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text", SLICE):
             flat, row, number = _lines(part, short=True)
-            doc = part["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)[row]
-            yield pa.RecordBatch.from_arrays([flat.cast(pa.string()), pa.array(doc), pa.array(number)], ["short", "doc", "line"])
+            doc, th = _documents(part, row)
+            yield pa.RecordBatch.from_arrays([flat.cast(pa.string()), *map(pa.array, (doc, th, number))], ["short", "doc", "th", "line"])
 
 
 def repeated_short_lines(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """doc, line, keep_doc, keep_line like `duplicate_lines`, of the exact repeats among lines under MIN_CHARS."""
-    places = documents.select("doc_id", "text").mapInArrow(_short_lines, "short string, doc long, line long")
-    firsts = places.groupBy("short").agg(F.min(F.struct("doc", "line")).alias("keep"), F.count("*").alias("n"))
+    """doc, th, line, keep_doc, keep_line like `duplicate_lines`, of the exact repeats among lines under MIN_CHARS."""
+    places = _texts(documents).mapInArrow(_short_lines, "short string, doc long, th long, line long")
+    firsts = places.groupBy("short").agg(F.min(F.struct("doc", "th", "line")).alias("keep"), F.count("*").alias("n"))
     firsts = stage(spark, firsts.where("n > 1").drop("n"), "short-lines")
-    out = places.join(firsts, "short").where("not (doc = keep.doc and line = keep.line)")
-    return out.select("doc", "line", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
+    out = places.join(firsts, "short").where("not (doc = keep.doc and th = keep.th and line = keep.line)")
+    return out.select("doc", "th", "line", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
 
 
-def dedup_lines(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with repeated lines removed from `text`, and n_removed, n_lines (lines left)."""
-    documents = documents.drop("n_removed", "n_lines")  # results of an earlier run
+def _cutter(lines: str, removed: str, left: str):
+    """For mapInArrow: texts without the lines whose numbers are listed, and how many lines went and are left."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, gone, rest = [], [], []
+            for text, numbers in zip(batch["text"].to_pylist(), batch[lines].to_pylist()):
+                all_ = [] if text is None else text.split("\n")
+                if numbers:
+                    mask = set(numbers)
+                    kept = [line for i, line in enumerate(all_) if i not in mask]
+                    text = "\n".join(kept)
+                else:
+                    kept = all_
+                texts.append(text)
+                gone.append(len(all_) - len(kept))
+                rest.append(len(kept))
+            names = [n for n in batch.schema.names if n != lines]
+            columns = [pa.array(texts, pa.string()) if n == "text" else batch[n] for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, pa.int64()), pa.array(rest, pa.int64())], [*names, removed, left])
+
+    return cut
+
+
+def cut_lines(spark: SparkSession, documents: DataFrame, removed: str, left: str, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents with repeated lines removed from `text`, and the numbers of lines removed and left under two new names."""
     drop = duplicate_lines(spark, documents, threshold).unionByName(repeated_short_lines(spark, documents))
     drop = stage(spark, drop, "removed-lines")
-    per = stage(spark, drop.groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("line").alias("__lines")), "removed-by-doc")
-    bits = spark.sparkContext.broadcast(bitmap(per, "__doc"))
-    hit = documents.mapInArrow(flagged(bits, True), documents.schema).join(per, F.col("doc_id") == F.col("__doc"), "left")
-    rest = documents.mapInArrow(flagged(bits, False), documents.schema).withColumn("__lines", F.lit(None).cast("array<long>"))
-    both = hit.drop("__doc").unionByName(rest)
-    lines = F.split("text", "\n")
-    gone = F.when(F.col("__lines").isNull(), 0).otherwise(F.size("__lines"))
-    left = F.filter(lines, lambda _, i: ~F.array_contains("__lines", i.cast("long")))
-    text = F.when(F.col("__lines").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return both.select(
-        *[text.alias("text") if c == "text" else F.col(c) for c in documents.columns],
-        gone.cast("long").alias("n_removed"),
-        (F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)) - gone).cast("long").alias("n_lines"),
-    )
+    doc, th, lines = (fresh(documents, name) for name in ("doc", "th", "lines"))
+    per = drop.groupBy(F.col("doc").alias(doc), F.col("th").alias(th)).agg(F.collect_set("line").alias(lines))
+    per = stage(spark, per, "removed-by-doc")
+    bits = spark.sparkContext.broadcast(bitmap(per, doc))
+    hit = documents.mapInArrow(flagged(bits, True), documents.schema)
+    hit = hit.join(per, (F.col("doc_id") == F.col(doc)) & (F.xxhash64("text") == F.col(th)), "left").drop(doc, th)
+    schema = StructType([*documents.schema.fields, StructField(removed, LongType()), StructField(left, LongType())])
+    cut = hit.mapInArrow(_cutter(lines, removed, left), schema)
+    rest = documents.mapInArrow(flagged(bits, False), documents.schema)
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.length(F.regexp_replace("text", "[^\n]+", "")) + 1)
+    return cut.unionByName(rest.withColumns({removed: F.lit(0).cast("long"), left: n.cast("long")}))
+
+
+def dedup_lines(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents with repeated lines removed from `text`, and n_removed, n_lines (lines left) in place of such columns."""
+    return cut_lines(spark, documents.drop("n_removed", "n_lines"), "n_removed", "n_lines", threshold)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

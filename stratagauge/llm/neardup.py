@@ -10,8 +10,8 @@
 With 16 bands of 5 samples, a pair at 0.8 meets in a bucket with probability 0.998, at 0.9 surely.
 
 Defined results: texts of fewer than five words are one shingle; null texts and texts without words are linked
-with nothing and are classes of their own; rows that repeat a doc_id are one document if their words agree,
-and may have different classes otherwise; a row whose doc_id is null is in no class (null) and not kept; extra columns
+with nothing and are classes of their own; rows that repeat a doc_id are told apart by their text: those with the same words
+are one document, others may have different classes; a row whose doc_id is null is in no class (null) and not kept; extra columns
 are ignored; an empty table gives an empty result.
 """
 
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratagauge.llm.common import bitmap, flagged, link_buckets, may_hold, stage, table
+from stratagauge.llm.common import bitmap, flagged, fresh, link_buckets, may_hold, stage, table
 from stratagauge.llm.tokens import P, mixed, shingles, slices, word_hashes
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -34,6 +34,8 @@ BANDS, ROWS = 16, 5
 DF_CELLS = 1 << 18
 #: Draws of (rate, shift, level) that hashes pick from.
 DRAWS = 1 << 16
+#: Texts whose keys a task remembers.
+REMEMBERED = 20_000
 #: Shingles of a long text that are sampled at a time.
 CHUNK = 4096
 
@@ -105,16 +107,21 @@ def band_keys(drawn: np.ndarray) -> np.ndarray:
 
 def _signer(idf):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table_, draws = idf.value, _draws()
+        table_, draws, signed = idf.value, _draws(), {}
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, begin = word_hashes(part["text"])
                 bodies, keys = [], []
                 for lo, hi in zip(begin, begin[1:]):
                     own = hashes[lo:hi]
-                    bodies.append(xxhash.xxh3_128_digest(own.tobytes()) if hi > lo else None)
-                    keys.append(band_keys(samples(*weighted(own, table_), draws)) if hi > lo else None)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(bodies, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "body", "bands"])
+                    body = xxhash.xxh3_128_digest(own.tobytes()) if hi > lo else None
+                    if body is not None and body not in signed:  # copies are signed once a task
+                        if len(signed) >= REMEMBERED:
+                            signed.clear()
+                        signed[body] = band_keys(samples(*weighted(own, table_), draws))
+                    bodies.append(body)
+                    keys.append(signed.get(body))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["th"], pa.array(bodies, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "th", "body", "bands"])
 
     return sign
 
@@ -123,7 +130,10 @@ def _taker(bits):
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"].fill_null(-1).to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(may_hold(bits.value, ids)))
+            for part in slices(batch.filter(pa.array(may_hold(bits.value, ids))), "text"):
+                hashes, begin = word_hashes(part["text"])
+                bodies = [xxhash.xxh3_128_digest(hashes[lo:hi].tobytes()) for lo, hi in zip(begin, begin[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(bodies, pa.binary()), part["text"]], ["body", "text"])
 
     return take
 
@@ -151,26 +161,41 @@ def leveled(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return ids[order], idf[(found % np.uint64(DF_CELLS)).astype(np.int64)].astype(np.float64)[order]
 
 
-def classes(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id of every row."""
-    texts = documents.select("doc_id", "text")
+def _classes(spark: SparkSession, documents: DataFrame, threshold: float) -> DataFrame:
+    """doc_id, th (hash of the text) and first (doc_id and th of the class's first text) of every row.
+
+    first is null for rows without words or without doc_id.
+    """
+    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("th"))
     idf = spark.sparkContext.broadcast(inverse_frequencies(texts))
-    signed = stage(spark, texts.mapInArrow(_signer(idf), "doc_id long, body binary, bands array<long>"), "signed")
+    signed = stage(spark, texts.mapInArrow(_signer(idf), "doc_id long, th long, body binary, bands array<long>"), "signed")
     with_body = signed.where("body is not null and doc_id is not null")
-    heads = with_body.groupBy("body").agg(F.min("doc_id").alias("id"), F.any_value("bands").alias("bands"))
-    heads = stage(spark, heads, "heads")
+    heads = with_body.groupBy("body").agg(F.min(F.struct("doc_id", "th")).alias("first"), F.any_value("bands").alias("bands"))
+    # Written once, so the ids stay what they are; a doc_id may stand for several texts.
+    heads = stage(spark, heads.withColumn("id", F.monotonically_increasing_id()), "heads")
     spread = heads.select(F.explode("bands").alias("bucket"), "id").distinct()
     shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stage(spark, spread.join(shared.select("bucket"), "bucket"), "members")
-    ids = members.select("id").distinct()
-    bits = spark.sparkContext.broadcast(bitmap(ids, "id"))
-    near = texts.mapInArrow(_taker(bits), "doc_id long, text string").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
-    near = stage(spark, near.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "near-texts")
+    wanted = heads.join(members.select("id").distinct(), "id", "left_semi").select("id", "body", F.col("first.doc_id").alias("doc_id"))
+    wanted = stage(spark, wanted, "wanted")
+    bits = spark.sparkContext.broadcast(bitmap(wanted, "doc_id"))
+    near = texts.select("doc_id", "text").mapInArrow(_taker(bits), "body binary, text string").join(wanted.select("id", "body"), "body")
+    near = stage(spark, near.select("id", "text").dropDuplicates(["id"]), "near-texts")
 
     labels = link_buckets(spark, members, near, _features(idf), threshold)
-    named = heads.join(labels, "id", "left").select(F.col("body").alias("key"), F.coalesce("component", "id").alias("class_id"))
+    joined = heads.join(labels, "id").select("body", "first", "component")
+    least = joined.groupBy("component").agg(F.min("first").alias("class_first"))
+    joined = joined.join(least, "component").select(F.col("body").alias("key"), "class_first")
+    alone = heads.join(labels.select("id"), "id", "left_anti").select(F.col("body").alias("key"), F.col("first").alias("class_first"))
+    named = joined.unionByName(alone)
     out = signed.join(named, (F.col("body") == F.col("key")) & F.col("doc_id").isNotNull(), "left")
-    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    return out.select("doc_id", "th", F.col("class_first").alias("first"))
+
+
+def classes(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id of every row."""
+    found = _classes(spark, documents, threshold)
+    return found.select("doc_id", F.coalesce("first.doc_id", "doc_id").alias("class_id"))
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,11 +204,17 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unique_documents(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with one of each class, the smallest doc_id, and one of rows that repeat it; null doc_ids stay."""
-    found = stage(spark, classes(spark, documents, threshold), "classes").where("doc_id is not null")
-    per = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("class_id").alias("c"))
-    per = stage(spark, per.where("n > 1 or doc_id <> c").select(F.col("doc_id").alias("__doc"), (F.col("doc_id") == F.col("c")).alias("__stays")), "repeated-documents")
-    bits = spark.sparkContext.broadcast(bitmap(per, "__doc"))
-    hit = documents.mapInArrow(flagged(bits, True), documents.schema).join(per, F.col("doc_id") == F.col("__doc"), "left")
-    one = hit.where("__stays").dropDuplicates(["doc_id"]).unionByName(hit.where("__stays is null"))
+    """The documents with one text of each class, that of the smallest doc_id, and one of rows that are equal in doc_id and text.
+
+    Rows without doc_id or without words stay; so do different texts under one doc_id that are in classes of their own.
+    """
+    found = stage(spark, _classes(spark, documents, threshold), "classes").where("first is not null")
+    stays = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.th") == F.col("th"))
+    per = found.groupBy("doc_id", "th").agg(F.count("*").alias("n"), F.min(stays).alias("stays")).where("n > 1 or not stays")
+    doc, th, flag = (fresh(documents, name) for name in ("doc", "th", "stays"))
+    per = stage(spark, per.select(F.col("doc_id").alias(doc), F.col("th").alias(th), F.col("stays").alias(flag)), "repeated-documents")
+    bits = spark.sparkContext.broadcast(bitmap(per, doc))
+    hit = documents.mapInArrow(flagged(bits, True), documents.schema)
+    hit = hit.join(per, (F.col("doc_id") == F.col(doc)) & (F.xxhash64("text") == F.col(th)), "left")
+    one = hit.where(F.col(flag)).dropDuplicates([doc, th]).unionByName(hit.where(F.col(flag).isNull()))
     return one.select(*documents.columns).unionByName(documents.mapInArrow(flagged(bits, False), documents.schema))

@@ -7,6 +7,8 @@ train a logistic scorer over hashed shapes of words, line and word repetitions;
 
 The scorer is fitted on at most SAMPLE documents (the first by a hash of their text); everything else covers all.
 
+Letters, marks, digits and punctuation of all scripts are told apart by their Unicode categories, in all planes.
+
 Defined results: a null text or one without any visible character has score 0 and is rejected; very long texts
 are taken whole; the score depends on the text alone, so rows that repeat get equal scores; extra columns stay;
 an empty table gives an empty result.
@@ -14,6 +16,8 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,28 +49,55 @@ VOTES = {
 LEAST_TOKENS, LEAST_LINES = 12, 4
 # Punctuation of ordinary prose.
 PROSE = ".,;:!?'\"()-–—’‘“”«»¿¡…/"
+JOINERS = "\u200c\u200d"
 
 _SPACE, _LETTER, _UPPER, _SYMBOL, _BANG = 1, 2, 4, 8, 16
 
 
+#: Code points from here on are of scripts whose punctuation is that of prose; below, PROSE names what is.
+OTHER_SCRIPTS = 0x300
+#: General punctuation, of which too PROSE names what is prose.
+GENERAL = range(0x2000, 0x2070)
+
+
+@functools.cache
 def _character_classes() -> np.ndarray:
-    out = np.zeros(1 << 16, np.uint8)
-    for i in range(1 << 16):
-        c = chr(i)
+    """Class of every code point; marks that combine with letters belong to them."""
+    out = np.zeros(0x110000, np.uint8)
+    for i in range(0x110000):
+        c, kind = chr(i), unicodedata.category(chr(i))
         if c.isspace():
             out[i] = _SPACE
         elif c.isalpha():
             out[i] = _LETTER | (_UPPER if c.isupper() else 0)
-        elif not c.isdigit() and c not in PROSE:
+        elif not (c.isdigit() or kind[0] in "MN" or c in PROSE or c in JOINERS or (kind[0] == "P" and _foreign(i))):
             out[i] = _SYMBOL
     out[ord("!")] |= _BANG
     return out
 
 
+def _foreign(point: int) -> bool:
+    return point >= OTHER_SCRIPTS and point not in GENERAL
+
+
+def _kind(c: str) -> str:
+    """X, x or 9; nothing for what belongs to letters and for punctuation of scripts that set no spaces; else the character."""
+    if c.isupper():
+        return "X"
+    if c.isalpha():
+        return "x"
+    if c.isdigit():
+        return "9"
+    kind = "" if c.isascii() else unicodedata.category(c)
+    if kind[:1] == "M" or c in JOINERS or (kind[:1] == "P" and _foreign(ord(c))):
+        return ""
+    return "9" if kind[:1] == "N" else c
+
+
 def _shape(word: str) -> str:
     """Runs of upper case, lower case, digits; other characters as they are, each run once."""
-    kinds = ["X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word[:256]]
-    return "".join(k for k, before in zip(kinds, [""] + kinds) if k != before)
+    kinds = [k for c in word if (k := _kind(c))]
+    return "".join(k for k, before in zip(kinds, ["", *kinds]) if k != before)
 
 
 #: Shapes of plain words; the marks are PROSE.
