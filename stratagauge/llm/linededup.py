@@ -202,21 +202,21 @@ def _cutter(lines: str, removed: str, left: str):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, gone, rest = [], [], []
-            for text, numbers in zip(batch["text"].to_pylist(), batch[lines].to_pylist()):
-                all_ = [] if text is None else text.split("\n")
-                if numbers:
-                    mask = set(numbers)
-                    kept = [line for i, line in enumerate(all_) if i not in mask]
-                    text = "\n".join(kept)
-                else:
-                    kept = all_
-                texts.append(text)
-                gone.append(len(all_) - len(kept))
-                rest.append(len(kept))
-            names = [n for n in batch.schema.names if n != lines]
-            columns = [pa.array(texts, pa.string()) if n == "text" else batch[n] for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, pa.int64()), pa.array(rest, pa.int64())], [*names, removed, left])
+            for part in slices(batch, "text", SLICE):
+                texts, gone, rest = [], [], []
+                for text, numbers in zip(part["text"], part[lines]):
+                    text, numbers = text.as_py(), numbers.as_py()
+                    kept = all_ = [] if text is None else text.split("\n")
+                    if numbers:
+                        mask = set(numbers)
+                        kept = [line for i, line in enumerate(all_) if i not in mask]
+                        text = "\n".join(kept)
+                    texts.append(text)
+                    gone.append(len(all_) - len(kept))
+                    rest.append(len(kept))
+                names = [n for n in part.schema.names if n != lines]
+                columns = [pa.array(texts, pa.string()) if n == "text" else part[n] for n in names]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, pa.int64()), pa.array(rest, pa.int64())], [*names, removed, left])
 
     return cut
 
