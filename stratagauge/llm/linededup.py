@@ -22,7 +22,6 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from stratagauge.llm.common import bitmap, flagged, fresh, link_buckets, may_hold, stage, table
 from stratagauge.llm.tokens import P, mixed, slices
@@ -197,45 +196,28 @@ def repeated_short_lines(spark: SparkSession, documents: DataFrame) -> DataFrame
     return out.select("doc", "th", "line", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
 
 
-def _cutter(lines: str, removed: str, left: str):
-    """For mapInArrow: texts without the lines whose numbers are listed, and how many lines went and are left."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", SLICE):
-                texts, gone, rest = [], [], []
-                for text, numbers in zip(part["text"], part[lines]):
-                    text, numbers = text.as_py(), numbers.as_py()
-                    kept = all_ = [] if text is None else text.split("\n")
-                    if numbers:
-                        mask = set(numbers)
-                        kept = [line for i, line in enumerate(all_) if i not in mask]
-                        text = "\n".join(kept)
-                    texts.append(text)
-                    gone.append(len(all_) - len(kept))
-                    rest.append(len(kept))
-                names = [n for n in part.schema.names if n != lines]
-                columns = [pa.array(texts, pa.string()) if n == "text" else part[n] for n in names]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(gone, pa.int64()), pa.array(rest, pa.int64())], [*names, removed, left])
-
-    return cut
-
-
 def cut_lines(spark: SparkSession, documents: DataFrame, removed: str, left: str, threshold: float = THRESHOLD) -> DataFrame:
     """The documents with repeated lines removed from `text`, and the numbers of lines removed and left under two new names."""
     drop = duplicate_lines(spark, documents, threshold).unionByName(repeated_short_lines(spark, documents))
     drop = stage(spark, drop, "removed-lines")
     doc, th, lines = (fresh(documents, name) for name in ("doc", "th", "lines"))
-    per = drop.groupBy(F.col("doc").alias(doc), F.col("th").alias(th)).agg(F.collect_set("line").alias(lines))
+    per = drop.groupBy(F.col("doc").alias(doc), F.col("th").alias(th)).agg(F.collect_set(F.col("line").cast("int")).alias(lines))
     per = stage(spark, per, "removed-by-doc")
     bits = spark.sparkContext.broadcast(bitmap(per, doc))
     hit = documents.mapInArrow(flagged(bits, True), documents.schema)
     hit = hit.join(per, (F.col("doc_id") == F.col(doc)) & (F.xxhash64("text") == F.col(th)), "left").drop(doc, th)
-    schema = StructType([*documents.schema.fields, StructField(removed, LongType()), StructField(left, LongType())])
-    cut = hit.mapInArrow(_cutter(lines, removed, left), schema)
-    rest = documents.mapInArrow(flagged(bits, False), documents.schema)
+    # Bound to a name once, or every line would split the text anew; what stays is found with a hash set, in linear time.
+    places = lambda all_: F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), F.col(lines))
+    cut = F.transform(F.array(F.split("text", "\n")), lambda all_: F.array_join(F.transform(places(all_), lambda i: F.get(all_, i)), "\n"))[0]
     n = F.when(F.col("text").isNull(), 0).otherwise(F.length(F.regexp_replace("text", "[^\n]+", "")) + 1)
-    return cut.unionByName(rest.withColumns({removed: F.lit(0).cast("long"), left: n.cast("long")}))
+    gone = F.when(F.col(lines).isNull(), 0).otherwise(F.size(lines))
+    text = F.when(F.col(lines).isNull(), F.col("text")).otherwise(cut)
+    rest = documents.mapInArrow(flagged(bits, False), documents.schema).withColumn(lines, F.lit(None).cast("array<int>"))
+    return hit.unionByName(rest).select(
+        *[text.alias(c) if c == "text" else F.col(c) for c in documents.columns],
+        gone.cast("long").alias(removed),
+        (n - gone).cast("long").alias(left),
+    )
 
 
 def dedup_lines(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
