@@ -23,28 +23,28 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratagauge.llm.common import bitmap, flagged, fresh, link_buckets, may_hold, stage, table
+from stratagauge.llm.common import bitmap, fresh, link_buckets, may_hold, stage, table
 from stratagauge.llm.tokens import P, mixed, slices
 
 SHINGLE, THRESHOLD, MIN_CHARS = 8, 0.8, 16
 BANDS, ROWS = 12, 4
 #: Text bytes whose lines are hashed at a time; a longer text is still taken whole.
 SLICE = 1_000_000
+#: Characters whose shingles are held in cache at a time.
+CACHED = 1 << 17
 
 KEY = "hi long, lo long"
 
 
-def _lines(part: pa.RecordBatch, short: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Normalized lines that are long enough (or short, but not blank), with their document row and line number."""
+def _lines(part: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Normalized lines that are not blank, with their document row and line number."""
     lists = pc.split_pattern(pc.fill_null(part["text"], "").cast(pa.large_string()), "\n")
     flat, at = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
     at = at - at[0]
     row = np.repeat(np.arange(part.num_rows), np.diff(at))
     number = np.arange(len(flat)) - at[:-1][row]
     flat = pc.utf8_trim_whitespace(pc.utf8_lower(flat))
-    known = part["doc_id"].is_valid().to_numpy(zero_copy_only=False)[row]
-    length = pc.utf8_length(flat).to_numpy(zero_copy_only=False)
-    keep = ((length > 0) & (length < MIN_CHARS) if short else length >= MIN_CHARS) & known
+    keep = pc.not_equal(flat, "").to_numpy(zero_copy_only=False) & part["doc_id"].is_valid().to_numpy(zero_copy_only=False)[row]
     return flat.filter(pa.array(keep)), row[keep], number[keep]
 
 
@@ -64,11 +64,18 @@ def _keys(lines: list[str]) -> np.ndarray:
 
 def signatures(lines: list[str]) -> np.ndarray:
     """MinHash of the character shingles of each line: one row of uint32 for each."""
-    hashes, counts = rolled(lines)
-    own = (hashes >> np.uint64(32)).astype(np.uint32)
-    starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
     factors = (mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * P) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    return np.stack([np.minimum.reduceat(own * f, starts) for f in factors], axis=1)
+    out = np.empty((len(lines), len(factors)), np.uint32)
+    ends = np.cumsum([len(x) for x in lines], dtype=np.int64)
+    # In runs of whole lines that stay in the processor's cache.
+    cuts = np.flatnonzero(np.diff(ends // CACHED)) + 1
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(lines)] if lines else []):
+        hashes, counts = rolled(lines[lo:hi])
+        own = (hashes >> np.uint64(32)).astype(np.uint32)
+        starts, scaled = np.concatenate([[0], np.cumsum(counts)[:-1]]), np.empty_like(own)
+        for k, factor in enumerate(factors):
+            out[lo:hi, k] = np.minimum.reduceat(np.multiply(own, factor, out=scaled), starts)
+    return out
 
 
 def band_keys(drawn: np.ndarray) -> np.ndarray:
@@ -80,24 +87,40 @@ def band_keys(drawn: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each line once a slice, with its first place and its count; lines of MIN_CHARS and more also with their band keys."""
     for batch in batches:
         for part in slices(batch, "text", SLICE):
             flat, row, number = _lines(part)
             if not len(flat):
                 continue
             coded = flat.dictionary_encode()
-            codes, lines = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+            codes, lines = coded.indices.to_numpy(), coded.dictionary
             doc, th = _documents(part, row)
             order = np.lexsort((number, th, doc, codes))
             first = order[np.concatenate([[True], np.diff(codes[order]) > 0])]
-            keys = _keys(lines)
-            bands = band_keys(signatures(lines))
+            keys = _keys(lines.to_pylist())
+            long = pc.greater_equal(pc.utf8_length(lines), MIN_CHARS)
+            bands = band_keys(signatures(lines.filter(long).to_pylist()))
+            at = np.concatenate([[0], np.cumsum(long.to_numpy(zero_copy_only=False) * BANDS)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, (keys[:, 0], keys[:, 1], doc[first], th[first], number[first], np.bincount(codes))), pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel()))],
+                [*map(pa.array, (keys[:, 0], keys[:, 1], doc[first], th[first], number[first], np.bincount(codes))), pa.ListArray.from_arrays(pa.array(at), pa.array(bands.ravel()))],
                 ["hi", "lo", "doc", "th", "line", "n", "bands"],
             )
 
 
+def _met(bits):
+    """Memberships of lines in buckets that may hold more than one line."""
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands, sizes = batch["bands"].flatten(), pc.list_value_length(batch["bands"]).to_numpy(zero_copy_only=False)
+            asked = pa.array(may_hold(bits.value, bands.to_numpy()))
+            ids = pa.array(np.repeat(batch["id"].to_numpy(), sizes))
+            yield pa.RecordBatch.from_arrays([bands.filter(asked), ids.filter(asked)], ["bucket", "id"])
+
+    return met
+
+
 def _places(bits, with_text: bool):
     """Lines whose hash may be wanted: their places, or their normalized texts once for each batch."""
 
@@ -151,68 +174,59 @@ def shingle_sets() -> Callable:
     return of
 
 
-def duplicate_lines(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc, th, line, keep_doc, keep_line: each line to remove, and the place of the line that stays for it."""
+def repeated_lines(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc, th, line, short, keep_doc, keep_line: each line to remove, and the place of the line that stays for it.
+
+    Lines are grouped by a 128-bit hash; those under MIN_CHARS characters have no band keys, so only their exact repeats are found.
+    """
     texts = _texts(documents)
     seen = texts.mapInArrow(_sign, f"{KEY}, doc long, th long, line long, n long, bands array<long>")
     distinct = seen.groupBy("hi", "lo").agg(F.min(F.struct("doc", "th", "line")).alias("first"), F.sum("n").alias("n"), F.any_value("bands").alias("bands"))
     # Written once, so the ids stay what they are.
     distinct = stage(spark, distinct.withColumn("id", F.monotonically_increasing_id()), "lines")
     spread = distinct.select(F.explode("bands").alias("bucket"), "id")
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = stage(spark, spread.join(shared.select("bucket"), "bucket"), "members")
+    shared = spread.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    shared = stage(spark, shared.select("bucket"), "shared")
+    bits = spark.sparkContext.broadcast(bitmap(shared, "bucket"))
+    members = distinct.where("size(bands) > 0").select("id", "bands").mapInArrow(_met(bits), "bucket long, id long")
+    members = stage(spark, members.join(shared, "bucket"), "members")
     wanted = stage(spark, distinct.join(members.select("id").distinct(), "id", "left_semi").select("hi", "lo", "id"), "wanted")
     bits = spark.sparkContext.broadcast(bitmap(wanted, "hi"))
     near = texts.mapInArrow(_places(bits, True), f"{KEY}, text string").join(wanted, ["hi", "lo"])
     near = stage(spark, near.groupBy("id").agg(F.any_value("text").alias("text")), "line-texts")
 
     labels = link_buckets(spark, members, near, shingle_sets, threshold)
-    grouped = distinct.select("hi", "lo", "id", "first", "n").join(labels, "id", "left")
+    grouped = distinct.select("hi", "lo", "id", "first", "n", (F.size("bands") == 0).alias("short")).join(labels, "id", "left")
     keep = grouped.where("component is not null").groupBy("component").agg(F.min("first").alias("keep"))
-    grouped = grouped.where("component is not null").join(keep, "component").select("hi", "lo", "keep").unionByName(
-        grouped.where("component is null and n > 1").select("hi", "lo", F.col("first").alias("keep"))
+    grouped = grouped.where("component is not null").join(keep, "component").select("hi", "lo", "short", "keep").unionByName(
+        grouped.where("component is null and n > 1").select("hi", "lo", "short", F.col("first").alias("keep"))
     )
     grouped = stage(spark, grouped, "repeated")
     bits = spark.sparkContext.broadcast(bitmap(grouped, "hi"))
     places = texts.mapInArrow(_places(bits, False), f"{KEY}, doc long, th long, line long")
     out = places.join(grouped, ["hi", "lo"]).where("not (doc = keep.doc and th = keep.th and line = keep.line)")
-    return out.select("doc", "th", "line", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
+    return out.select("doc", "th", "line", "short", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
 
 
-def _short_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "text", SLICE):
-            flat, row, number = _lines(part, short=True)
-            doc, th = _documents(part, row)
-            yield pa.RecordBatch.from_arrays([flat.cast(pa.string()), *map(pa.array, (doc, th, number))], ["short", "doc", "th", "line"])
-
-
-def repeated_short_lines(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """doc, th, line, keep_doc, keep_line like `duplicate_lines`, of the exact repeats among lines under MIN_CHARS."""
-    places = _texts(documents).mapInArrow(_short_lines, "short string, doc long, th long, line long")
-    firsts = places.groupBy("short").agg(F.min(F.struct("doc", "th", "line")).alias("keep"), F.count("*").alias("n"))
-    firsts = stage(spark, firsts.where("n > 1").drop("n"), "short-lines")
-    out = places.join(firsts, "short").where("not (doc = keep.doc and th = keep.th and line = keep.line)")
-    return out.select("doc", "th", "line", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
+def duplicate_lines(spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """What `repeated_lines` finds among lines of MIN_CHARS characters and more."""
+    return repeated_lines(spark, documents, threshold).where("not short").drop("short")
 
 
 def cut_lines(spark: SparkSession, documents: DataFrame, removed: str, left: str, threshold: float = THRESHOLD) -> DataFrame:
     """The documents with repeated lines removed from `text`, and the numbers of lines removed and left under two new names."""
-    drop = duplicate_lines(spark, documents, threshold).unionByName(repeated_short_lines(spark, documents))
-    drop = stage(spark, drop, "removed-lines")
+    drop = repeated_lines(spark, documents, threshold)
     doc, th, lines = (fresh(documents, name) for name in ("doc", "th", "lines"))
     per = drop.groupBy(F.col("doc").alias(doc), F.col("th").alias(th)).agg(F.collect_set(F.col("line").cast("int")).alias(lines))
     per = stage(spark, per, "removed-by-doc")
-    bits = spark.sparkContext.broadcast(bitmap(per, doc))
-    hit = documents.mapInArrow(flagged(bits, True), documents.schema)
-    hit = hit.join(per, (F.col("doc_id") == F.col(doc)) & (F.xxhash64("text") == F.col(th)), "left").drop(doc, th)
+    hit = documents.where("doc_id is not null").join(per, (F.col("doc_id") == F.col(doc)) & (F.xxhash64("text") == F.col(th)), "left").drop(doc, th)
     # Bound to a name once, or every line would split the text anew; what stays is found with a hash set, in linear time.
     places = lambda all_: F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), F.col(lines))
     cut = F.transform(F.array(F.split("text", "\n")), lambda all_: F.array_join(F.transform(places(all_), lambda i: F.get(all_, i)), "\n"))[0]
     n = F.when(F.col("text").isNull(), 0).otherwise(F.length(F.regexp_replace("text", "[^\n]+", "")) + 1)
     gone = F.when(F.col(lines).isNull(), 0).otherwise(F.size(lines))
     text = F.when(F.col(lines).isNull(), F.col("text")).otherwise(cut)
-    rest = documents.mapInArrow(flagged(bits, False), documents.schema).withColumn(lines, F.lit(None).cast("array<int>"))
+    rest = documents.where("doc_id is null").withColumn(lines, F.lit(None).cast("array<int>"))
     return hit.unionByName(rest).select(
         *[text.alias(c) if c == "text" else F.col(c) for c in documents.columns],
         gone.cast("long").alias(removed),
