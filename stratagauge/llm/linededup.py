@@ -218,12 +218,13 @@ def cut_lines(spark: SparkSession, documents: DataFrame, removed: str, left: str
     drop = repeated_lines(spark, documents, threshold)
     doc, th, lines = (fresh(documents, name) for name in ("doc", "th", "lines"))
     per = drop.groupBy(F.col("doc").alias(doc), F.col("th").alias(th)).agg(F.collect_set(F.col("line").cast("int")).alias(lines))
-    per = stage(spark, per, "removed-by-doc")
+    # One small row for each text: hashed in its partition, so that the texts need not be sorted.
+    per = stage(spark, per, "removed-by-doc").hint("shuffle_hash")
     hit = documents.where("doc_id is not null").join(per, (F.col("doc_id") == F.col(doc)) & (F.xxhash64("text") == F.col(th)), "left").drop(doc, th)
     # Bound to a name once, or every line would split the text anew; what stays is found with a hash set, in linear time.
     places = lambda all_: F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), F.col(lines))
     cut = F.transform(F.array(F.split("text", "\n")), lambda all_: F.array_join(F.transform(places(all_), lambda i: F.get(all_, i)), "\n"))[0]
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.length(F.regexp_replace("text", "[^\n]+", "")) + 1)
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
     gone = F.when(F.col(lines).isNull(), 0).otherwise(F.size(lines))
     text = F.when(F.col(lines).isNull(), F.col("text")).otherwise(cut)
     rest = documents.where("doc_id is null").withColumn(lines, F.lit(None).cast("array<int>"))
