@@ -76,17 +76,18 @@ def score(
     wording: Wording = DEFAULT_WORDING,
     extra: Iterable[Column] = (),
     store: Callable[[DataFrame], DataFrame] | None = None,
+    counted: str | None = None,
 ) -> DataFrame:
     """Add `motivo_quarentena`: all reasons in rule order joined by "; ", empty for a good row.
 
     The order is NULL keys, repeated key, ranges, then `extra`. Bounds are inclusive and a NULL
-    value is in range. `store` is that of `duplicate_count`.
+    value is in range. `store` is that of `duplicate_count`; `counted` is a column that holds its result already.
     """
     keys = [key for key in keys if key in df.columns]
     null_keys, in_range = _row_checks(df, keys, ranges or {}, wording)
     checks = list(null_keys)
     if keys:
-        df = duplicate_count(df, keys, _COPIES, store)
+        df = duplicate_count(df, keys, _COPIES, store) if counted is None else df.withColumnRenamed(counted, _COPIES)
         checks.append(F.when(F.col(_COPIES) > 1, F.lit(wording.duplicate_key)))
     checks += [*in_range, *extra]
     return df.withColumn(REASON_TEXT, F.concat_ws("; ", *checks)).drop(_COPIES)

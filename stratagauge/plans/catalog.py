@@ -28,7 +28,7 @@ from stratagauge.operators import (
 from stratagauge.plans import gold, incremental, run, silver, star
 from stratagauge.plans.star import Star
 from stratagauge.session import scratch_dir, tune
-from stratagauge.sources import bronze, landing, snapshots, tables, upserts, warehouse
+from stratagauge.sources import bronze, keyindex, landing, snapshots, tables, upserts, warehouse
 from stratagauge.streaming import bronze as stream
 from stratagauge.streaming import live
 
@@ -606,6 +606,32 @@ def quarantine_sink(data):
     )
 
 
+def _key_index(data, purpose, rows):
+    """Line items kept with an index of their keys; two loads, and the second comes twice."""
+    index = keyindex.KeyIndex(scratch_dir(data.spark, purpose), LINE_KEYS, buckets=8)
+    late = F.col("l_shipdate") >= F.lit("1998-01-01").cast("date")
+    for name, part in {"early": F.coalesce(~late, F.lit(True)), "late": late}.items():
+        keyindex.load(data.spark, index, rows.where(part), name)
+    keyindex.load(data.spark, index, rows.where(late), "late")
+    return keyindex.with_copies(data.spark, index)
+
+
+@_query
+def indexed_duplicates(data):
+    """`duplicate_count` from an index of keys: the rows stay in their buckets."""
+    lines = data.table("lineitem").select(*LINE_KEYS, "l_partkey", "l_suppkey", "l_shipdate")
+    return _key_index(data, "indexed-duplicates", lines).drop("l_shipdate")
+
+
+@_query
+def indexed_quarantine(data):
+    """`quarantine` with the copies counted from an index of keys."""
+    lines = data.table("lineitem").select(*LINE_KEYS, "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    counted = _key_index(data, "indexed-quarantine", lines).withColumn("year", F.year("l_shipdate"))
+    scored = quality.score(counted.drop("l_shipdate"), LINE_KEYS, LINE_RANGES, WORDING, counted="dup")
+    return quality.quarantined(scored).withColumnRenamed(quality.REASON_TEXT, "reason").drop("year")
+
+
 @_query
 def published_tables(data):
     """Result tables published without a hop over the driver, and the counts the writers saw."""

@@ -242,6 +242,13 @@ select l_orderkey, l_linenumber, l_partkey, l_suppkey, n as dup from {_COUNTED}
     "quarantine": f"""
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, {_REASON} as reason
 from {_COUNTED} x where {_BAD}
+""",
+    "indexed_duplicates": f"""
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, n as dup from {_COUNTED} x
+""",
+    "indexed_quarantine": f"""
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, {_REASON} as reason
+from {_COUNTED} x where {_BAD}
 """,
     "approved": f"""
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, cast(year(l_shipdate) as int) as year

@@ -16,6 +16,7 @@ STORED = {
     "bronze_ingest", "ingest_report", "partitioned_layer", "quarantine_sink", "published_tables",
     "stream_bronze", "stream_deduplicated", "drop_alert", "gold_from_layers", "table_versions", "quality_report",
     "live_deduplicated", "live_latest", "live_alerts", "incremental_events",
+    "indexed_duplicates", "indexed_quarantine",
 }
 # Its broadcast is a bitmap of bounded size.
 BITMAP = {"filtered_violations"}
