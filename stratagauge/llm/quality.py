@@ -17,6 +17,7 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -94,10 +95,20 @@ def _kind(c: str) -> str:
     return "9" if kind[:1] == "N" else c
 
 
+class _Kinds(dict):
+    """`_kind` of the code points seen so far, for `str.translate`; not more than there are code points."""
+
+    def __missing__(self, point: int) -> str:
+        self[point] = kind = _kind(chr(point))
+        return kind
+
+
+_KINDS, _RUN = _Kinds(), re.compile(r"(.)\1+", re.DOTALL)
+
+
 def _shape(word: str) -> str:
     """Runs of upper case, lower case, digits; other characters as they are, each run once."""
-    kinds = [k for c in word if (k := _kind(c))]
-    return "".join(k for k, before in zip(kinds, ["", *kinds]) if k != before)
+    return _RUN.sub(r"\1", word.translate(_KINDS))
 
 
 #: Shapes of plain words; the marks are PROSE.
@@ -123,15 +134,16 @@ def _repeats(codes: np.ndarray) -> tuple[float, float]:
 def described(texts: pa.Array, classes: np.ndarray) -> Iterator[tuple[np.ndarray, int, int, np.ndarray, np.ndarray]]:
     """For each text its shares, numbers of tokens and lines, and the slots and values of its features."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
-    tokens = pc.split_pattern_regex(texts, r"\s+")
+    tokens = pc.ascii_split_whitespace(texts)
     flat = tokens.flatten().dictionary_encode()
     codes, at = flat.indices.to_numpy().astype(np.int64), tokens.offsets.to_numpy() - tokens.offsets.to_numpy()[0]
     known = flat.dictionary.to_pylist()
-    shapes = [_shape(w) for w in known]
-    slot_of = {s: _slot(f"shape {s}") for s in set(shapes)}
-    slots = np.fromiter((slot_of[s] for s in shapes), np.int64, len(shapes))
-    bare = np.fromiter(("x" not in s and "X" not in s and "9" not in s for s in shapes), np.bool_, len(shapes))
-    odd = np.fromiter(map(_odd, shapes), np.bool_, len(shapes))
+    # Many words have few shapes: what holds for a shape is found once.
+    shapes: dict[str, int] = {}
+    shape_of = np.fromiter((shapes.setdefault(_shape(w), len(shapes)) for w in known), np.int64, len(known))
+    slots = np.array([_slot(f"shape {s}") for s in shapes], np.int64)[shape_of]
+    bare = np.array([not any(k in s for k in "xX9") for s in shapes], np.bool_)[shape_of]
+    odd = np.array([_odd(s) for s in shapes], np.bool_)[shape_of]
     blank = next((i for i, w in enumerate(known) if w == ""), -1)
     lines = pc.split_pattern(texts, "\n")
     line_codes, line_at = lines.flatten().dictionary_encode(), lines.offsets.to_numpy() - lines.offsets.to_numpy()[0]
