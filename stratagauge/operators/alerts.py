@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from stratagauge.functions import measures
 
-_PREVIOUS, _FIRST, _LAST = "previous", "_first", "_last"
+PREVIOUS, _FIRST, _LAST = "previous", "_first", "_last"
 
 
 def _with_previous(key: str, value: str):
@@ -29,7 +29,7 @@ def _with_previous(key: str, value: str):
         marks = [[first] + [False] * (rows - 1), [False] * (rows - 1) + [last]]
         return pa.RecordBatch.from_arrays(
             [*batch.columns, before, *[pa.array(mark, pa.bool_()) for mark in marks]],
-            names=[*batch.schema.names, _PREVIOUS, _FIRST, _LAST],
+            names=[*batch.schema.names, PREVIOUS, _FIRST, _LAST],
         )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +74,7 @@ def previous_values(
     schema = T.StructType(
         [
             *rows.schema.fields,
-            T.StructField(_PREVIOUS, rows.schema[value].dataType),
+            T.StructField(PREVIOUS, rows.schema[value].dataType),
             T.StructField(_FIRST, T.BooleanType()),
             T.StructField(_LAST, T.BooleanType()),
         ]
@@ -90,7 +90,7 @@ def previous_values(
     staged = spark.read.schema(schema).parquet(path)
     edges = staged.filter((F.col(_FIRST) | F.col(_LAST)) & F.col(key).isNotNull())
     window = Window.partitionBy(key).orderBy(time, tie_break)
-    stitched = edges.withColumn(_PREVIOUS, F.lag(value).over(window)).filter(_FIRST)
+    stitched = edges.withColumn(PREVIOUS, F.lag(value).over(window)).filter(_FIRST)
     inner = staged.filter(~F.col(_FIRST) | F.col(key).isNull())
     return inner.unionByName(stitched).filter(keep).drop(_FIRST, _LAST)
 
@@ -105,6 +105,6 @@ def drops(
     value: str = "taxa_alfabetizacao",
 ) -> DataFrame:
     """Events that fell by more than `threshold` below the event before, with the size of the fall."""
-    fall = F.col(_PREVIOUS) - F.col(value)
+    fall = F.col(PREVIOUS) - F.col(value)
     fallen = previous_values(events, path, key, time, tie_break, value, keep=fall > F.lit(threshold))
     return fallen.select(tie_break, key, time, measures.rounded(fall, 2).alias("queda"))

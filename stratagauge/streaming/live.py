@@ -1,25 +1,28 @@
 """Silver and gold of the event stream while it runs: one row per event, latest value per key, alerts.
 
 All three read the bronze table as a stream, so a restart goes on where the last run stopped. State is kept in
-RocksDB on the executors' disks and in the checkpoint, not in their heaps.
+RocksDB on the executors' disks and in the checkpoint, or in versioned tables, not in their heaps.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
+from stratagauge.operators import alerts
 from stratagauge.operators.joins import missing_in
+from stratagauge.operators.latest import first_per_key
+from stratagauge.sources import snapshots
+from stratagauge.sources.snapshots import Snapshot
 from stratagauge.sources.upserts import BUCKETS, upsert
 from stratagauge.streaming.bronze import REJECTED
 
 # Fixed value: the reason of events that came after the watermark.
 LATE = "evento_atrasado"
+#: Partition column of the alerts: the number of the batch that found them. Marks the last passed event of a key.
+BATCH, PASSED = "lote", "_passed"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -100,88 +103,78 @@ def start_latest(
     return writer.trigger(**_trigger(continuous, interval)).start()
 
 
-class Falls(StatefulProcessor):
-    """Events that fell by more than a threshold below the event before of the same key, in the order of event time.
+def _micros(spark: SparkSession, delay: str) -> int:
+    return spark.range(1).select(F.unix_micros(F.timestamp_micros(F.lit(0)) + F.lit(delay).cast("interval"))).first()[0]
 
-    An event waits in state until the watermark has passed it: then nothing older can come, and it is compared with
-    the last value. A timer for each stretch of `grain` seconds wakes the key, so an alert comes at most that
-    much after the watermark.
-    """
 
-    def __init__(self, key: str, time: str, tie_break: str, value: str, threshold: float, schema: T.StructType, grain: int = 60):
-        self.names = (key, time, tie_break, value)
-        self.threshold, self.schema, self.grain = threshold, schema, grain * 1000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        _, time, tie_break, value = self.names
-        waiting = T.StructType([T.StructField("at", T.LongType()), self.schema[tie_break], self.schema[value]])
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", waiting)
-        self.last = handle.getValueState("last", T.StructType([T.StructField("value", T.DoubleType())]))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        _, time, tie_break, value = self.names
-        known = set(self.handle.listTimers())
-        for part in rows:
-            at = part[time].astype("datetime64[us]").astype("int64")
-            found = list(zip(at.tolist(), part[tie_break].tolist(), [None if pd.isna(v) else v for v in part[value].tolist()]))
-            self.waiting.appendList(found)
-            # The first whole stretch that lies behind the event.
-            for when in {(t // 1000 // self.grain + 1) * self.grain for t, _, _ in found} - known:
-                self.handle.registerTimer(when)
-                known.add(when)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        name, time, tie_break, value = self.names
-        until = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        held = [tuple(r) for r in self.waiting.get()]
-        due = sorted((r for r in held if r[0] < until), key=lambda r: (r[0], r[1]))
-        if not due:
-            return iter(())
-        rest = [r for r in held if r[0] >= until]
-        if rest:
-            self.waiting.put(rest)
-        else:
-            self.waiting.clear()
-        before = self.last.get()[0] if self.last.exists() else None
-        out = []
-        for at, event, now in due:
-            if before is not None and now is not None and before - now > self.threshold:
-                out.append((event, key[0], at, before - now))
-            before = now
-        self.last.update((before,))
-        if not out:
-            return iter(())
-        found = pd.DataFrame(out, columns=[tie_break, name, time, "queda"])
-        found[time] = pd.to_datetime(found[time], unit="us")
-        return iter([found])
-
-    def close(self) -> None:
-        pass
-
-
-def falls(
-    events: DataFrame,
+def _emptied(df: DataFrame, folder: str) -> None:
+    """What was written beside a table is not needed any more."""
+    df.limit(0).coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def merge_falls(
+    batch: DataFrame,
+    number: int,
     threshold: float,
+    path: str,
+    held: str,
     delay: str,
-    key: str = "id_municipio",
-    time: str = "timestamp_evento",
-    tie_break: str = "evento_id",
-    value: str = "taxa_alfabetizacao",
-) -> DataFrame:
-    """A stream of alerts: (id, key, time, queda) of events that fell by more than `threshold`.
-
-    They equal the batch alerts for all events that come before the watermark. Events without key or time have no place
-    in an order and give no alert.
+    fmt: str,
+    key: str,
+    time: str,
+    tie_break: str,
+    value: str,
+) -> bool:
+    """One batch of events: write the alerts that are certain now, keep what later batches need.
+
+    `held` is a versioned table of the events that the watermark has not passed and, marked, of the last passed event of
+    each key; its notes have the batch and the watermark. Passed events are looked back along as in `alerts.previous_values`,
+    all keys in one sort that may spill, a hot key over many tasks. A batch that was merged before is left out (False);
+    one that failed in between writes its folder of alerts anew.
     """
-    rows = events.select(key, F.col(time).cast("timestamp").alias(time), tie_break, F.col(value).cast("double").alias(value))
-    rows = rows.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
-    fields = [rows.schema[tie_break], rows.schema[key], rows.schema[time], T.StructField("queda", T.DoubleType())]
-    processor = Falls(key, time, tie_break, value, threshold, rows.schema)
-    return rows.withWatermark(time, delay).groupBy(key).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=T.StructType(fields), outputMode="Append", timeMode="EventTime"
-    )
+    spark, names = batch.sparkSession, (key, time, tie_break, value)
+    before = snapshots.latest(spark, held)
+    if before is not None and int(before.notes["batch"]) >= number:
+        return False
+    at, number_ = F.col(time).cast("timestamp"), F.col(value).cast("double")
+    rows = batch.select(key, at.alias(time), tie_break, F.when(~F.isnan(number_), number_).alias(value), F.lit(False).alias(PASSED))
+    late = F.lit(False)
+    mark = None if before is None else before.notes["watermark"]
+    if mark:
+        late = F.unix_micros(time) <= int(mark)
+    rows = rows.where(F.col(key).isNotNull() & F.col(time).isNotNull() & ~late)
+    version = 0 if before is None else before.version + 1
+    aside = [snapshots.location(held, f"{kind}/{snapshots.new_folder(version)}") for kind in ("incoming", "staged")]
+    rows.write.parquet(aside[0])
+    new = spark.read.schema(rows.schema).parquet(aside[0])
+    # In milliseconds, as the watermarks of Spark.
+    newest = new.agg(F.max(F.unix_micros(time))).first()[0]
+    marks = ([int(mark)] if mark else []) + ([newest // 1000 * 1000 - _micros(spark, delay)] if newest is not None else [])
+    reached = max(marks, default=None)
+
+    known = new if before is None else new.unionByName(snapshots.read(spark, held, before))
+    due = F.lit(False) if reached is None else F.unix_micros(time) < reached
+    passed = known.where(F.col(PASSED) | due)
+    fall = F.col(alerts.PREVIOUS) - F.col(value)
+    fallen = alerts.previous_values(passed, aside[1], key, time, tie_break, value, keep=fall > F.lit(threshold))
+    found = fallen.select(tie_break, key, time, (F.round(fall, 2) + F.lit(0.0)).alias("queda"))
+    if fmt == "delta":
+        dealt = found.withColumn(BATCH, F.lit(number)).write.format(fmt).partitionBy(BATCH)
+        dealt.mode("overwrite").option("replaceWhere", f"{BATCH} = {number}").save(path)
+    else:
+        found.write.format(fmt).mode("overwrite").save(f"{path}/{BATCH}={number}")
+
+    last = first_per_key(passed, [key], [F.col(name).desc_nulls_last() for name in (time, tie_break, value)])
+    kept = known.where(~(F.col(PASSED) | due)).unionByName(last.withColumn(PASSED, F.lit(True)))
+    folder = snapshots.new_folder(version)
+    kept.write.parquet(snapshots.location(held, folder))
+    notes = {"batch": str(number), "watermark": "" if reached is None else str(reached)}
+    snapshots.commit(spark, held, Snapshot(version, {snapshots.WHOLE: (folder,)}, kept.schema, notes=notes))
+    for folder in aside:
+        _emptied(new, folder)
+    if version >= 2:
+        snapshots.vacuum(spark, held, 2)
+    return True
 
 
 def start_alerts(
@@ -194,11 +187,25 @@ def start_alerts(
     fmt: str = "parquet",
     continuous: bool = False,
     interval: str = "10 seconds",
-    **names: str,
+    key: str = "id_municipio",
+    time: str = "timestamp_evento",
+    tie_break: str = "evento_id",
+    value: str = "taxa_alfabetizacao",
 ) -> StreamingQuery:
-    """Append alerts on falls to a table while events come in."""
-    with_rocksdb(spark)
-    alerts = falls(events, threshold, delay, **names)
-    alerts = alerts.withColumn("queda", F.round("queda", 2) + F.lit(0.0))
-    writer = alerts.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
-    return writer.trigger(**_trigger(continuous, interval)).start(path)
+    """Append alerts (id, key, time, queda) to a table while events come in: events that fell by more than `threshold`.
+
+    An event waits until the watermark has passed it: then nothing older can come, and it is compared with the event
+    before of its key. The alerts equal the batch alerts for all events that come before the watermark. Events without key or
+    time have no place in an order and give no alert. The events that wait lie beside the checkpoint.
+    """
+    names = (key, time, tie_break, value)
+    held = f"{checkpoint.rstrip('/')}-held"
+    begun = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
+    if begun.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(begun):
+        raise ValueError(f"{path} was begun with state in its checkpoint, whose events are not read here: give a new path and checkpoint")
+
+    def merge(batch: DataFrame, number: int) -> None:
+        merge_falls(batch, number, threshold, path, held, delay, fmt, *names)
+
+    writer = events.select(*dict.fromkeys(names)).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return writer.trigger(**_trigger(continuous, interval)).start()

@@ -114,3 +114,20 @@ def test_vacuum_keeps_what_the_last_versions_use(spark, tmp_path, rows):
     assert snapshots.vacuum(spark, path, keep=2) >= 1 and snapshots.vacuum(spark, path, keep=4) == 0
     assert rows(upserts.read_upserts(spark, path)) == expected
     assert snapshots.read(spark, path, before).count() == 4
+
+
+def test_alerts_keep_no_state_for_each_key_and_repeated_batches_change_nothing(spark, tmp_path, rows):
+    base = str(tmp_path)
+    load(spark, base, [event(i, at(i), str(i % 3), 90.0 - 40 * (i // 3 % 2)) for i in range(30)])
+    query = live.start_alerts(spark, stream(spark, base), 30, f"{base}/alerts", f"{base}/ckpt-alerts", "5 minutes")
+    query.awaitTermination()
+    assert query.recentProgress and not any(p["stateOperators"] for p in query.recentProgress)
+    found = rows(spark.read.parquet(f"{base}/alerts"), "evento_id", "queda")
+    # The watermark is at minute 24: events 3 to 5, 9 to 11, 15 to 17 and 21 to 23 fell.
+    assert found == sorted((str(i), 40.0) for i in range(24) if i // 3 % 2)
+    names = ("id_municipio", "timestamp_evento", "evento_id", "taxa_alfabetizacao")
+    args = (30, f"{base}/alerts", f"{base}/ckpt-alerts-held", "5 minutes", "parquet", *names)
+    assert not live.merge_falls(good(spark, base), 0, *args)
+    late = good(spark, base).where("evento_id = '2'").withColumn("taxa_alfabetizacao", F.lit(500.0))
+    assert live.merge_falls(late, 1, *args)  # behind the watermark: it changes nothing
+    assert rows(spark.read.parquet(f"{base}/alerts"), "evento_id", "queda") == found
