@@ -608,7 +608,8 @@ def quarantine_sink(data):
 
 def _key_index(data, purpose, rows):
     """Line items kept with an index of their keys; two loads, and the second comes twice."""
-    index = keyindex.KeyIndex(scratch_dir(data.spark, purpose), LINE_KEYS, buckets=8)
+    buckets = keyindex.buckets_for(rows.count())
+    index = keyindex.KeyIndex(scratch_dir(data.spark, purpose), LINE_KEYS, buckets)
     late = F.col("l_shipdate") >= F.lit("1998-01-01").cast("date")
     for name, part in {"early": F.coalesce(~late, F.lit(True)), "late": late}.items():
         keyindex.load(data.spark, index, rows.where(part), name)

@@ -24,9 +24,18 @@ _HIDDEN = {KEY, SLOT, LOAD, COPIES, "_place", "_parts"}
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 
 
+#: Rows of a bucket, all loads together: one task sorts, counts and joins so many.
+ROWS, LEAST_BUCKETS = 1 << 18, 8
+
+
+def buckets_for(rows: int) -> int:
+    """So many buckets that one holds ROWS rows on average, however large the table is."""
+    return max(LEAST_BUCKETS, -(-rows // ROWS))
+
+
 @dataclass(frozen=True)
 class KeyIndex:
-    """`buckets` of about 1 GB are a good size. A key is hot beyond the rows of an average bucket, and beyond `least`."""
+    """`buckets` follow the rows that the table is to hold, see `buckets_for`. A key is hot beyond the rows of an average bucket, and beyond `least`."""
 
     path: str
     keys: tuple[str, ...]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratagauge.operators import quality
+from stratagauge.plans.catalog import LINE_KEYS, QUERIES
 from stratagauge.sources import keyindex
 from stratagauge.sources.keyindex import KeyIndex
 
@@ -107,3 +108,19 @@ def test_empty_loads_and_taken_names(spark, tmp_path, rows):
         keyindex.load(spark, index, one.withColumn("_slot", F.lit(1)), "two")
     with pytest.raises(ValueError, match="plain value"):
         keyindex.key_text(one.withColumn("k", F.array("k")), ["k"])
+
+
+def test_buckets_follow_the_rows(spark, tmp_path, rows, monkeypatch):
+    i = F.col("id")
+    lines = spark.range(900).select(
+        (i % 700).alias("l_orderkey"), F.lit(1).alias("l_linenumber"), i.alias("l_partkey"), i.alias("l_suppkey"),
+        F.to_timestamp(F.concat(1992 + i % 8, F.lit("-01-01"))).alias("l_shipdate"),
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    seen, copies = [], keyindex.with_copies
+    monkeypatch.setattr(keyindex, "with_copies", lambda spark, index: seen.append(index.buckets) or copies(spark, index))
+    monkeypatch.setattr(keyindex, "ROWS", 50)
+    assert keyindex.buckets_for(0) == keyindex.buckets_for(400) == 8
+    found = rows(QUERIES["indexed_duplicates"](spark, str(tmp_path)))
+    assert seen == [18]
+    assert found == rows(quality.duplicate_count(lines, LINE_KEYS).drop("l_shipdate"))
