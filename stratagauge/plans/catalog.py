@@ -792,7 +792,8 @@ def drop_alert(data):
 @_query
 def gold_from_layers(data):
     """All stages of a run over the test tables: bronze, stream, silver, quality, gold."""
-    layers, sources = _layers(data.spark, "layers"), data.source_tables()
+    layers = _layers(data.spark, "layers")
+    sources = data.stored_sums(scratch_dir(data.spark, "territory-sums")).source_tables()
     run.load_bronze(data.spark, sources.__getitem__, layers)
     landing.land_events(data.source_events(), layers.landing)
     run.drain_events(data.spark, layers)

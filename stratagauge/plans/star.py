@@ -111,6 +111,17 @@ class Star:
     def territory_sums(self) -> DataFrame:
         return self.sums(self.table("lineitem"))
 
+    def stored_sums(self, path: str) -> Star:
+        """For runs that write several tables made from `territory_sums`: the line items are scanned and summed once.
+
+        The sums are written to `path`, whose owner is the caller.
+        """
+        self.territory_sums.write.parquet(path)
+        star = Star(self.spark, self.sf_dir)
+        star._opened = self._opened
+        star.territory_sums = self.spark.read.schema(self.territory_sums.schema).parquet(path)
+        return star
+
     @cached_property
     def realized(self) -> DataFrame:
         """A result table: rate per territory, year, network and grade; labels equal the codes."""
