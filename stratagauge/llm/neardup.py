@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratagauge.llm.common import bitmap, flagged, fresh, link_buckets, may_hold, stage, table
-from stratagauge.llm.tokens import P, mixed, shingles, slices, word_hashes
+from stratagauge.llm.tokens import P, mixed, shingles, shingles_of_texts, slices, word_hashes
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 5
@@ -36,8 +36,21 @@ DF_CELLS = 1 << 18
 DRAWS = 1 << 16
 #: Texts whose keys a task remembers.
 REMEMBERED = 20_000
-#: Shingles of a long text that are sampled at a time.
-CHUNK = 4096
+#: Shingles of a long text that are sampled at a time; shingles compared with their bounds at a time, and texts whose samples are settled together.
+CHUNK, COLUMNS, TOGETHER = 4096, 512, 512
+#: Weights up to e^(KINDS / PER) have bounds of their own kind. Bounds are rounded down to STEP from LEAST on.
+KINDS, PER, LEAST, STEP = 16, 8, -16.0, 0.0625
+#: A text's least draws are looked for up to here; about one in e^MEAN lies above and is looked for among all.
+MEAN = 7.0
+
+
+def _sorted_texts(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Sorts the values of each text in place; where its different ones stand."""
+    for lo, hi in zip(begin.tolist(), begin[1:].tolist()):
+        values[lo:hi].sort()
+    new = np.append(True, values[1:] != values[:-1])[: len(values)]
+    new[begin[:-1][np.diff(begin) > 0]] = True
+    return np.flatnonzero(new)
 
 
 def _frequency_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,10 +58,9 @@ def _frequency_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     for batch in batches:
         n += batch.num_rows
         for part in slices(batch, "text"):
-            hashes, begin = word_hashes(part["text"])
-            for lo, hi in zip(begin, begin[1:]):
-                if hi > lo:
-                    cells[np.unique(shingles(hashes[lo:hi], SHINGLE) % np.uint64(DF_CELLS)).astype(np.int64)] += 1
+            cell, begin = shingles_of_texts(*word_hashes(part["text"]), SHINGLE)
+            cell = (cell % np.uint64(DF_CELLS)).astype(np.int64)
+            cells += np.bincount(cell[_sorted_texts(cell, begin)], minlength=DF_CELLS)
     at = np.flatnonzero(cells)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(cells[at], n))], ["cell", "n"])
 
@@ -63,10 +75,13 @@ def inverse_frequencies(documents: DataFrame) -> np.ndarray:
     return (1 + np.log(total / df) / np.log(total)).astype(np.float32)
 
 
-def weighted(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of one text, sorted, and their weights."""
-    found, times = np.unique(shingles(hashes, SHINGLE), return_counts=True)
-    return found, times.astype(np.float32) * idf[(found % np.uint64(DF_CELLS)).astype(np.int64)]
+def weighted(hashes: np.ndarray, begin: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of each text, sorted, their weights, and where each text begins among them."""
+    found, begin = shingles_of_texts(hashes, begin, SHINGLE)
+    at = _sorted_texts(found, begin)
+    times = np.diff(np.append(at, len(found)))
+    found = found[at]
+    return found, times.astype(np.float32) * idf[(found % np.uint64(DF_CELLS)).astype(np.int64)], np.searchsorted(at, begin)
 
 
 def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -76,10 +91,15 @@ def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return tuple(x.astype(np.float32) for x in (1 / r, r, np.log(c), beta))
 
 
-def samples(found: np.ndarray, weight: np.ndarray, draws: tuple, n: int = BANDS * ROWS) -> np.ndarray:
-    """n consistent samples (hashes of shingle and level): two texts agree in each with a probability of their weighted Jaccard similarity."""
+def _seeds(n: int) -> np.ndarray:
+    return mixed(np.arange(1, n + 1, dtype=np.uint64) * P) | np.uint64(1)
+
+
+def samples(found: np.ndarray, weight: np.ndarray, draws: tuple, n: int | np.ndarray = BANDS * ROWS) -> np.ndarray:
+    """n consistent samples (hashes of shingle and level), or those of the seeds n: two texts agree in each with a probability of their weighted Jaccard similarity."""
     inverse, r, c, beta = draws
-    seeds = mixed(np.arange(1, n + 1, dtype=np.uint64) * P) | np.uint64(1)
+    seeds = _seeds(n) if isinstance(n, int) else n
+    n = len(seeds)
     best, out, rows = np.full(n, np.inf, np.float32), np.zeros(n, np.uint64), np.arange(n)
     for lo in range(0, len(found), CHUNK):
         s, log_w = found[lo : lo + CHUNK], np.log(weight[lo : lo + CHUNK])
@@ -96,32 +116,89 @@ def samples(found: np.ndarray, weight: np.ndarray, draws: tuple, n: int = BANDS
     return out
 
 
+def _bound(values: np.ndarray) -> np.ndarray:
+    return np.clip((values - LEAST) / STEP, 0, 255).astype(np.uint8)
+
+
+def _bounds(draws: tuple) -> np.ndarray:
+    """Below what no shingle of a kind comes, for each draw; the last kind is for all larger weights and leaves out the weight."""
+    inverse, r, c, beta = draws
+    tight = [c - r * (np.floor(np.float32(k / PER) * inverse + beta) - beta + 1) for k in range(KINDS)]
+    return _bound(np.concatenate([*tight, c - r - np.float32(1e-3)]))
+
+
+def samples_of_texts(found: np.ndarray, weight: np.ndarray, begin: np.ndarray, draws: tuple, bounds: np.ndarray) -> np.ndarray:
+    """What `samples` gives for each text, one row for each; texts have shingles.
+
+    A sample is the shingle with the least draw. The least of n draws lies near -log(sum of weights), so nearly all shingles
+    are ruled out by the bound of their draw; the others, a few for each sample, are drawn in full.
+    """
+    inverse, r, c, beta = draws
+    seeds, log_w, n = _seeds(BANDS * ROWS), np.log(weight), len(begin) - 1
+    text = np.repeat(np.arange(n), np.diff(begin))
+    most = np.log(MEAN / np.add.reduceat(weight, begin[:-1], dtype=np.float64)).astype(np.float32)
+    kind = np.minimum(np.ceil(log_w * PER), KINDS).astype(np.int64)
+    upto = _bound(most[text] + np.where(kind < KINDS, 0, log_w))
+    kind *= DRAWS
+    chosen = []
+    for lo in range(0, len(found), COLUMNS):
+        at = found[lo : lo + COLUMNS] * seeds[:, None]
+        at >>= np.uint64(48)
+        at = at.view(np.int64)
+        at += kind[lo : lo + COLUMNS]
+        row, i = np.divmod(np.flatnonzero(bounds.take(at) <= upto[lo : lo + COLUMNS]), at.shape[1])
+        i += lo
+        chosen.append((text[i] * len(seeds) + row) * len(found) + i)
+    group, i = np.divmod(np.sort(np.concatenate(chosen)), len(found))
+    seed = seeds[group % len(seeds)]
+    at = ((found[i] * seed) >> np.uint64(48)).view(np.int64)
+    level = np.floor(log_w[i] * inverse[at] + beta[at])
+    a = c[at] - r[at] * (level - beta[at] + 1)
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1])[: len(group)])
+    least = np.minimum.reduceat(a, first) if len(first) else a
+    equal = np.flatnonzero(a == np.repeat(least, np.diff(np.append(first, len(a)))))
+    at = equal[np.searchsorted(equal, first)]
+    sure = least <= most[group[at] // len(seeds)]
+    at = at[sure]
+    out, open_ = np.zeros((n, len(seeds)), np.uint64), np.ones((n, len(seeds)), np.bool_)
+    out.ravel()[group[at]] = mixed(found[i[at]] + seed[at]) + level[at].astype(np.int64).astype(np.uint64) * P
+    open_.ravel()[group[at]] = False
+    for t in np.flatnonzero(open_.any(1)).tolist():
+        own = slice(begin[t], begin[t + 1])
+        out[t, open_[t]] = samples(found[own], weight[own], draws, seeds[open_[t]])
+    return out
+
+
 def band_keys(drawn: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each band."""
-    rows = drawn.reshape(BANDS, ROWS)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
+    """One 64-bit key for each band of each text."""
+    rows = drawn.reshape(-1, BANDS, ROWS)
+    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:2])
     for i in range(ROWS):
-        key = mixed(key * P + rows[:, i])
+        key = mixed(key * P + rows[:, :, i])
     return key.view(np.int64)
 
 
 def _signer(idf):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_, draws, signed = idf.value, _draws(), {}
+        bounds = _bounds(draws)
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, begin = word_hashes(part["text"])
-                bodies, keys = [], []
-                for lo, hi in zip(begin, begin[1:]):
-                    own = hashes[lo:hi]
-                    body = xxhash.xxh3_128_digest(own.tobytes()) if hi > lo else None
-                    if body is not None and body not in signed:  # copies are signed once a task
-                        if len(signed) >= REMEMBERED:
-                            signed.clear()
-                        signed[body] = band_keys(samples(*weighted(own, table_), draws))
-                    bodies.append(body)
-                    keys.append(signed.get(body))
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["th"], pa.array(bodies, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "th", "body", "bands"])
+                bodies = [xxhash.xxh3_128_digest(hashes[lo:hi]) if hi > lo else None for lo, hi in zip(begin.tolist(), begin[1:].tolist())]
+                at = {body: i for i, body in enumerate(bodies) if body is not None}
+                keys = {body: signed[body] for body in at if body in signed}
+                new = [body for body in at if body not in keys]  # copies are signed once a task
+                if len(signed) + len(new) > REMEMBERED:
+                    signed.clear()
+                for lo in range(0, len(new), TOGETHER):
+                    some = [at[body] for body in new[lo : lo + TOGETHER]]
+                    own = np.concatenate([hashes[begin[i] : begin[i + 1]] for i in some])
+                    found, weight, ends = weighted(own, np.concatenate([[0], np.cumsum(np.diff(begin)[some])]), table_)
+                    signed.update(zip(new[lo : lo + TOGETHER], band_keys(samples_of_texts(found, weight, ends, draws, bounds))))
+                keys |= {body: signed[body] for body in new}
+                bands = pa.array([keys.get(body) for body in bodies], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["th"], pa.array(bodies, pa.binary()), bands], ["doc_id", "th", "body", "bands"])
 
     return sign
 

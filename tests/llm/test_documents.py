@@ -3,6 +3,7 @@
 import itertools
 import os
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ import pytest
 
 from stratagauge.llm import licences, linededup, mixing, neardup, pieces, quality, toxicity
 from stratagauge.llm.common import components, jaccard, jaccard_block
-from stratagauge.llm.tokens import word_hashes
+from stratagauge.llm.tokens import word_hashes, words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, id long, bucket long, component long, n long, c long, hi long, slot long"
 WORDS = [a + b for a in ("ka", "lo", "mi", "ne", "su", "ta") for b in ("ber", "dan", "fil", "gor", "hum", "jet", "rok", "vas")]
@@ -270,3 +271,24 @@ def test_held_out_accuracy(spark):
     held = [i for i in known if toxic[i].held_out]
     assert np.mean([toxic[i].predicted for i in held if labels[i].toxic]) > 0.8
     assert np.mean([toxic[i].predicted for i in held if not labels[i].toxic]) < 0.01
+
+
+def test_samples_of_many_texts_are_those_of_each(monkeypatch):
+    rng = np.random.default_rng(9)
+    draws = neardup._draws()
+    sizes = [1, 2, 700, 30, 1, 1500]
+    found = np.concatenate([np.sort(rng.integers(0, 2**63, n).astype(np.uint64)) for n in sizes])
+    weight = ((1 + rng.random(len(found))) * rng.geometric(0.5, len(found)) ** 4).astype(np.float32)
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    each = [neardup.samples(found[lo:hi], weight[lo:hi], draws) for lo, hi in zip(begin, begin[1:])]
+    done, real = [], neardup.samples
+    monkeypatch.setattr(neardup, "samples", lambda found, weight, draws, seeds: done.append(len(found) * len(seeds)) or real(found, weight, draws, seeds))
+    assert (neardup.samples_of_texts(found, weight, begin, draws, neardup._bounds(draws)) == each).all()
+    assert sum(done) < len(found) * 4  # of 80 samples of each shingle, few are drawn in full
+
+
+def test_words_are_those_between_gaps():
+    texts = [None, "", "a", "b-C 漢字é", "É\x00ß", "x²٣ǅ😀y", " .", "z"]
+    lists = [[w for w in re.split(r"[\W_]+", (t or "").lower()) if w] for t in texts]
+    known, codes, begin = words(pa.array(["before", *texts])[1:])
+    assert [known.take(pa.array(codes[lo:hi])).to_pylist() for lo, hi in zip(begin, begin[1:])] == lists
