@@ -6,7 +6,7 @@ with the piece table, grouped by unit to a lattice, and folded by a higher-order
 for unigram models (Viterbi), and for BPE models the merges in the order of their scores, since the best path
 over BPE scores is not what such a model encodes. The result is broadcast (its size is bounded by DICTIONARY)
 and looked up for all texts in place, so that texts are never shuffled; the remaining rare units get the same
-rule word by word.
+rule in place, the merges of BPE models for all units of a slice together.
 
 Defined results: null and empty texts have no pieces; characters without a piece become byte pieces (or the unknown
 piece, if the model has none); U+2581 in a text is read as a space, as the model does; very long
@@ -17,7 +17,6 @@ stay; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,10 +34,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DICTIONARY, LONGEST = 1 << 18, 48
 #: Text bytes that are encoded at a time; a longer text is still taken whole.
 SLICE = 3_000_000
-#: Rare units whose pieces a task remembers.
-REMEMBERED = 100_000
-#: CUT marks where a text is cut; texts that hold it are cut by a slower pattern.
-SPACE, CUT = "▁", "\ufdd0"
+SPACE = "▁"
 # Kinds of pieces and of models in the model file.
 NORMAL, USER, BYTE, UNIGRAM = 1, 4, 6, 1
 
@@ -79,27 +75,27 @@ def load(path: str = MODEL) -> Pieces:
     return Pieces(scores, bytes_ if min(bytes_) >= 0 else [], unknown, decoded, model.trainer_spec.model_type == UNIGRAM, model.normalizer_spec.add_dummy_prefix)
 
 
-_UNIT = re.compile(rf"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
-
-
 def units(texts: pa.Array, prefix: bool) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Distinct units of the texts, the number of each unit in sequence, and where each text begins in it."""
+    """Distinct units of the texts, the number of each unit in sequence, and where each text begins in it.
+
+    Units lie in the texts one after the other, each from a line feed, from what follows one, or from the first of some spaces.
+    """
     large = lambda x: pa.scalar(x, pa.large_string())
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    texts = pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), SPACE, " ")
     if prefix:
-        texts = pc.if_else(pc.equal(texts, large("")), large(""), pc.binary_join_element_wise(large(SPACE), texts, large("")))
-    texts = pc.replace_substring(texts, " ", SPACE)
-    if pc.any(pc.match_substring(texts, CUT)).as_py():
-        lists = pa.array([_UNIT.findall(t) for t in texts.to_pylist()], pa.large_list(pa.large_string()))
-    else:
-        texts = pc.replace_substring_regex(texts, rf"(\n|{SPACE}+)", rf"{CUT}\1")
-        lists = pc.split_pattern(pc.replace_substring(texts, "\n", f"\n{CUT}"), CUT)
-    flat, at = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+        texts = pc.if_else(pc.equal(texts, large("")), large(""), pc.binary_join_element_wise(large(" "), texts, large("")))
+    at = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    line, space = raw == ord("\n"), raw == ord(" ")
+    begins = line | space
+    begins[1:] &= ~(space[1:] & space[:-1])
+    begins[1:] |= line[:-1]
+    begins[at[:-1][at[:-1] < at[1:]]] = True
+    begins = np.flatnonzero(begins)
+    flat = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(raw))), pa.py_buffer(raw))
     coded = flat.dictionary_encode()
-    codes, begin = coded.indices.to_numpy(), at - at[0]
-    blank = pc.index(coded.dictionary, pa.scalar("", pa.large_string())).as_py()
-    keep = codes != blank
-    return coded.dictionary, codes[keep], np.concatenate([[0], np.cumsum(keep, dtype=np.int64)])[begin]
+    return pc.replace_substring(coded.dictionary, " ", SPACE), coded.indices.to_numpy(zero_copy_only=False), np.searchsorted(begins, at)
 
 
 def _count_units(prefix: bool):
@@ -235,37 +231,140 @@ def encode_rare(unit: str, model: Pieces) -> list[int]:
     return out
 
 
-def decode(ids: pa.ListArray, model: Pieces) -> list[str]:
-    """Texts of lists of ids."""
+@dataclass
+class Merges:
+    """The merges of a BPE model in numbers: its symbols are all pieces and all characters in them."""
+
+    symbol: np.ndarray  # of each code point; the last symbol is that of all other characters
+    ids: np.ndarray  # id of each symbol's piece, -1 for none
+    pairs: np.ndarray  # sorted: left symbol * number of symbols + right symbol
+    union: np.ndarray  # symbol of a pair's union
+    rank: np.ndarray  # the smallest merges first; the last is that of no pair
+
+
+def merges(model: Pieces) -> Merges:
+    names = [*model.scores, *sorted({c for p in model.scores for c in p} - set(model.scores))]
+    number = {name: i for i, name in enumerate(names)}
+    n = len(names) + 1
+    symbol = np.full(0x110000, n - 1, np.int32)
+    for name, i in number.items():
+        if len(name) == 1:
+            symbol[ord(name)] = i
+    rank = {score: i for i, score in enumerate(sorted({score for _, score in model.scores.values()}, reverse=True))}
+    found = sorted((number[p[:i]] * n + number[p[i:]], number[p], rank[score]) for p, (_, score) in model.scores.items() for i in range(1, len(p)) if p[:i] in number and p[i:] in number)
+    pairs, union, order = np.array(found, np.int64).reshape(-1, 3).T.copy()
+    ids = [model.scores[name][0] if name in model.scores else -1 for name in names]
+    return Merges(symbol, np.array([*ids, -1], np.int32), pairs, union, np.append(order, len(rank)))
+
+
+def _pairs(m: Merges, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pair two symbols are; the number of pairs, if none."""
+    key = left * len(m.ids) + right
+    at = np.searchsorted(m.pairs, key)
+    hit = np.append(m.pairs, -1)[at] == key
+    return np.where(hit, at, len(m.pairs))
+
+
+def merged(lines: pa.Array, m: Merges) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of units that have characters, merged as `encode_rare` does: of some units the symbols, one unit after the other; the units; how many symbols each has.
+
+    In each round every unit merges its best pair, the leftmost of equal ones; units without a pair are done.
+    """
+    points = np.frombuffer("".join(lines.to_pylist()).encode("utf-32-le"), np.uint32)
+    size = pc.utf8_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
+    sym, unit, none = m.symbol[points].astype(np.int64), np.arange(len(size)), len(m.pairs)
+    last = np.cumsum(size) - 1
+    pair = np.append(_pairs(m, sym[:-1], sym[1:]), none)
+    pair[last] = none
+    done = []
+    while len(unit):
+        begin, n = np.cumsum(size) - size, len(sym)
+        best = np.minimum.reduceat(m.rank[pair] * n + np.arange(n), begin)
+        more = best < m.rank[-1] * n
+        if not more.all():
+            stays = np.repeat(more, size)
+            done.append((sym[~stays], unit[~more], size[~more]))
+            shift = (np.cumsum(~stays) - ~stays)[best[more] % n]
+            at = best[more] % n - shift
+            sym, pair, unit, size = sym[stays], pair[stays], unit[more], size[more]
+            begin = np.cumsum(size) - size
+        else:
+            at = best % n
+        # The right half goes, so what follows an earlier unit's merge moves up by one.
+        sym[at] = m.union[pair[at]]
+        keep = np.ones(len(sym), np.bool_)
+        keep[at + 1] = False
+        first, end = at == begin, at + 2 == begin + size
+        sym, pair, size = sym[keep], pair[keep], size - 1
+        at = at - np.arange(len(at))
+        pair[at[end]] = none
+        pair[at[~end]] = _pairs(m, sym[at[~end]], sym[at[~end] + 1])
+        pair[at[~first] - 1] = _pairs(m, sym[at[~first] - 1], sym[at[~first]])
+    return tuple(np.concatenate(x) if done else np.zeros(0, np.int64) for x in (zip(*done) if done else ((), (), ())))
+
+
+def encode_many(names: pa.Array, model: Pieces, m: Merges | None) -> pa.ListArray:
+    """What `encode_rare` gives for each unit."""
+    short = pc.less_equal(pc.utf8_length(names), LONGEST if m else 0).to_numpy(zero_copy_only=False)
+    some = np.flatnonzero(short)
+    symbols, unit, size = merged(names.take(pa.array(some)), m) if len(some) else np.zeros((3, 0), np.int64)
+    ids = m.ids[symbols] if len(some) else np.zeros(0, np.int32)
+    at = np.concatenate([[0], np.cumsum(size)])
+    # Units with a character that has no piece, and long ones, are left to the heap.
+    whole = np.add.reduceat(ids < 0, at[:-1]) == 0 if len(size) else np.zeros(0, np.bool_)
+    rest = np.sort(np.concatenate([some[unit[~whole]], np.flatnonzero(~short)])).astype(np.int64)
+    own = pa.array([encode_rare(u, model) for u in names.take(pa.array(rest)).to_pylist()], pa.list_(pa.int32()))
+    all_ = pa.concat_arrays([pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids, pa.int32())), own])
+    where = np.empty(len(names), np.int64)
+    where[some[unit]] = np.arange(len(unit))
+    where[rest] = len(unit) + np.arange(len(rest))
+    return all_.take(pa.array(where))
+
+
+def _decoded(ids: pa.ListArray, model: Pieces) -> tuple[pa.Array, np.ndarray]:
+    """What each id of the lists decodes to, and in what byte each list begins."""
     parts = pa.array(model.decoded, pa.large_binary()).take(ids.flatten())
     sizes = np.concatenate([[0], np.cumsum(pc.binary_length(parts).to_numpy(zero_copy_only=False), dtype=np.int64)])
-    at = sizes[ids.offsets.to_numpy() - ids.offsets.to_numpy()[0]]
+    return parts, sizes[ids.offsets.to_numpy() - ids.offsets.to_numpy()[0]]
+
+
+def decode(ids: pa.ListArray, model: Pieces) -> list[str]:
+    """Texts of lists of ids."""
+    parts, at = _decoded(ids, model)
     joined = parts.buffers()[2] or b""  # taken values lie one after the other
     texts = [str(joined[lo:hi], "utf-8", "replace") for lo, hi in zip(at.tolist(), at[1:].tolist())]
     return [t[1:] if model.prefix and t[:1] == " " else t for t in texts]
 
 
+def _restored(found: pa.Array, ids: pa.ListArray, model: Pieces) -> np.ndarray:
+    """Whether the ids of each unit decode to it."""
+    parts, at = _decoded(ids, model)
+    joined = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), parts.buffers()[2] or pa.py_buffer(b"")])
+    return pc.equal(joined, pc.replace_substring(found, SPACE, " ").cast(pa.large_binary())).to_numpy(zero_copy_only=False)
+
+
 def _encoder(sent, columns: list[str]):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known_units, known_ids = sent.value
-        rare_ids: dict[str, list[int]] = {}
+        model, known_units, known_ids, rules = sent.value
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 found, codes, begin = units(part["text"], model.prefix)
                 found = found.cast(pa.string())
                 at = pc.index_in(found, value_set=known_units)
                 rare = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
-                if len(rare_ids) > REMEMBERED:
-                    rare_ids.clear()
-                names = found.take(pa.array(rare)).to_pylist()
-                own = pa.array([rare_ids.get(u) or rare_ids.setdefault(u, encode_rare(u, model)) for u in names], pa.list_(pa.int32()))
+                own = encode_many(found.take(pa.array(rare)), model, rules)
                 where = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 where[rare] = len(known_ids) + np.arange(len(rare))
-                taken = pa.concat_arrays([known_ids, own]).take(pa.array(where[codes]))
+                each = pa.concat_arrays([known_ids, own]).take(pa.array(where))
+                taken = each.take(pa.array(codes))
                 sizes = np.concatenate([[0], np.cumsum(pc.list_value_length(taken).to_numpy(zero_copy_only=False), dtype=np.int64)])
                 ids = pa.ListArray.from_arrays(pa.array(sizes[begin].astype(np.int32)), taken.flatten())
-                same = pa.array([a == (b or "").replace(SPACE, " ") for a, b in zip(decode(ids, model), part["text"].to_pylist())], pa.bool_())
-                yield pa.RecordBatch.from_arrays([*(part[c] for c in columns), ids, same], [*columns, "ids", "round_trip"])
+                # A text whose units are all restored is; others are decoded whole.
+                lost = np.concatenate([[0], np.cumsum(~_restored(found, each, model)[codes])])[begin]
+                same = np.diff(lost) == 0
+                doubt = pa.array(np.flatnonzero(~same))
+                same[~same] = [a == (b or "").replace(SPACE, " ") for a, b in zip(decode(ids.take(doubt), model), part["text"].take(doubt).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in columns), ids, pa.array(same)], [*columns, "ids", "round_trip"])
 
     return encode
 
@@ -288,7 +387,7 @@ def encode(spark: SparkSession, documents: DataFrame, model: Pieces, most: int =
     ids = known["ids"].combine_chunks().cast(pa.list_(pa.int32()))
     units_ = known["unit"].combine_chunks()
     units_, ids = (units_, ids) if len(units_) else (pa.array([], pa.string()), pa.array([], pa.list_(pa.int32())))
-    sent = spark.sparkContext.broadcast((model, units_, ids))
+    sent = spark.sparkContext.broadcast((model, units_, ids, None if model.unigram else merges(model)))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
     return documents.mapInArrow(_encoder(sent, documents.columns), f"{kinds}, ids array<int>, round_trip boolean")
 

@@ -292,3 +292,12 @@ def test_words_are_those_between_gaps():
     lists = [[w for w in re.split(r"[\W_]+", (t or "").lower()) if w] for t in texts]
     known, codes, begin = words(pa.array(["before", *texts])[1:])
     assert [known.take(pa.array(codes[lo:hi])).to_pylist() for lo, hi in zip(begin, begin[1:])] == lists
+
+
+def test_rare_units_are_merged_together():
+    model = pieces.load()
+    texts = [prose(3, 400), "the  thing\n\n of\x00 Größe 漢字😀 ▁▁x " + "the" * 40, *("".join(random.Random(i).choices("▁ theinrs\né漢", k=30)) for i in range(300))]
+    found = pieces.units(pa.array(texts), True)[0].cast(pa.string())
+    rules = pieces.merges(model)
+    assert pieces.encode_many(found, model, rules).to_pylist() == [pieces.encode_rare(u, model) for u in found.to_pylist()]
+    assert pieces.encode_many(found.slice(0, 0), model, rules).to_pylist() == []
