@@ -32,6 +32,8 @@ BANDS, ROWS = 12, 4
 SLICE = 1_000_000
 #: Characters whose shingles are held in cache at a time.
 CACHED = 1 << 17
+#: Keys that a task packs at a time, and bytes of text for each cell that the packed keys are dealt to.
+HELD, CELL = 1 << 19, 1 << 22
 
 KEY = "hi long, lo long"
 
@@ -86,43 +88,75 @@ def band_keys(drawn: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each line once a slice, with its first place and its count; lines of MIN_CHARS and more also with their band keys."""
-    for batch in batches:
-        for part in slices(batch, "text", SLICE):
-            flat, row, number = _lines(part)
-            if not len(flat):
-                continue
-            coded = flat.dictionary_encode()
-            codes, lines = coded.indices.to_numpy(), coded.dictionary
-            doc, th = _documents(part, row)
-            order = np.lexsort((number, th, doc, codes))
-            first = order[np.concatenate([[True], np.diff(codes[order]) > 0])]
-            keys = _keys(lines.to_pylist())
-            long = pc.greater_equal(pc.utf8_length(lines), MIN_CHARS)
-            bands = band_keys(signatures(lines.filter(long).to_pylist()))
-            at = np.concatenate([[0], np.cumsum(long.to_numpy(zero_copy_only=False) * BANDS)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, (keys[:, 0], keys[:, 1], doc[first], th[first], number[first], np.bincount(codes))), pa.ListArray.from_arrays(pa.array(at), pa.array(bands.ravel()))],
-                ["hi", "lo", "doc", "th", "line", "n", "bands"],
-            )
-
-
-def _met(bits):
-    """Memberships of lines in buckets that may hold more than one line."""
-
-    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bands, sizes = batch["bands"].flatten(), pc.list_value_length(batch["bands"]).to_numpy(zero_copy_only=False)
-            asked = pa.array(may_hold(bits.value, bands.to_numpy()))
-            ids = pa.array(np.repeat(batch["id"].to_numpy(), sizes))
-            yield pa.RecordBatch.from_arrays([bands.filter(asked), ids.filter(asked)], ["bucket", "id"])
+def _dealt(keys: np.ndarray, ids: np.ndarray, exact: bool, cells: int) -> pa.RecordBatch:
+    """Keys and their ids as one packed row for each cell that they fall into."""
+    cell = ((keys.view(np.uint64) >> np.uint64(24)) % np.uint64(cells)).astype(np.min_scalar_type(cells))
+    order = np.argsort(cell, kind="stable")
+    cell = cell[order]
+    at = np.concatenate([[0], np.flatnonzero(np.diff(cell)) + 1]) if len(cell) else np.zeros(0, np.int64)
+    offsets = pa.py_buffer((np.append(at, len(cell)) * 8).astype(np.int32))
+    packed = [pa.Array.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(x[order])]) for x in (keys, ids)]
+    return pa.RecordBatch.from_arrays([pa.array(cell[at].astype(np.int64)), pa.array(np.full(len(at), exact)), *packed], ["cell", "exact", "keys", "ids"])
+
 
-    return met
+def _sign(cells: int):
+    """Band keys and `hi` of the lines of MIN_CHARS characters and more, and `hi` and `lo` of all lines (exact).
 
+    Each line comes once a slice, but twice in exact if it stands there more than once.
+    """
 
-def _places(bits, with_text: bool):
-    """Lines whose hash may be wanted: their places, or their normalized texts once for each batch."""
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            for part in slices(batch, "text", SLICE):
+                flat, _, _ = _lines(part)
+                if not len(flat):
+                    continue
+                coded = flat.dictionary_encode()
+                lines, counts = coded.dictionary, np.bincount(coded.indices.to_numpy())
+                keys = _keys(lines.to_pylist())
+                long = pc.greater_equal(pc.utf8_length(lines), MIN_CHARS)
+                bands = band_keys(signatures(lines.filter(long).to_pylist()))
+                twice = np.repeat(keys, np.minimum(counts, 2), axis=0)
+                held.append((bands.ravel(), np.repeat(keys[long.to_numpy(zero_copy_only=False), 0], BANDS), twice[:, 0], twice[:, 1]))
+                n += bands.size + len(twice)
+                if n >= HELD:
+                    yield from flush(held)
+                    held, n = [], 0
+        if held:
+            yield from flush(held)
+
+    def flush(held: list) -> Iterator[pa.RecordBatch]:
+        bands, owners, hi, lo = map(np.concatenate, zip(*held))
+        yield _dealt(bands, owners, False, cells)
+        yield _dealt(hi, lo, True, cells)
+
+    return sign
+
+
+def _shared(cell: tuple, group: pa.Table) -> pa.Table:
+    """Of one cell: the ids under keys that hold several; if exact, the pairs of key and id that came more than once."""
+    exact = cell[1].as_py()
+    keys, ids = (np.frombuffer(b"".join(group[x].to_pylist()), np.int64) for x in ("keys", "ids"))
+    order = np.argsort(keys)
+    same = np.diff(keys[order]) == 0
+    met = order[np.append(same, False) | np.append(False, same)]
+    met = met[np.lexsort((ids[met], keys[met]))]
+    keys, ids = keys[met], ids[met]
+    again = np.append(False, (keys[1:] == keys[:-1]) & (ids[1:] == ids[:-1]))[: len(keys)]
+    if exact:
+        keep = ~again & np.append(again, False)[1:]
+        keys, ids = keys[keep], ids[keep]
+    else:
+        keys, ids = keys[~again], ids[~again]
+        same = keys[1:] == keys[:-1]
+        keep = (np.append(same, False) | np.append(False, same))[: len(keys)]
+        keys, ids = keys[keep], ids[keep]
+    return pa.table({"exact": np.full(len(keys), exact), "key": keys, "id": ids})
+
+
+def _places(met, repeated):
+    """Places of lines that may be in a bucket with others or repeated; of the former also the text, once a slice."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,13 +167,17 @@ def _places(bits, with_text: bool):
                 coded = flat.dictionary_encode()
                 codes, lines = coded.indices.to_numpy(), coded.dictionary
                 keys = _keys(lines.to_pylist())
-                asked = may_hold(bits.value, keys[:, 0])
-                if with_text:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[asked, 0]), pa.array(keys[asked, 1]), lines.filter(pa.array(asked)).cast(pa.string())], ["hi", "lo", "text"])
-                else:
-                    at = np.flatnonzero(asked[codes])
-                    doc, th = _documents(part, row[at])
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, (keys[codes[at], 0], keys[codes[at], 1], doc, th, number[at]))], ["hi", "lo", "doc", "th", "line"])
+                short = pc.less(pc.utf8_length(lines), MIN_CHARS).to_numpy(zero_copy_only=False)
+                told = may_hold(met.value, keys[:, 0]) & ~short
+                at = np.flatnonzero((told | may_hold(repeated.value, keys[:, 0]))[codes])
+                codes = codes[at]
+                doc, th = _documents(part, row[at])
+                first = np.zeros(len(codes), np.bool_)
+                first[np.unique(codes, return_index=True)[1]] = True
+                text = lines.cast(pa.string()).take(pa.array(codes, mask=~(first & told[codes])))
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, (keys[codes, 0], keys[codes, 1], doc, th, number[at], short[codes])), text], ["hi", "lo", "doc", "th", "line", "short", "text"]
+                )
 
     return places
 
@@ -180,31 +218,29 @@ def repeated_lines(spark: SparkSession, documents: DataFrame, threshold: float =
     Lines are grouped by a 128-bit hash; those under MIN_CHARS characters have no band keys, so only their exact repeats are found.
     """
     texts = _texts(documents)
-    seen = texts.mapInArrow(_sign, f"{KEY}, doc long, th long, line long, n long, bands array<long>")
-    distinct = seen.groupBy("hi", "lo").agg(F.min(F.struct("doc", "th", "line")).alias("first"), F.sum("n").alias("n"), F.any_value("bands").alias("bands"))
+    size = documents.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    signed = texts.mapInArrow(_sign(size // CELL + 1), "cell long, exact boolean, keys binary, ids binary")
+    shared = stage(spark, signed.groupBy("cell", "exact").applyInArrow(_shared, "exact boolean, key long, id long"), "shared")
+    members = shared.where("not exact").select(F.col("key").alias("bucket"), F.col("id").alias("hi"))
+    repeated = shared.where("exact").select(F.col("key").alias("hi"), F.col("id").alias("lo"))
+    wanted = stage(spark, members.select("hi").distinct(), "wanted")
+    met, again = (spark.sparkContext.broadcast(bitmap(x, "hi")) for x in (wanted, repeated))
+    places = stage(spark, texts.mapInArrow(_places(met, again), f"{KEY}, doc long, th long, line long, short boolean, text string"), "places")
+    near = places.where("text is not null").join(wanted, "hi", "left_semi").groupBy("hi", "lo").agg(F.any_value("text").alias("text"))
     # Written once, so the ids stay what they are.
-    distinct = stage(spark, distinct.withColumn("id", F.monotonically_increasing_id()), "lines")
-    spread = distinct.select(F.explode("bands").alias("bucket"), "id")
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(spark, shared.select("bucket"), "shared")
-    bits = spark.sparkContext.broadcast(bitmap(shared, "bucket"))
-    members = distinct.where("size(bands) > 0").select("id", "bands").mapInArrow(_met(bits), "bucket long, id long")
-    members = stage(spark, members.join(shared, "bucket"), "members")
-    wanted = stage(spark, distinct.join(members.select("id").distinct(), "id", "left_semi").select("hi", "lo", "id"), "wanted")
-    bits = spark.sparkContext.broadcast(bitmap(wanted, "hi"))
-    near = texts.mapInArrow(_places(bits, True), f"{KEY}, text string").join(wanted, ["hi", "lo"])
-    near = stage(spark, near.groupBy("id").agg(F.any_value("text").alias("text")), "line-texts")
-
-    labels = link_buckets(spark, members, near, shingle_sets, threshold)
-    grouped = distinct.select("hi", "lo", "id", "first", "n", (F.size("bands") == 0).alias("short")).join(labels, "id", "left")
-    keep = grouped.where("component is not null").groupBy("component").agg(F.min("first").alias("keep"))
-    grouped = grouped.where("component is not null").join(keep, "component").select("hi", "lo", "short", "keep").unionByName(
-        grouped.where("component is null and n > 1").select("hi", "lo", "short", F.col("first").alias("keep"))
-    )
-    grouped = stage(spark, grouped, "repeated")
-    bits = spark.sparkContext.broadcast(bitmap(grouped, "hi"))
-    places = texts.mapInArrow(_places(bits, False), f"{KEY}, doc long, th long, line long")
-    out = places.join(grouped, ["hi", "lo"]).where("not (doc = keep.doc and th = keep.th and line = keep.line)")
+    near = stage(spark, near.withColumn("id", F.monotonically_increasing_id()), "line-texts")
+    # Two lines of one `hi` are both members then: one more comparison, no other result.
+    members = stage(spark, members.join(near.select("hi", "id"), "hi").select("bucket", "id"), "members")
+
+    labels = link_buckets(spark, members, near.select("id", "text"), shingle_sets, threshold)
+    linked = near.select("hi", "lo", "id").join(labels, "id").select("hi", "lo", F.lit(True).alias("linked"), F.col("component").alias("a"), F.lit(0).cast("long").alias("b"))
+    alone = repeated.join(linked, ["hi", "lo"], "left_anti").select("hi", "lo", F.lit(False).alias("linked"), F.col("hi").alias("a"), F.col("lo").alias("b"))
+    group = ["linked", "a", "b"]
+    named = places.drop("text").join(linked.unionByName(alone), ["hi", "lo"]).select(*group, "doc", "th", "line", "short")
+    named = stage(spark, named, "repeated")
+    # Written apart from the join, so that adaptive execution can split the places of a very large group there.
+    keep = stage(spark, named.groupBy(*group).agg(F.min(F.struct("doc", "th", "line")).alias("keep")), "keep")
+    out = named.join(keep, group).where("not (doc = keep.doc and th = keep.th and line = keep.line)")
     return out.select("doc", "th", "line", "short", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
 
 

@@ -3,6 +3,8 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -91,6 +93,48 @@ def test_texts_of_many_lines_are_cut_in_one_pass(spark):
     assert sum(left[1]) == sum(left[2]) == 30_300 and left[2][1] <= 1 and left[1][0] >= 29_999
 
 
+def signed(texts, cells):
+    batch = pa.record_batch({"doc_id": list(range(len(texts))), "text": texts, "th": [0] * len(texts)})
+    return [b for b in linededup._sign(cells)(iter([batch])) if b.num_rows]
+
+
+def test_keys_of_lines_leave_a_task_packed():
+    """A row for each cell instead of one for each line and 12 for its bands; lines that meet are found in their cells."""
+    base = [prose(400 + i, 16) for i in range(150)]
+    lines = base + [x[:-1] + "q" for x in base[:40]] + base[100:120] + ["ok", "ok", "no"]
+    cells = 3
+    packed = signed(["\n".join(lines[i : i + 9]) for i in range(0, len(lines), 9)], cells)
+    assert sum(b.num_rows for b in packed) <= 2 * cells
+    distinct = sorted(set(lines))
+    keys = dict(zip(distinct, linededup._keys(distinct).tolist()))
+    long = [x for x in distinct if len(x) >= linededup.MIN_CHARS]
+    under = {}
+    for line, bands in zip(long, linededup.band_keys(linededup.signatures(long)).tolist()):
+        for bucket in bands:
+            under.setdefault(bucket, set()).add(keys[line][0])
+    expected = {(False, bucket, hi) for bucket, own in under.items() if len(own) > 1 for hi in own}
+    expected |= {(True, *keys[x]) for x in distinct if lines.count(x) > 1}
+    rows = pa.Table.from_batches(packed)
+    found = []
+    for cell in range(cells):
+        for exact in (False, True):
+            group = rows.filter(pc.and_(pc.equal(rows["cell"], cell), pc.equal(rows["exact"], exact)))
+            out = linededup._shared((pa.scalar(cell), pa.scalar(exact)), group)
+            found += zip(*(out[x].to_pylist() for x in ("exact", "key", "id")))
+    assert len(found) == len(set(found)) and set(found) == expected
+    assert sum(not x for x, *_ in expected) > 100 and sum(x for x, *_ in expected) == 21
+
+
+def test_keys_that_a_task_holds_are_bounded(monkeypatch):
+    monkeypatch.setattr(linededup, "HELD", 1_000)
+    monkeypatch.setattr(linededup, "SLICE", 2_000)
+    texts = ["\n".join(prose(10 * i + k, 12) for k in range(10)) for i in range(120)]
+    packed = signed(texts, 2)
+    held = [sum(len(x.as_py()) // 8 for x in b["keys"]) for b in packed]
+    per_slice = 13 * 10 * (2_000 // min(map(len, texts)) + 2)
+    assert sum(held) == 13 * 10 * 120 and max(held) <= 1_000 + per_slice
+
+
 def test_texts_under_one_id_are_different_documents(spark):
     a, b, c, d = (prose(seed, 120) for seed in range(20, 24))
     near = " ".join(a.split()[:-2] + ["other", "words"])
