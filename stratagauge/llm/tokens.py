@@ -20,13 +20,17 @@ _KNOWN = np.full(0x110000, 2, np.uint8)
 
 
 def slices(batch: pa.RecordBatch, column: str, size: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about `size` bytes of text each."""
+    """Parts of a batch with about `size` bytes of text each.
+
+    After the last one, memory that Arrow holds for later goes back: a worker that waits would keep it beside the heap.
+    """
     sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes, dtype=np.int64) // size
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
     for lo, hi in zip(edges, edges[1:]):
         if hi > lo:
             yield batch.slice(lo, hi - lo)
+    pa.default_memory_pool().release_unused()
 
 
 def _in_words(points: np.ndarray) -> np.ndarray:

@@ -10,7 +10,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from stratagauge.llm import htmltext, linededup, pieces, quality
+from stratagauge.llm import htmltext, linededup, pieces, quality, tokens
 from tests.llm.test_documents import prose
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, n_removed long, n_lines long, doc string, th int, removed int, stays boolean, lines string"
@@ -135,6 +135,19 @@ def test_keys_that_a_task_holds_are_bounded(monkeypatch):
     assert sum(held) == 13 * 10 * 120 and max(held) <= 1_000 + per_slice
 
 
+def test_unused_memory_goes_back_after_each_batch(monkeypatch):
+    released = []
+
+    class Pool:
+        def release_unused(self):
+            released.append(True)
+
+    monkeypatch.setattr(tokens.pa, "default_memory_pool", Pool)
+    batch = pa.record_batch({"text": ["a" * 60, None, "b" * 60, ""]})
+    parts = list(tokens.slices(batch, "text", 100))
+    assert sum(p.num_rows for p in parts) == 4 and len(parts) == 2 and len(released) == 1
+
+
 def test_texts_under_one_id_are_different_documents(spark):
     a, b, c, d = (prose(seed, 120) for seed in range(20, 24))
     near = " ".join(a.split()[:-2] + ["other", "words"])
