@@ -14,6 +14,8 @@ from stratagauge.session import scratch_dir
 
 #: A candidate bitmap has 16 bits for each candidate, but no more than these (16 MB).
 MOST_BITS = 1 << 27
+#: Edges that a task makes stars of at a time.
+PIECE = 1 << 18
 
 
 def stage(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
@@ -85,16 +87,57 @@ def flagged(bits, yes: bool):
     return keep
 
 
-def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """Connected components by alternating large-star and small-star steps.
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links from each id to the smallest one that the links a-b connect it with; none from that one."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = np.split(at, 2)
+    top = np.arange(len(ids))
+    while len(x):
+        one, two = top[x], top[y]
+        np.minimum.at(top, np.maximum(one, two), np.minimum(one, two))
+        while not np.array_equal(above := top[top], top):
+            top = above
+        apart = top[x] != top[y]
+        x, y = x[apart], y[apart]
+    below = np.flatnonzero(top != np.arange(len(ids)))
+    return ids[below], ids[top[below]]
+
+
+def _contract(piece: int):
+    """For mapInArrow: the edges of a task as stars, about `piece` edges at a time."""
+
+    def flush(held: list) -> pa.RecordBatch:
+        both = (np.concatenate([batch[c].to_numpy() for batch in held]) for c in "ab")
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in stars(*both)], ["a", "b"])
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= piece:
+                yield flush(held)
+                held, n = [], 0
+        if held:
+            yield flush(held)
+
+    return contract
+
+
+def components(spark: SparkSession, edges: DataFrame, piece: int = PIECE) -> DataFrame:
+    """Connected components: pieces of the edges made stars, then alternating large-star and small-star steps.
 
     edges: a, b (long). Returns id, component (the smallest id reachable) for each id on an edge.
-    Each step is a group-by with map-side combining and an equi-join that adaptive execution can split.
+    Each step is a group-by with map-side combining and an equi-join that adaptive execution can split. A graph of one
+    piece needs no step: each takes five shuffles, and the driver keeps the plans and the figures of all their tasks.
     """
-    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    now = stage(spark, now, "edges")
+    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+    now = stage(spark, now.mapInArrow(_contract(piece), "a long, b long"), "edges")
+    pieces = max(1, -(-now.count() // piece))
+    now = now.coalesce(pieces).mapInArrow(_contract(piece), "a long, b long")
+    now = stage(spark, now.distinct() if pieces > 1 else now, "edges")
     mark = None
-    while True:
+    while pieces > 1:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == mark or state[0] == 0:
             break
@@ -199,14 +242,12 @@ def _judge_blocks(features, threshold: float):
     return judge
 
 
-def _open_members(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """bucket, id, c (component so far); only buckets that lie in several components."""
-    if labels is None:
-        return members.withColumn("c", F.col("id"))
+def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """bucket, id, c (component so far), n (members of the bucket); only buckets that lie in several components."""
     named = members.join(labels.withColumnRenamed("component", "k"), "id", "left")
     named = named.select("bucket", "id", F.coalesce("k", "id").alias("c"))
-    open_ = named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-    return named.join(open_.select("bucket"), "bucket")
+    open_ = named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo < hi")
+    return named.join(open_.select("bucket", "n"), "bucket")
 
 
 def link_buckets(spark: SparkSession, members: DataFrame, texts: DataFrame, features: Callable[[], Callable], threshold: float) -> DataFrame:
@@ -228,18 +269,18 @@ def link_buckets(spark: SparkSession, members: DataFrame, texts: DataFrame, feat
 
     heads = members.groupBy("bucket").agg(F.min("id").alias("a"))
     pairs = members.join(heads, "bucket").where("a < id").select("a", F.col("id").alias("b")).distinct()
+    pairs = stage(spark, pairs, "pairs")
     links = stage(spark, verify(pairs), "links")
     labels = stage(spark, components(spark, links), "labels")
 
     open_ = stage(spark, _open_members(members, labels), "open")
-    sizes = open_.groupBy("bucket").agg(F.count("*").alias("n"))
-    small = open_.join(sizes.where(F.col("n") <= SMALL).select("bucket"), "bucket")
-    one = small.select("bucket", F.col("id").alias("a"), F.col("c").alias("ca"))
-    two = small.select("bucket", F.col("id").alias("b"), F.col("c").alias("cb"))
-    pairs = one.join(two, "bucket").where("ca <> cb and a < b").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    found = stage(spark, verify(pairs), "links")
-
-    large = stage(spark, open_.join(sizes.where(F.col("n") > SMALL), "bucket").join(texts, "id"), "large-buckets")
+    # At most SMALL members in a row.
+    small = open_.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.collect_list(F.struct("id", "c")).alias("all"))
+    met = small.select("all", F.explode("all").alias("one")).select("one", F.explode("all").alias("two"))
+    met = met.where("one.c <> two.c and one.id < two.id").select(F.col("one.id").alias("a"), F.col("two.id").alias("b")).distinct()
+    found = stage(spark, verify(met.join(pairs, ["a", "b"], "left_anti")), "links")
+
+    large = stage(spark, open_.where(F.col("n") > SMALL).join(texts, "id"), "large-buckets")
     # The largest component of a bucket needs no comparison with itself: left holds the others.
     per = large.groupBy("bucket", "c").agg(F.count("*").alias("m"))
     main = per.groupBy("bucket").agg(F.max(F.struct("m", "c")).alias("main"), F.sum("m").alias("all"))

@@ -33,6 +33,8 @@ from stratagauge.llm.tokens import slices
 
 #: Documents the scorer is fitted on at most, hashed features, least score to stay.
 SAMPLE, FEATURES, CUT = 8192, 1024, 0.5
+#: Texts of the sample that a round of the fit takes at a time.
+TOGETHER = 256
 #: Share at and above which a labeller says bad, and below which it says good; between them it has no vote.
 #: A labeller that knows one kind of bad text never says good (None).
 VOTES = {
@@ -210,16 +212,19 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tup
     return good, table_
 
 
-def fit(slots: list, values: list, target: np.ndarray, rounds: int = 500) -> np.ndarray:
-    """Logistic weights (the last one is the bias) for posterior labels."""
-    x = np.zeros((len(slots), FEATURES + 1), np.float32)
-    for row, s, v in zip(x, slots, values):
-        np.add.at(row, np.asarray(s, np.int64), np.asarray(v, np.float32))
-        row[-1] = 1
+def fit(at: np.ndarray, slots: np.ndarray, values: np.ndarray, target: np.ndarray, rounds: int = 500) -> np.ndarray:
+    """Logistic weights (the last one is the bias) for posterior labels; at: where each text's slots and values begin."""
+    x = np.zeros((len(target), FEATURES + 1), np.float32)
+    np.add.at(x, (np.repeat(np.arange(len(x)), np.diff(at)), slots), values)
+    x[:, -1] = 1
     w, speed = np.zeros(FEATURES + 1), np.zeros(FEATURES + 1)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = (p - target) @ x / max(1, len(x)) + 1e-5 * w
+        gradient = np.zeros(FEATURES + 1)
+        for lo in range(0, len(x), TOGETHER):
+            part = x[lo : lo + TOGETHER].astype(np.float64)
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            gradient += (p - target[lo : lo + TOGETHER]) @ part
+        gradient = gradient / max(1, len(x)) + 1e-5 * w
         speed = 0.9 * speed - 1.0 * gradient
         w = w + speed
     return w
@@ -233,9 +238,13 @@ def train(spark: SparkSession, documents: DataFrame) -> np.ndarray:
         return np.zeros(FEATURES + 1)
     good, _ = estimate(seen["votes"].to_numpy().astype(np.int64), seen["count"].to_numpy().astype(float))
     by_pattern = dict(zip(seen["votes"], good))
-    some = first_by_hash(told.where("n > 0"), "hash", SAMPLE, int(seen["count"].sum()), "votes", "n").select("votes", "slots", "values").toArrow()
+    # Slots and values come in the widths that the scorer is fitted with.
+    small = [F.col("slots").cast("array<int>"), F.col("values").cast("array<float>")]
+    some = first_by_hash(told.where("n > 0"), "hash", SAMPLE, int(seen["count"].sum()), "votes", "n").select("votes", *small).toArrow()
     target = np.array([by_pattern[v] for v in some["votes"].to_pylist()])
-    return fit(some["slots"].to_pylist(), some["values"].to_pylist(), target)
+    slots, values = (some[name].combine_chunks() for name in ("slots", "values"))
+    at = slots.offsets.to_numpy()
+    return fit(at - at[0], slots.flatten().to_numpy(), values.flatten().to_numpy(), target)
 
 
 def _scorer(weights, keep_only: bool):

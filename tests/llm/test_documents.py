@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from stratagauge.llm import licences, linededup, mixing, neardup, pieces, quality, toxicity
-from stratagauge.llm.common import components, jaccard, jaccard_block
+from stratagauge.llm.common import components, jaccard, jaccard_block, stage
 from stratagauge.llm.tokens import word_hashes, words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, id long, bucket long, component long, n long, c long, hi long, slot long"
@@ -210,6 +210,41 @@ def test_components_of_a_chain_a_star_and_a_loop(spark):
     assert found == expected
 
 
+def plain_components(edges):
+    """Plain version: all ids on an edge between two, with the smallest id that each is connected with."""
+    group = {x: x for a, b in edges if None not in (a, b) and a != b for x in (a, b)}
+    for a, b in edges:
+        if a in group and b in group and group[a] != group[b]:
+            one, two = sorted((group[a], group[b]))
+            group = {x: one if g == two else g for x, g in group.items()}
+    return group
+
+
+def odd_edges():
+    rng = random.Random(5)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(-1 << 63, 3), (-7, (1 << 63) - 1), (9, 9), (None, 4), (5, None), (1000, 1000)]
+    return edges + [(i, i + 1) for i in range(2000, 2060)] + edges[:40]
+
+
+@pytest.mark.parametrize("piece", [1 << 18, 100, 1])
+def test_components_of_one_and_of_many_pieces(spark, piece):
+    edges = odd_edges()
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    assert sorted(map(tuple, components(spark, frame, piece).collect())) == sorted(plain_components(edges).items())
+    assert components(spark, frame.limit(0), piece).count() == 0
+
+
+def test_components_of_a_small_graph_take_few_jobs(spark):
+    sc = spark.sparkContext
+    frame = stage(spark, spark.createDataFrame(odd_edges(), "a long, b long"), "test-edges")
+    sc.setJobGroup("components", "")
+    try:
+        out = components(spark, frame)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert out.count() and len(sc.statusTracker().getJobIdsForGroup("components")) <= 5
+
+
 def test_toxicity_of_odd_rows(spark, odd, empty):
     rows, marks = [], []
     for i in range(400):

@@ -1,6 +1,7 @@
 """The pipeline's stages against plain versions on a small table with repeated ids, odd texts and clashing names."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -236,6 +237,29 @@ def test_labellers_are_weighed_as_by_plain_expectation_maximisation():
 LONG = "This is quite a long paragraph of prose, which nobody would take for a menu, and it goes on for a while. " * 2
 
 
+def test_the_fit_holds_little_beside_its_matrix():
+    rng = np.random.default_rng(3)
+    n, each = 3000, 40
+    at, target = np.arange(0, n * each + 1, each), rng.uniform(0, 1, n)
+    slots, values = rng.integers(0, quality.FEATURES, n * each, np.int32), rng.uniform(0, 1, n * each).astype(np.float32)
+    tracemalloc.start()
+    try:
+        found = quality.fit(at, slots, values, target, 3)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    x = np.zeros((n, quality.FEATURES + 1), np.float32)
+    for row, lo in zip(x, at):
+        np.add.at(row, slots[lo : lo + each], values[lo : lo + each])
+    x[:, -1] = 1
+    w, speed = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    for _ in range(3):
+        speed = 0.9 * speed - (1 / (1 + np.exp(-(x @ w))) - target) @ x / n - 1e-5 * w
+        w = w + speed
+    assert found == pytest.approx(w, rel=1e-9, abs=1e-12)
+    assert most < 2 * x.nbytes
+
+
 def test_pages_without_an_article_keep_their_text(spark):
     article = f"<header><nav><a href=a>Home</a></nav></header><article><h1>T</h1><p>{LONG}</p></article><div class=comments><p>{LONG}</p></div>"
     htmls = [
